@@ -1,0 +1,68 @@
+"""Group operators that stay balanced when one key holds a large share of all rows.
+
+A window or a plain equi-join sends every row of one key to one task. The operators here first measure the heaviest
+key with a map-side-combined count. Without a hot key they are the plain Spark form: one shuffle, no join. With hot
+keys, the rows of those keys never travel by their key: they meet their group value through a broadcast whose
+row count has just been measured, or, beyond that size, through a join salted over SALTS partitions per key.
+"""
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from checkmart.session import written
+
+# A key with more rows than this is hot: its group no longer fits comfortably into one task.
+HOT_ROWS = 1_000_000
+
+# Largest number of key rows that is broadcast (a few fixed-width columns each, so tens of MB at most).
+BROADCAST_ROWS = 500_000
+
+# Tasks over which one key is spread when its partner rows are too many to broadcast.
+SALTS = 64
+
+_SALT = "_salt"
+
+
+def _row_salt(df: DataFrame) -> Column:
+    # derived from the row itself, so a recomputed task puts every row where it was before
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
+
+
+def _all_salts() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+
+
+def join_by_key(
+    df: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join rows with a table that has one row per key (inner, left, left_semi or left_anti).
+
+    `keyed` is counted first (its caller keeps it cheap to count). Up to `broadcast_rows` rows it is broadcast and `df`
+    is not shuffled. Beyond that, it is repeated per salt and `df` is spread over keys and salts.
+    """
+    if keyed.count() <= broadcast_rows:
+        return df.join(F.broadcast(keyed), list(keys), how)
+    salted = df.withColumn(_SALT, _row_salt(df))
+    return salted.join(keyed.withColumn(_SALT, _all_salts()), [*keys, _SALT], how).drop(_SALT)
+
+
+def with_group_max(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Add `out`, the maximum of `value` over the rows with the same keys. Keys must not be NULL."""
+    window = Window.partitionBy(*keys)
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.max(value).alias(out))
+    heaviest = groups.agg(F.max("_rows")).first()[0] or 0
+    if heaviest <= hot_rows:
+        return df.withColumn(out, F.max(value).over(window))
+    hot = written(groups.where(F.col("_rows") > hot_rows).drop("_rows"), "hot-keys")
+    hot_rows_with_max = join_by_key(df, hot, keys, "inner", broadcast_rows)
+    cold = join_by_key(df, hot.select(*keys), keys, "left_anti", broadcast_rows)
+    return hot_rows_with_max.select(*df.columns, out).unionByName(cold.withColumn(out, F.max(value).over(window)))
