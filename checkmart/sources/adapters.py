@@ -195,10 +195,10 @@ def text_extract_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells["qty"] = _every(23, 1, F.lit("x"), cells["qty"])
     cells["guest_count"] = _every(29, 4, F.lit(" "), cells["guest_count"])
     cells["amount_discount_rub"] = _every(19, 6, F.lit("12,5"), cells["amount_discount_rub"])
-    blank = F.lit(" ")
+    blank = F.lit("\u00a0")
     cells["dish_name"] = _every(7, 2, F.concat(F.lit(" \t"), cells["dish_name"], blank), cells["dish_name"])
-    cells["dish_category"] = _every(13, 4, F.lit("   "), cells["dish_category"])
-    cells["order_type"] = _every(17, 8, nothing, F.concat(cells["order_type"], F.lit(" ")))
+    cells["dish_category"] = _every(13, 4, F.lit(" \u00a0 "), cells["dish_category"])
+    cells["order_type"] = _every(17, 8, nothing, F.concat(cells["order_type"], F.lit("\u2003")))
     return raw.select(
         *[cells[name].alias(header) for header, name in FACT_HEADERS.items()],
         F.col("source_row_number").cast("string").alias("source_row_number"),
