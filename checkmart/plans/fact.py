@@ -7,6 +7,8 @@ from checkmart.functions.flags import is_dish_sales_item, is_turnover_item
 from checkmart.functions.keys import hash_key
 from checkmart.operators.skew import BROADCAST_ROWS, HOT_ROWS, join_by_key
 from checkmart.operators.versions import final_versions, replace_checks
+from checkmart.plans.staging import stage_checks
+from checkmart.vocabulary import RESTAURANT, CheckRules
 
 
 def fact_columns(final: DataFrame) -> DataFrame:
@@ -46,22 +48,28 @@ def fact_columns(final: DataFrame) -> DataFrame:
     )
 
 
-def fact_check_items(stg: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per line of every check's final version."""
-    return fact_columns(final_versions(stg, hot_rows=hot_rows))
+def fact_check_items(raw: DataFrame, rules: CheckRules = RESTAURANT, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per line of every check's final version.
+
+    The final rows are picked from the raw table and staged afterwards: the shuffle carries raw columns only, and
+    flags and keys are not computed for superseded rows. Staging works row by row and keeps check, close and
+    quantity as they are, so the result is that of picking from the staged table.
+    """
+    return fact_columns(stage_checks(final_versions(raw, hot_rows=hot_rows), rules))
 
 
 def incremental_fact_refresh(
-    stg: DataFrame,
+    raw: DataFrame,
     fact: DataFrame,
     changed: DataFrame,
+    rules: CheckRules = RESTAURANT,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The fact after new raw rows: checks in `changed` are rebuilt from all their rows, the others are kept.
 
-    `changed` holds every check id of the new rows once, as a stored table; `stg` includes the new rows. A newer
+    `changed` holds every check id of the new rows once, as a stored table; `raw` includes the new rows. A newer
     close may arrive for any old check, so no check is ever closed to changes. Equals a full rebuild.
     """
-    touched = join_by_key(stg, changed, ["check_id"], "left_semi", broadcast_rows)
-    return replace_checks(fact, fact_check_items(touched, hot_rows), changed, broadcast_rows)
+    touched = join_by_key(raw, changed, ["check_id"], "left_semi", broadcast_rows)
+    return replace_checks(fact, fact_check_items(touched, rules, hot_rows), changed, broadcast_rows)

@@ -1,7 +1,5 @@
 """Typed staging projections. They stay lazy: every consumer reads only the columns it needs."""
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,24 +7,18 @@ from checkmart.functions.flags import channel_group, is_service_item, is_zero_am
 from checkmart.functions.text import category_clean, clean_text, is_delivery_category
 from checkmart.functions.times import is_long_duration, is_suspicious_open, minutes_between
 from checkmart.schemas import RAW_CHECKS, RAW_PLAN
-from checkmart.vocabulary import DELIVERY_PREFIX, MODIFIER_CATEGORY, ORDER_TYPE_CHANNELS, SERVICE_DISHES
+from checkmart.vocabulary import RESTAURANT, CheckRules
 
 TEXT_COLUMNS = ("dish_name", "dish_category", "order_type")
 
 
-def stage_checks(
-    raw: DataFrame,
-    channels: Mapping[str, Sequence[str]] = ORDER_TYPE_CHANNELS,
-    service_dishes: Sequence[str] = SERVICE_DISHES,
-    modifier_category: str = MODIFIER_CATEGORY,
-    delivery_prefix: str = DELIVERY_PREFIX,
-) -> DataFrame:
+def stage_checks(raw: DataFrame, rules: CheckRules = RESTAURANT) -> DataFrame:
     """The 20 raw columns in their declared types, plus cleaned category, channel, flags and check duration."""
     typed = raw.select(
         *[
             clean_text(F.col(f.name)).alias(f.name)
             if f.name in TEXT_COLUMNS
-            else F.col(f.name).cast(f.dataType).alias(f.name)
+            else F.col(f.name).cast(f.dataType.simpleString()).alias(f.name)
             for f in RAW_CHECKS.fields
         ]
     )
@@ -34,11 +26,11 @@ def stage_checks(
     open_ts, close_ts = F.col("open_ts"), F.col("close_ts")
     return typed.select(
         "*",
-        category_clean(category, delivery_prefix).alias("category_clean"),
-        is_delivery_category(category, delivery_prefix).alias("is_delivery_category"),
-        channel_group(F.col("order_type"), channels).alias("channel_group"),
-        is_service_item(dish, service_dishes).alias("is_service_item"),
-        is_zero_amount_modifier(category, amount, modifier_category).alias("is_zero_amount_modifier"),
+        category_clean(category, rules.delivery_prefix).alias("category_clean"),
+        is_delivery_category(category, rules.delivery_prefix).alias("is_delivery_category"),
+        channel_group(F.col("order_type"), rules.channels).alias("channel_group"),
+        is_service_item(dish, rules.service_dishes).alias("is_service_item"),
+        is_zero_amount_modifier(category, amount, rules.modifier_category).alias("is_zero_amount_modifier"),
         minutes_between(open_ts, close_ts).alias("check_duration_minutes"),
         is_long_duration(open_ts, close_ts).alias("is_long_duration_check"),
         is_suspicious_open(open_ts, F.col("accounting_date")).alias("is_suspicious_open_date"),
@@ -48,4 +40,4 @@ def stage_checks(
 
 def stage_plan(raw: DataFrame) -> DataFrame:
     """The 16 plan columns in their declared types."""
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_PLAN.fields])
+    return raw.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in RAW_PLAN.fields])

@@ -36,11 +36,11 @@ def query(function: Query) -> Query:
 
 
 def orders_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return fact_check_items(adapters.stage_orders(spark, sf))
+    return fact_check_items(adapters.raw_checks_from_orders(spark, sf), adapters.ORDER_RULES)
 
 
 def events_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return fact_check_items(adapters.stage_events(spark, sf))
+    return fact_check_items(adapters.raw_checks_from_events(spark, sf), adapters.EVENT_RULES)
 
 
 def plan_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,8 +52,9 @@ def dashboard(spark: SparkSession, sf: str) -> DataFrame:
     return daily.mart_dashboard_daily(written(plan_fact(spark, sf), "plan-fact"))
 
 
-def from_orders(*columns: Column | str) -> Query:
-    return lambda spark, sf: adapters.stage_orders(spark, sf).select(*columns)
+def from_orders(columns: Callable[[], list[Column | str]]) -> Query:
+    """Columns over the staged order lines; built on call, because a Column needs a session."""
+    return lambda spark, sf: adapters.stage_orders(spark, sf).select(*columns())
 
 
 def labelled(label: str, df: DataFrame) -> DataFrame:
@@ -68,54 +69,67 @@ def union(*parts: DataFrame) -> DataFrame:
 
 ORDER_KEY = ["check_id", "dish_name", "close_ts"]
 
-QUERIES["category_clean"] = from_orders(
-    *ORDER_KEY, "dish_category", text.category_clean(F.col("dish_category")).alias("category_clean")
-)
-QUERIES["is_delivery_category"] = from_orders(
-    *ORDER_KEY, "dish_category", text.is_delivery_category(F.col("dish_category")).alias("is_delivery_category")
-)
-QUERIES["channel_group"] = from_orders(
-    "check_id", "order_type", flags.channel_group(F.col("order_type"), adapters.ORDER_CHANNELS).alias("channel_group")
-)
-QUERIES["is_service_item"] = from_orders(
-    *ORDER_KEY, flags.is_service_item(F.col("dish_name"), adapters.ORDER_SERVICE_DISHES).alias("is_service_item")
-)
-QUERIES["is_zero_amount_modifier"] = from_orders(
-    *ORDER_KEY,
-    "amount_discount_rub",
-    flags.is_zero_amount_modifier(F.col("dish_category"), F.col("amount_discount_rub")).alias("is_zero_modifier"),
-)
-QUERIES["is_long_duration_check"] = from_orders(
-    *ORDER_KEY, "open_ts", times.is_long_duration(F.col("open_ts"), F.col("close_ts")).alias("is_long")
-)
-QUERIES["is_suspicious_open_date"] = from_orders(
-    "check_id",
-    "open_ts",
-    "accounting_date",
-    times.is_suspicious_open(F.col("open_ts"), F.col("accounting_date")).alias("is_suspicious"),
-)
-QUERIES["is_zero_qty_row"] = from_orders(*ORDER_KEY, "qty", flags.is_zero_qty(F.col("qty")).alias("is_zero_qty"))
-QUERIES["service_category_flags"] = from_orders(
-    *ORDER_KEY,
-    "dish_category",
-    flags.is_service_category(F.col("dish_category"), SERVICE_BRANDS).alias("is_service_category"),
-    flags.is_modifier(F.col("dish_category")).alias("is_modifier"),
-)
-QUERIES["is_multiday_check"] = from_orders(
-    "check_id",
-    "open_ts",
-    "accounting_date",
-    times.is_multiday_check(F.col("open_ts"), F.col("accounting_date")).alias("is_multiday"),
-)
-QUERIES["is_rounding_adjustment"] = from_orders(
-    *ORDER_KEY, flags.is_rounding_adjustment(F.col("dish_name"), "red plate").alias("is_rounding")
-)
-QUERIES["normalize_channel_patterns"] = from_orders(
-    "check_id",
-    "order_type",
-    text.normalize_channel(F.col("order_type"), PRIORITY_PATTERNS, "other").alias("channel"),
-    text.normalize_channel(F.col("order_type"), CHANNEL_PATTERNS, "other").alias("named_channel"),
-)
+ORDER_COLUMNS: dict[str, Callable[[], list[Column | str]]] = {
+    "category_clean": lambda: [
+        *ORDER_KEY,
+        "dish_category",
+        text.category_clean(F.col("dish_category")).alias("category_clean"),
+    ],
+    "is_delivery_category": lambda: [
+        *ORDER_KEY,
+        "dish_category",
+        text.is_delivery_category(F.col("dish_category")).alias("is_delivery_category"),
+    ],
+    "channel_group": lambda: [
+        "check_id",
+        "order_type",
+        flags.channel_group(F.col("order_type"), adapters.ORDER_RULES.channels).alias("channel_group"),
+    ],
+    "is_service_item": lambda: [
+        *ORDER_KEY,
+        flags.is_service_item(F.col("dish_name"), adapters.ORDER_RULES.service_dishes).alias("is_service_item"),
+    ],
+    "is_zero_amount_modifier": lambda: [
+        *ORDER_KEY,
+        "amount_discount_rub",
+        flags.is_zero_amount_modifier(F.col("dish_category"), F.col("amount_discount_rub")).alias("is_zero_modifier"),
+    ],
+    "is_long_duration_check": lambda: [
+        *ORDER_KEY,
+        "open_ts",
+        times.is_long_duration(F.col("open_ts"), F.col("close_ts")).alias("is_long"),
+    ],
+    "is_suspicious_open_date": lambda: [
+        "check_id",
+        "open_ts",
+        "accounting_date",
+        times.is_suspicious_open(F.col("open_ts"), F.col("accounting_date")).alias("is_suspicious"),
+    ],
+    "is_zero_qty_row": lambda: [*ORDER_KEY, "qty", flags.is_zero_qty(F.col("qty")).alias("is_zero_qty")],
+    "service_category_flags": lambda: [
+        *ORDER_KEY,
+        "dish_category",
+        flags.is_service_category(F.col("dish_category"), SERVICE_BRANDS).alias("is_service_category"),
+        flags.is_modifier(F.col("dish_category")).alias("is_modifier"),
+    ],
+    "is_multiday_check": lambda: [
+        "check_id",
+        "open_ts",
+        "accounting_date",
+        times.is_multiday_check(F.col("open_ts"), F.col("accounting_date")).alias("is_multiday"),
+    ],
+    "is_rounding_adjustment": lambda: [
+        *ORDER_KEY,
+        flags.is_rounding_adjustment(F.col("dish_name"), "red plate").alias("is_rounding"),
+    ],
+    "normalize_channel_patterns": lambda: [
+        "check_id",
+        "order_type",
+        text.normalize_channel(F.col("order_type"), PRIORITY_PATTERNS, "other").alias("channel"),
+        text.normalize_channel(F.col("order_type"), CHANNEL_PATTERNS, "other").alias("named_channel"),
+    ],
+}
+QUERIES.update({name: from_orders(columns) for name, columns in ORDER_COLUMNS.items()})
 
 
 @query
@@ -646,12 +660,12 @@ def incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
 
     The mark falls inside a day, so that checks of that day exist on both sides.
     """
-    stg = adapters.stage_events(spark, sf)
-    mark = incremental.source_watermark(stg).first()["watermark"] // 2
-    fact = written(fact_check_items(stg.where(F.col("source_row_id") <= mark)), "fact")
-    new_lines = incremental.incremental_extract(stg, mark)
+    raw = adapters.raw_checks_from_events(spark, sf)
+    mark = incremental.source_watermark(raw).first()["watermark"] // 2
+    fact = written(fact_check_items(raw.where(F.col("source_row_id") <= mark), adapters.EVENT_RULES), "fact")
+    new_lines = incremental.incremental_extract(raw, mark)
     changed = written(new_lines.select("check_id").distinct(), "changed")
-    return incremental_fact_refresh(stg, fact, changed)
+    return incremental_fact_refresh(raw, fact, changed, adapters.EVENT_RULES)
 
 
 QUERIES["incremental_fact_refresh"] = QUERIES.pop("incremental_fact")
@@ -702,7 +716,7 @@ def dq_relationship(spark: SparkSession, sf: str) -> DataFrame:
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     """The declared suite over broken lines and over all layers built from the orders."""
     stg, plan = adapters.stage_orders(spark, sf), adapters.stage_order_plan(spark, sf)
-    fact = written(fact_check_items(stg), "fact")
+    fact = written(orders_fact(spark, sf), "fact")
     mart = written(daily.mart_plan_fact_daily(fact, plan), "plan-fact")
     layers = {
         "stg_plan_daily": plan,

@@ -3,9 +3,20 @@
 from pyspark.sql import types as T
 
 
-def schema_of(ddl: str) -> T.StructType:
-    """A nullable StructType from a comma-separated `name type` list."""
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """A nullable StructType from a comma-separated `name type` list; needs no session, unlike a DDL string."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SOURCE_CHECKS = schema_of(

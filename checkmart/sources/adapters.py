@@ -9,23 +9,21 @@ from pyspark.sql import functions as F
 
 from checkmart.plans.staging import stage_checks, stage_plan
 from checkmart.schemas import RAW_CHECKS, RAW_PLAN
-from checkmart.vocabulary import DELIVERY_PREFIX, FACT_HEADERS, MODIFIER_CATEGORY
-
-ORDER_CHANNELS = {
-    "delivery": ["1-URGENT"],
-    "pickup": ["2-HIGH"],
-    "restaurant": ["3-MEDIUM"],
-    "banquet": ["4-NOT SPECIFIED"],
-}
-ORDER_SERVICE_DISHES = ["red plate", "hot ring"]
-
-EVENT_CHANNELS = {
-    "delivery": ["click"],
-    "pickup": ["purchase"],
-    "restaurant": ["signup"],
-    "banquet": ["view"],
-}
-EVENT_SERVICE_DISHES = ["dish-3", "dish-11"]
+from checkmart.vocabulary import DELIVERY_PREFIX, FACT_HEADERS, MODIFIER_CATEGORY, CheckRules
+
+ORDER_RULES = CheckRules(
+    channels={
+        "delivery": ["1-URGENT"],
+        "pickup": ["2-HIGH"],
+        "restaurant": ["3-MEDIUM"],
+        "banquet": ["4-NOT SPECIFIED"],
+    },
+    service_dishes=["red plate", "hot ring"],
+)
+EVENT_RULES = CheckRules(
+    channels={"delivery": ["click"], "pickup": ["purchase"], "restaurant": ["signup"], "banquet": ["view"]},
+    service_dishes=["dish-3", "dish-11"],
+)
 EVENT_CATEGORIES = [f"{DELIVERY_PREFIX}ПИЦЦА", "ПИЦЦА", MODIFIER_CATEGORY]
 EVENT_PERIODS = ["2024-01 first half", "2024-01 second half"]
 
@@ -55,9 +53,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _as_raw(df: DataFrame) -> DataFrame:
     # raw columns that the input does not have are typed NULLs
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in RAW_CHECKS.fields
         ]
     )
@@ -70,67 +68,55 @@ def raw_checks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lines = _table(spark, sf_dir, "lineitem")
     orders, parts = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "part")
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    small = F.col("p_type") == "SMALL"
-    category = (
-        F.when(F.col("p_type") == "PROMO", F.concat(F.lit(DELIVERY_PREFIX), F.col("p_brand")))
-        .when(small, MODIFIER_CATEGORY)
-        .otherwise(F.col("p_brand"))
-    )
-    price = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    open_ts = F.col("o_orderdate") - F.make_dt_interval(days=(F.col("o_orderkey") % 5).cast("int"))
+    joined = lines.join(parts, F.expr("l_partkey = p_partkey")).join(orders, F.expr("l_orderkey = o_orderkey"))
+    # prices have two decimals and discounts whole percents, so cents times percents is exact
+    net = "rint(l_extendedprice * 100) * (100 - rint(l_discount * 100)) / 10000"
     return _as_raw(
-        joined.select(
-            F.col("o_orderdate").cast("date").alias("accounting_date"),
-            F.col("l_orderkey").alias("check_id"),
-            open_ts.alias("open_ts"),
-            F.hour(open_ts).alias("open_hour"),
-            F.col("l_shipdate").alias("close_ts"),
-            F.hour("l_shipdate").alias("close_hour"),
-            F.col("p_name").alias("dish_name"),
-            category.alias("dish_category"),
-            F.col("o_orderpriority").alias("order_type"),
-            F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity")).alias("qty"),
-            (1 + F.col("o_custkey") % 4).alias("guest_count"),
-            F.when(small & (F.col("l_quantity") <= 25), 0)
-            .otherwise(price.cast("decimal(18,4)"))
-            .cast("decimal(18,4)")
-            .alias("amount_discount_rub"),
-        )
+        joined.selectExpr(
+            "CAST(o_orderdate AS DATE) AS accounting_date",
+            "l_orderkey AS check_id",
+            "o_orderdate - make_dt_interval(CAST(o_orderkey % 5 AS INT)) AS open_ts",
+            "l_shipdate AS close_ts",
+            "p_name AS dish_name",
+            f"CASE WHEN p_type = 'PROMO' THEN concat('{DELIVERY_PREFIX}', p_brand)"
+            f" WHEN p_type = 'SMALL' THEN '{MODIFIER_CATEGORY}' ELSE p_brand END AS dish_category",
+            "o_orderpriority AS order_type",
+            "CASE WHEN l_returnflag = 'R' THEN 0D ELSE l_quantity END AS qty",
+            "1 + o_custkey % 4 AS guest_count",
+            f"CASE WHEN p_type = 'SMALL' AND l_quantity <= 25 THEN 0D ELSE {net} END AS amount_discount_rub",
+        ).selectExpr("*", "hour(open_ts) AS open_hour", "hour(close_ts) AS close_hour")
     )
 
 
 def event_columns(events: DataFrame) -> DataFrame:
     """Events as raw check lines: a user's day is a check, re-sent at the end of every six-hour slot."""
-    ts = F.col("ts")
-    k = F.get_json_object("props", "$.k").cast("int")
-    slot_end = ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(
-        hours=((F.floor(F.hour(ts) / 6) + 1) * 6).cast("int")
+    categories = ", ".join(f"'{c}'" for c in EVENT_CATEGORIES)
+    slots = events.selectExpr(
+        "*",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, (hour(ts) DIV 6 + 1) * 6) AS slot_end",
+        f"CASE WHEN day(ts) <= 15 THEN '{EVENT_PERIODS[0]}' ELSE '{EVENT_PERIODS[1]}' END AS period",
     )
-    free_modifier = (k % 3 == 2) & (k % 2 == 0)
-    period = F.when(F.dayofmonth(ts) <= 15, EVENT_PERIODS[0]).otherwise(EVENT_PERIODS[1])
     return _as_raw(
-        events.select(
-            (F.col("event_id") + 1).alias("source_row_id"),
-            ts.cast("date").alias("accounting_date"),
-            (F.col("user_id") * 100 + F.dayofmonth(ts)).alias("check_id"),
-            ts.alias("open_ts"),
-            F.hour(ts).alias("open_hour"),
-            slot_end.alias("close_ts"),
-            F.hour(slot_end).alias("close_hour"),
-            F.concat(F.lit("dish-"), (k % 20).cast("string")).alias("dish_name"),
-            F.element_at(F.array(*[F.lit(c) for c in EVENT_CATEGORIES]), k % 3 + 1).alias("dish_category"),
-            F.col("event_type").alias("order_type"),
-            F.when(F.col("event_type") == "error", 0).otherwise(1 + F.col("event_id") % 3).alias("qty"),
-            (1 + F.col("user_id") % 4).alias("guest_count"),
-            F.when(free_modifier, 0).otherwise(F.col("value").cast("decimal(18,2)")).alias("amount_discount_rub"),
-            F.lit("events").alias("source_system"),
-            F.lit("events.parquet").alias("source_file"),
-            period.alias("source_sheet"),
-            period.alias("source_period"),
-            (F.col("event_id") + 2).alias("source_row_number"),
+        slots.selectExpr(
+            "event_id + 1 AS source_row_id",
+            "CAST(ts AS DATE) AS accounting_date",
+            "user_id * 100 + day(ts) AS check_id",
+            "ts AS open_ts",
+            "hour(ts) AS open_hour",
+            "slot_end AS close_ts",
+            "hour(slot_end) AS close_hour",
+            "concat('dish-', CAST(k % 20 AS STRING)) AS dish_name",
+            f"element_at(array({categories}), k % 3 + 1) AS dish_category",
+            "event_type AS order_type",
+            "CASE WHEN event_type = 'error' THEN 0 ELSE 1 + event_id % 3 END AS qty",
+            "1 + user_id % 4 AS guest_count",
+            "CASE WHEN k % 3 = 2 AND k % 2 = 0 THEN 0D ELSE rint(value * 100) / 100 END AS amount_discount_rub",
+            "'events' AS source_system",
+            "'events.parquet' AS source_file",
+            "period AS source_sheet",
+            "period AS source_period",
+            "event_id + 2 AS source_row_number",
         )
     )
 
@@ -163,15 +149,15 @@ def raw_plan_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_sheet": F.lit("plan"),
         "loaded_at": F.lit(None),
     }
-    return by_day.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in RAW_PLAN.fields])
+    return by_day.select(*[columns[f.name].cast(f.dataType.simpleString()).alias(f.name) for f in RAW_PLAN.fields])
 
 
 def stage_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_checks(raw_checks_from_orders(spark, sf_dir), ORDER_CHANNELS, ORDER_SERVICE_DISHES)
+    return stage_checks(raw_checks_from_orders(spark, sf_dir), ORDER_RULES)
 
 
 def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_checks(raw_checks_from_events(spark, sf_dir), EVENT_CHANNELS, EVENT_SERVICE_DISHES)
+    return stage_checks(raw_checks_from_events(spark, sf_dir), EVENT_RULES)
 
 
 def stage_order_plan(spark: SparkSession, sf_dir: str) -> DataFrame:

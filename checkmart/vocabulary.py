@@ -3,6 +3,9 @@
 Every operator takes these as default arguments, so the same operators run on other feeds with other words.
 """
 
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
+
 # Extract headers and their canonical column names.
 FACT_HEADERS = {
     "Учетный день": "accounting_date",
@@ -102,3 +105,15 @@ DETAIL_HEADERS = ["Дата", "Факт", "План", "Выполнение", "Y
 # The incremental source and its lineage mark.
 CHECK_SOURCE_NAME = "pos.check_items"
 CHECK_SOURCE_SYSTEM = "pos_excel_simulated_db"
+
+
+class CheckRules(NamedTuple):
+    """The words of a feed that staging needs to derive channels, categories and flags."""
+
+    channels: Mapping[str, Sequence[str]] = ORDER_TYPE_CHANNELS
+    service_dishes: Sequence[str] = SERVICE_DISHES
+    modifier_category: str = MODIFIER_CATEGORY
+    delivery_prefix: str = DELIVERY_PREFIX
+
+
+RESTAURANT = CheckRules()
