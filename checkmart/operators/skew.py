@@ -43,9 +43,12 @@ def join_by_key(
     is not shuffled. Beyond that, it is repeated per salt and `df` is spread over keys and salts.
     """
     if keyed.count() <= broadcast_rows:
-        return df.join(F.broadcast(keyed), list(keys), how)
-    salted = df.withColumn(_SALT, _row_salt(df))
-    return salted.join(keyed.withColumn(_SALT, _all_salts()), [*keys, _SALT], how).drop(_SALT)
+        joined = df.join(F.broadcast(keyed), list(keys), how)
+    else:
+        salted = df.withColumn(_SALT, _row_salt(df))
+        joined = salted.join(keyed.withColumn(_SALT, _all_salts()), [*keys, _SALT], how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in keyed.columns if c not in keys]
+    return joined.select(*df.columns, *added)
 
 
 def with_group_max(
@@ -63,6 +66,6 @@ def with_group_max(
     if heaviest <= hot_rows:
         return df.withColumn(out, F.max(value).over(window))
     hot = written(groups.where(F.col("_rows") > hot_rows).drop("_rows"), "hot-keys")
-    hot_rows_with_max = join_by_key(df, hot, keys, "inner", broadcast_rows)
-    cold = join_by_key(df, hot.select(*keys), keys, "left_anti", broadcast_rows)
-    return hot_rows_with_max.select(*df.columns, out).unionByName(cold.withColumn(out, F.max(value).over(window)))
+    hot_lines = join_by_key(df, hot, keys, "inner", broadcast_rows)
+    cold_lines = join_by_key(df, hot.select(*keys), keys, "left_anti", broadcast_rows)
+    return hot_lines.unionByName(cold_lines.withColumn(out, F.max(value).over(window)))

@@ -1,15 +1,23 @@
 """The line-level fact and its incremental refresh."""
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checkmart.functions.flags import is_dish_sales_item, is_turnover_item
 from checkmart.functions.keys import hash_key
 from checkmart.operators.skew import BROADCAST_ROWS, HOT_ROWS, join_by_key
 from checkmart.operators.versions import final_versions, replace_checks
 from checkmart.plans.staging import stage_checks
+from checkmart.schemas import FACT_CHECK_ITEMS
+from checkmart.session import written
 from checkmart.vocabulary import RESTAURANT, CheckRules
 
+FACT_TABLE = "dwh/fact_check_items"
+MONTH = "revenue_month"
+
 
 def fact_columns(final: DataFrame) -> DataFrame:
     """Final check lines as the 29 fact columns: surrogate keys, revenue date and sales flags added."""
@@ -73,3 +81,59 @@ def incremental_fact_refresh(
     """
     touched = join_by_key(raw, changed, ["check_id"], "left_semi", broadcast_rows)
     return replace_checks(fact, fact_check_items(touched, rules, hot_rows), changed, broadcast_rows)
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    """The fact laid out for storage by month. A busy month is split over several tasks, a quiet one fills one file."""
+    month = F.coalesce(F.date_format("revenue_date", "yyyy-MM"), F.lit("none"))
+    return fact.withColumn(MONTH, month).hint("rebalance", MONTH)
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The stored fact with its month column, which prunes folders."""
+    schema = T.StructType([*FACT_CHECK_ITEMS.fields, T.StructField(MONTH, T.StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+class MonthRefresh(NamedTuple):
+    """New content of the months that changed checks touch, and the whole fact with it."""
+
+    months: DataFrame
+    all_rows: DataFrame
+
+    def overwrite(self, path: str) -> None:
+        """Replace just these months in the stored fact. Repeating it after a failure gives the same fact."""
+        writer = self.months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(MONTH).parquet(path)
+
+
+def _months_of(df: DataFrame) -> set[str]:
+    # bounded by the calendar
+    return {row[MONTH] for row in df.select(MONTH).distinct().collect()}
+
+
+def refreshed_months(
+    raw: DataFrame,
+    fact: DataFrame,
+    changed: DataFrame,
+    rules: CheckRules = RESTAURANT,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> MonthRefresh | None:
+    """The incremental refresh limited to the months where changed checks have rows, before or after the change.
+
+    `fact` is the stored fact with its month column. None when a month would end up empty: a partition overwrite
+    cannot express that, so the caller rebuilds.
+    """
+    touched = join_by_key(raw, changed, ["check_id"], "left_semi", broadcast_rows)
+    rebuilt = written(with_month(fact_check_items(touched, rules, hot_rows)), "rebuilt-checks")
+    replaced = join_by_key(fact, changed, ["check_id"], "left_semi", broadcast_rows)
+    months = _months_of(rebuilt) | _months_of(replaced)
+    in_months = F.col(MONTH).isin(sorted(months))
+    content = written(
+        replace_checks(fact.where(in_months), rebuilt, changed, broadcast_rows).hint("rebalance", MONTH),
+        "refreshed-months",
+    )
+    if _months_of(content) != months:
+        return None
+    return MonthRefresh(content, fact.where(~in_months).unionByName(content).drop(MONTH))

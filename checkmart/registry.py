@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checkmart.functions import flags, keys, numbers, text, times
 from checkmart.operators import daily, dims, quality, reports, versions
 from checkmart.plans.fact import fact_check_items, incremental_fact_refresh
+from checkmart.plans.staging import stage_checks
 from checkmart.schemas import RAW_CHECKS
 from checkmart.session import scratch_path, written
 from checkmart.sources import adapters, extracts, incremental, tables
@@ -31,7 +32,8 @@ LINEAGE = ["source_system", "source_sheet", "source_period", "source_row_number"
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a trailing `_query` keeps the name free for the operator."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -277,7 +279,8 @@ def check_final_close(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def final_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return versions.final_versions(adapters.stage_events(spark, sf)).select("source_row_id", *LINE, "channel_group")
+    final = versions.final_versions(adapters.raw_checks_from_events(spark, sf))
+    return stage_checks(final, adapters.EVENT_RULES).select("source_row_id", *LINE, "channel_group")
 
 
 @query
@@ -634,7 +637,7 @@ def upsert_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def stream_load(spark: SparkSession, sf: str) -> DataFrame:
+def stream_incremental_load_query(spark: SparkSession, sf: str) -> DataFrame:
     """The event file streamed into the raw table; must equal the batch load."""
     root = scratch_path(spark, "stream")
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
@@ -651,11 +654,8 @@ def stream_load(spark: SparkSession, sf: str) -> DataFrame:
     return raw.select("source_row_id", *LINE, *LINEAGE)
 
 
-QUERIES["stream_incremental_load"] = QUERIES.pop("stream_load")
-
-
 @query
-def incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
+def incremental_fact_refresh_query(spark: SparkSession, sf: str) -> DataFrame:
     """The fact of the lines below a mark, refreshed with the lines above it; must equal a full rebuild.
 
     The mark falls inside a day, so that checks of that day exist on both sides.
@@ -668,9 +668,6 @@ def incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
     return incremental_fact_refresh(raw, fact, changed, adapters.EVENT_RULES)
 
 
-QUERIES["incremental_fact_refresh"] = QUERIES.pop("incremental_fact")
-
-
 # --- quality ---------------------------------------------------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "int": T.IntegerType(),
     "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
@@ -38,6 +39,16 @@ RAW_PLAN = schema_of(
 
 CHECKPOINTS = schema_of("source_name string, watermark bigint, updated_at timestamp_ntz")
 
+FACT_CHECK_ITEMS = schema_of(
+    "check_item_key string, source_row_id bigint, revenue_date date, check_id bigint, open_ts timestamp_ntz,"
+    " close_ts timestamp_ntz, open_hour int, close_hour int, dish_key string, order_type_key string,"
+    " dish_name string, dish_category string, category_clean string, is_delivery_category boolean,"
+    " order_type string, channel_group string, qty double, guest_count int, amount_discount_rub double,"
+    " is_service_item boolean, is_zero_amount_modifier boolean, is_turnover_item boolean,"
+    " is_dish_sales_item boolean, check_duration_minutes bigint, is_long_duration_check boolean,"
+    " is_suspicious_open_date boolean, source_period string, source_sheet string, extracted_at timestamp_ntz"
+)
+
 MART_PLAN_FACT_DAILY = schema_of(
     "revenue_date date, checks_count bigint, guests_count bigint, fact_total_amount double, plan_total_amount double,"
     " plan_fact_delta_amount double, plan_completion_rate double, fact_restaurant_amount double,"

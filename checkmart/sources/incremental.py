@@ -71,6 +71,26 @@ def ensure_raw(spark: SparkSession, root: str) -> None:
     ensure_table(spark, f"{root}/{RAW_CHECKS_TABLE}/load_id=0", RAW_CHECKS)
 
 
+def stored_watermark(spark: SparkSession, root: str, name: str) -> int:
+    """The stored mark of a source under the root."""
+    checkpoints = read_snapshot(spark, f"{root}/{CHECKPOINT_TABLE}", CHECKPOINTS)
+    return read_watermark(checkpoints, name).first()["watermark"]
+
+
+def store_watermark(spark: SparkSession, root: str, name: str, mark: int, reset: bool = False) -> None:
+    """Upsert the mark of a source; with `reset` its old mark is dropped first, so that it may fall."""
+    base = f"{root}/{CHECKPOINT_TABLE}"
+    checkpoints = read_snapshot(spark, base, CHECKPOINTS)
+    if reset:
+        checkpoints = checkpoints.where(F.col("source_name") != name)
+    now = spark.range(1).select(
+        F.lit(name).alias("source_name"),
+        F.lit(mark).cast("bigint").alias("watermark"),
+        F.localtimestamp().alias("updated_at"),
+    )
+    write_snapshot(upsert_checkpoint(checkpoints, now), base)
+
+
 def run_extract(
     spark: SparkSession, source: DataFrame, root: str, full_refresh: bool = False, name: str = CHECK_SOURCE_NAME
 ) -> dict[str, int]:
@@ -78,24 +98,15 @@ def run_extract(
 
     Returns the previous and the new watermark. With `full_refresh` the raw table is replaced from the first row.
     """
-    raw, checkpoints = f"{root}/{RAW_CHECKS_TABLE}", read_snapshot(spark, f"{root}/{CHECKPOINT_TABLE}", CHECKPOINTS)
+    raw = f"{root}/{RAW_CHECKS_TABLE}"
     ensure_raw(spark, root)
-    if full_refresh:
-        checkpoints = checkpoints.where(F.col("source_name") != name)
-    low = read_watermark(checkpoints, name).first()["watermark"]
+    low = 0 if full_refresh else stored_watermark(spark, root, name)
     high = source_watermark(source).first()["watermark"]
-    if high > low or full_refresh:
-        rows = incremental_extract(source, low, high).select(*RAW_CHECKS.names)
-        if full_refresh:
-            rows.withColumn("load_id", F.lit(1)).write.mode("overwrite").partitionBy("load_id").parquet(raw)
-        else:
-            rows.write.mode("overwrite").parquet(f"{raw}/load_id={low + 1}")
-    now = spark.range(1).select(
-        F.lit(name).alias("source_name"),
-        F.lit(max(high, low)).cast("bigint").alias("watermark"),
-        F.localtimestamp().alias("updated_at"),
-    )
-    write_snapshot(upsert_checkpoint(checkpoints, now), f"{root}/{CHECKPOINT_TABLE}")
+    rows = incremental_extract(source, low, high).select(*RAW_CHECKS.names)
+    if full_refresh:
+        writer = rows.withColumn("load_id", F.lit("1")).write.mode("overwrite").partitionBy("load_id")
+        writer.option("partitionOverwriteMode", "static").parquet(raw)
+    elif high > low:
+        rows.write.mode("overwrite").parquet(f"{raw}/load_id={low + 1}")
+    store_watermark(spark, root, name, max(high, low), reset=full_refresh)
     return {"previous": low, "current": max(high, low)}
-
-
