@@ -24,17 +24,23 @@ from checkmart.plans.staging import stage_checks, stage_plan
 from checkmart.schemas import RAW_PLAN
 from checkmart.session import written
 from checkmart.sources.incremental import (
+    CHECKPOINT_TABLE,
+    advanced_checkpoints,
     incremental_extract,
     read_raw_checks,
     run_extract,
-    store_watermark,
     stored_watermark,
 )
-from checkmart.sources.tables import load_plan, publish_snapshot, read_snapshot, snapshot_path, stage_snapshot
+from checkmart.sources.tables import (
+    PLAN_TABLE,
+    load_plan,
+    publish_snapshots,
+    read_snapshot,
+    snapshot_path,
+    stage_snapshot,
+)
 from checkmart.vocabulary import RESTAURANT, CheckRules
 
-PLAN_TABLE = "raw/stg_plan_daily"
-
 
 class _Run:
     """Tables written by one run, by path under the root; nothing is visible before `publish`."""
@@ -44,18 +50,17 @@ class _Run:
         self.versions: dict[str, str] = {}
 
     def store(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        version = stage_snapshot(df, f"{self.root}/{table}", partition_by)
+        version = stage_snapshot(df, self.root, table, partition_by)
         self.versions[table] = version
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}/{version}")
 
     def publish(self) -> None:
-        for table, version in self.versions.items():
-            publish_snapshot(self.spark, f"{self.root}/{table}", version)
+        publish_snapshots(self.spark, self.root, self.versions)
 
 
 def stored_plan(spark: SparkSession, root: str) -> DataFrame:
     """The staged plan; empty before the first plan load."""
-    return stage_plan(read_snapshot(spark, f"{root}/{PLAN_TABLE}", RAW_PLAN))
+    return stage_plan(read_snapshot(spark, root, PLAN_TABLE, RAW_PLAN))
 
 
 def _plan_marts(run: _Run, fact: DataFrame, stg: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:
@@ -92,7 +97,7 @@ def run_fact_refresh(
     plan.createOrReplaceTempView("stg_plan_daily")
 
     run = _Run(spark, root)
-    fact_path = snapshot_path(spark, f"{root}/{FACT_TABLE}")
+    fact_path = snapshot_path(spark, root, FACT_TABLE)
     months = None
     if incremental and fact_path and not full_refresh:
         new_rows = incremental_extract(raw, stored_watermark(spark, root, FACT_TABLE))
@@ -120,9 +125,10 @@ def run_fact_refresh(
     report = _check(tables, suite)
     if months is not None:
         months.overwrite(fact_path)
+    # the fact's own mark is published with it; rows above it are left to the next run if this one fails
+    covered = advanced_checkpoints(spark, root, FACT_TABLE, marks["current"], reset=full_refresh)
+    run.store(covered, CHECKPOINT_TABLE)
     run.publish()
-    # rows up to this mark are in the published fact; a run that fails before leaves them to the next one
-    store_watermark(spark, root, FACT_TABLE, marks["current"])
     return report
 
 
@@ -133,7 +139,7 @@ def run_plan_refresh(
 
     Reads the stored fact, so the fact refresh must have run before.
     """
-    fact_path = snapshot_path(spark, f"{root}/{FACT_TABLE}")
+    fact_path = snapshot_path(spark, root, FACT_TABLE)
     if fact_path is None:
         raise ValueError(f"no fact under {root}; run the fact refresh first")
     load_plan(plan, root)

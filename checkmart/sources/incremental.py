@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.schemas import CHECKPOINTS, RAW_CHECKS, SOURCE_CHECKS
-from checkmart.sources.tables import ensure_table, read_snapshot, snapshot_path, write_snapshot
+from checkmart.sources.tables import ensure_table, read_snapshot, write_snapshot
 from checkmart.vocabulary import CHECK_SOURCE_NAME
 
 RAW_CHECKS_TABLE = "raw/stg_raw_checks"
 CHECKPOINT_TABLE = "raw/etl_checkpoints"
 
 
-def read_source(spark: SparkSession, location: str) -> DataFrame:
-    """The numbered source: a versioned table folder, a plain Parquet path, or a catalog table name."""
-    if "/" not in location:
-        return spark.table(location)
-    return spark.read.schema(SOURCE_CHECKS).parquet(snapshot_path(spark, location) or location)
+def read_source(spark: SparkSession, location: str, root: str | None = None) -> DataFrame:
+    """The numbered source: a published table under a root, a plain Parquet path, or a catalog table name."""
+    if root:
+        return read_snapshot(spark, root, location, SOURCE_CHECKS)
+    if "/" in location:
+        return spark.read.schema(SOURCE_CHECKS).parquet(location)
+    return spark.table(location)
 
 
 def read_watermark(checkpoints: DataFrame, name: str) -> DataFrame:
@@ -73,14 +75,13 @@ def ensure_raw(spark: SparkSession, root: str) -> None:
 
 def stored_watermark(spark: SparkSession, root: str, name: str) -> int:
     """The stored mark of a source under the root."""
-    checkpoints = read_snapshot(spark, f"{root}/{CHECKPOINT_TABLE}", CHECKPOINTS)
+    checkpoints = read_snapshot(spark, root, CHECKPOINT_TABLE, CHECKPOINTS)
     return read_watermark(checkpoints, name).first()["watermark"]
 
 
-def store_watermark(spark: SparkSession, root: str, name: str, mark: int, reset: bool = False) -> None:
-    """Upsert the mark of a source; with `reset` its old mark is dropped first, so that it may fall."""
-    base = f"{root}/{CHECKPOINT_TABLE}"
-    checkpoints = read_snapshot(spark, base, CHECKPOINTS)
+def advanced_checkpoints(spark: SparkSession, root: str, name: str, mark: int, reset: bool = False) -> DataFrame:
+    """The checkpoints with the mark of one source merged in; with `reset` its old mark goes first, so it may fall."""
+    checkpoints = read_snapshot(spark, root, CHECKPOINT_TABLE, CHECKPOINTS)
     if reset:
         checkpoints = checkpoints.where(F.col("source_name") != name)
     now = spark.range(1).select(
@@ -88,7 +89,7 @@ def store_watermark(spark: SparkSession, root: str, name: str, mark: int, reset:
         F.lit(mark).cast("bigint").alias("watermark"),
         F.localtimestamp().alias("updated_at"),
     )
-    write_snapshot(upsert_checkpoint(checkpoints, now), base)
+    return upsert_checkpoint(checkpoints, now)
 
 
 def run_extract(
@@ -108,5 +109,6 @@ def run_extract(
         writer.option("partitionOverwriteMode", "static").parquet(raw)
     elif high > low:
         rows.write.mode("overwrite").parquet(f"{raw}/load_id={low + 1}")
-    store_watermark(spark, root, name, max(high, low), reset=full_refresh)
+    marks = advanced_checkpoints(spark, root, name, max(high, low), reset=full_refresh)
+    write_snapshot(marks, root, CHECKPOINT_TABLE)
     return {"previous": low, "current": max(high, low)}

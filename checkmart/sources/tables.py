@@ -1,8 +1,8 @@
 """Stored tables: Parquet folders, published versions, layer materialisation and mart scans.
 
-A table that is replaced as a whole is written to a new version folder first and becomes visible when one small
-row naming that folder is appended to the table's list of published versions. Readers therefore see the old or the new
-version, never a half-written one.
+A table that is replaced as a whole is written to a new version folder `<root>/<table>/<version>` first. It becomes visible
+when rows naming it are appended to the list of published versions under the root. A run publishes all its tables with
+one such append, so readers see the old or the new state of all of them, never a mixture or a half-written table.
 """
 
 import uuid
@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from checkmart.schemas import MART_SCHEMAS, schema_of
 
-PUBLISHED = schema_of("version string, sequence bigint, published_at timestamp_ntz")
+PUBLISHED = schema_of("table_name string, version string, sequence bigint, published_at timestamp_ntz")
 LISTING = "published_versions"
+PLAN_TABLE = "raw/stg_plan_daily"
 LAYERS = ("staging", "dwh", "mart")
 
 
@@ -37,71 +38,68 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def _last_published(spark: SparkSession, base: str) -> tuple[str | None, int]:
-    listing = f"{base}/{LISTING}"
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    listing = f"{root}/{LISTING}"
     if not path_exists(spark, listing):
-        return None, 0
-    rows = spark.read.schema(PUBLISHED).parquet(listing)
-    last = rows.agg(F.max_by("version", "sequence").alias("version"), F.max("sequence").alias("sequence")).first()
-    return last["version"], last["sequence"] or 0
+        return spark.createDataFrame([], PUBLISHED)
+    return spark.read.schema(PUBLISHED).parquet(listing)
 
 
-def stage_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Write `df` as a new, still unpublished version of the table at `base`; returns the version."""
+def stage_snapshot(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> str:
+    """Write `df` as a new, still unpublished version of the table; returns the version."""
     version = f"version-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(f"{base}/{version}")
+    df.write.partitionBy(*partition_by).parquet(f"{root}/{table}/{version}")
     return version
 
 
-def publish_snapshot(spark: SparkSession, base: str, version: str) -> None:
-    """Make a staged version the current one."""
-    _, sequence = _last_published(spark, base)
-    row = spark.range(1).select(
-        F.lit(version).alias("version"),
-        F.lit(sequence + 1).cast("bigint").alias("sequence"),
+def publish_snapshots(spark: SparkSession, root: str, versions: Mapping[str, str]) -> None:
+    """Make staged versions the current ones of their tables, all at once."""
+    sequence = (_published(spark, root).agg(F.max("sequence")).first()[0] or 0) + 1
+    rows = spark.createDataFrame(list(versions.items()), "table_name string, version string").select(
+        "table_name",
+        "version",
+        F.lit(sequence).cast("bigint").alias("sequence"),
         F.localtimestamp().alias("published_at"),
     )
-    row.coalesce(1).write.mode("append").parquet(f"{base}/{LISTING}")
+    # one file, so that the append is one step
+    rows.coalesce(1).write.mode("append").parquet(f"{root}/{LISTING}")
 
 
-def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Replace the table at `base` as a whole; returns the new version."""
-    version = stage_snapshot(df, base, partition_by)
-    publish_snapshot(df.sparkSession, base, version)
-    return version
+def write_snapshot(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the table as a whole."""
+    publish_snapshots(df.sparkSession, root, {table: stage_snapshot(df, root, table, partition_by)})
 
 
-def snapshot_path(spark: SparkSession, base: str) -> str | None:
-    """Folder of the current version, or None before the first one."""
-    version, _ = _last_published(spark, base)
-    return f"{base}/{version}" if version else None
+def snapshot_path(spark: SparkSession, root: str, table: str) -> str | None:
+    """Folder of the table's current version, or None before the first one."""
+    rows = _published(spark, root).where(F.col("table_name") == table)
+    version = rows.agg(F.max_by("version", "sequence")).first()[0]
+    return f"{root}/{table}/{version}" if version else None
 
 
-def read_snapshot(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
-    """The current version of the table at `base`; empty before the first one."""
-    path = snapshot_path(spark, base)
+def read_snapshot(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+    """The current version of the table; empty before the first one."""
+    path = snapshot_path(spark, root, table)
     if path is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
-def load_plan(plan: DataFrame, root: str) -> str:
+def load_plan(plan: DataFrame, root: str) -> None:
     """Replace the whole raw plan."""
-    return write_snapshot(plan, f"{root}/raw/stg_plan_daily")
+    write_snapshot(plan, root, PLAN_TABLE)
 
 
-def materialize(df: DataFrame, root: str, layer: str, name: str, publish: bool = True) -> DataFrame:
+def materialize(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
     """A table of a layer: staging becomes a lazy view, dwh and mart tables are stored as a new version."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer}")
     if layer == "staging":
         df.createOrReplaceTempView(name)
         return df
-    spark, base = df.sparkSession, f"{root}/{layer}/{name}"
-    version = stage_snapshot(df, base)
-    if publish:
-        publish_snapshot(spark, base, version)
-    return spark.read.schema(df.schema).parquet(f"{base}/{version}")
+    table = f"{layer}/{name}"
+    write_snapshot(df, root, table)
+    return read_snapshot(df.sparkSession, root, table, df.schema)
 
 
 def read_mart(
@@ -115,7 +113,7 @@ def read_mart(
     """Chosen columns of a mart in the given order, and no message; before its first build an empty table of the
     declared schema and a message that says what is missing."""
     schema = schemas[name]
-    path = snapshot_path(spark, f"{root}/mart/{name}")
+    path = snapshot_path(spark, root, f"mart/{name}")
     message = None if path else f"mart {name} has not been built under {root}; run the refresh first"
     mart = spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
     mart = mart.select(*(columns or schema.names))

@@ -28,7 +28,7 @@ def source(spark, count):
 
 
 def stored_fact(spark, root):
-    return read_fact(spark, snapshot_path(spark, f"{root}/{FACT_TABLE}"))
+    return read_fact(spark, snapshot_path(spark, root, FACT_TABLE))
 
 
 def revenue(spark, root):
@@ -43,9 +43,9 @@ def test_fact_refresh_builds_and_rebuilds(spark, tmp_path):
     report = refresh.run_fact_refresh(spark, root, source(spark, 5))
     assert report.where("failures > 0").count() == 0 and report.count() == 38
     assert revenue(spark, root) == {"2026-01-05": (20.0, None), "2026-02-01": (100.0, 300.0), "2026-03-03": (50.0, 10.0)}
-    first = snapshot_path(spark, f"{root}/{FACT_TABLE}")
+    first = snapshot_path(spark, root, FACT_TABLE)
     refresh.run_fact_refresh(spark, root, source(spark, 7))
-    assert snapshot_path(spark, f"{root}/{FACT_TABLE}") != first
+    assert snapshot_path(spark, root, FACT_TABLE) != first
     assert revenue(spark, root)["2026-02-01"] == (150.0, 300.0)
     for name, schema in MART_SCHEMAS.items():
         mart, message = read_mart(spark, root, name)
@@ -98,14 +98,14 @@ def test_plan_refresh(spark, tmp_path):
     with pytest.raises(ValueError, match="run the fact refresh first"):
         refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN))
     refresh.run_fact_refresh(spark, root, source(spark, 7))
-    channel = snapshot_path(spark, f"{root}/mart/mart_channel_daily")
+    channel = snapshot_path(spark, root, "mart/mart_channel_daily")
     report = refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN[:1]))
     assert {r.table_name for r in report.collect()} == {
         "stg_plan_daily", "dim_date", "mart_plan_fact_daily", "mart_dashboard_daily"
     }
     assert revenue(spark, root)["2026-02-01"] == (150.0, 300.0)
     assert revenue(spark, root)["2026-03-03"] == (120.0, None)
-    assert snapshot_path(spark, f"{root}/mart/mart_channel_daily") == channel
+    assert snapshot_path(spark, root, "mart/mart_channel_daily") == channel
     with pytest.raises(ValueError, match="plan_total_amount not_null"):
         refresh.run_plan_refresh(spark, root, raw_plan(spark, [{"plan_date": "2026-02-01"}]))
     assert revenue(spark, root)["2026-02-01"] == (150.0, 300.0)

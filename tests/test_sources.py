@@ -83,7 +83,7 @@ def test_read_plan_extract(spark, tmp_path):
     assert (first.plan_avg_guest_restaurant, first.plan_avg_guest_banquet) == (10.0, 12.0)
     assert second.plan_total_amount is None and first.source_file == "plan.csv"
     with pytest.raises(ValueError, match="Ресторан #3"):
-        extracts.plan_positions([h for i, h in enumerate(headers) if i != 9])
+        extracts.plan_positions([h for i, h in enumerate(headers) if i != 10])
 
 
 def test_assign_row_ids_is_dense_and_ordered(spark):
@@ -108,17 +108,22 @@ def test_build_source_numbers_periods_in_list_order(spark):
 
 
 def test_snapshots(spark, tmp_path):
-    base = f"{tmp_path}/t"
-    schema = spark.range(1).schema
-    assert tables.read_snapshot(spark, base, schema).count() == 0
-    tables.write_snapshot(spark.range(3), base)
-    tables.write_snapshot(spark.range(5), base)
-    assert tables.read_snapshot(spark, base, schema).count() == 5
-    tables.stage_snapshot(spark.range(9), base)
-    assert tables.read_snapshot(spark, base, schema).count() == 5
+    root, schema = str(tmp_path), spark.range(1).schema
+
+    def count(table="t"):
+        return tables.read_snapshot(spark, root, table, schema).count()
+
+    assert count() == 0
+    tables.write_snapshot(spark.range(3), root, "t")
+    tables.write_snapshot(spark.range(5), root, "t")
+    assert count() == 5
+    staged = {"t": tables.stage_snapshot(spark.range(9), root, "t"), "u": tables.stage_snapshot(spark.range(2), root, "u")}
+    assert (count(), count("u")) == (5, 0)
+    tables.publish_snapshots(spark, root, staged)
+    assert (count(), count("u")) == (9, 2)
     # a table may be replaced by something computed from itself
-    tables.write_snapshot(tables.read_snapshot(spark, base, schema).where("id < 2"), base)
-    assert tables.read_snapshot(spark, base, schema).count() == 2
+    tables.write_snapshot(tables.read_snapshot(spark, root, "t", schema).where("id < 2"), root, "t")
+    assert (count(), count("u")) == (2, 2)
 
 
 def test_ensure_table_keeps_what_is_there(spark, tmp_path):
@@ -148,7 +153,7 @@ def test_load_plan_replaces(spark, tmp_path):
     root = str(tmp_path)
     tables.load_plan(raw_plan(spark, [{"plan_date": "2026-02-01"}, {"plan_date": "2026-02-02"}]), root)
     tables.load_plan(raw_plan(spark, [{"plan_date": "2026-03-01"}]), root)
-    got = tables.read_snapshot(spark, f"{root}/raw/stg_plan_daily", RAW_PLAN)
+    got = tables.read_snapshot(spark, root, "raw/stg_plan_daily", RAW_PLAN)
     assert [str(r.plan_date) for r in got.collect()] == ["2026-03-01"]
 
 
@@ -196,11 +201,12 @@ def test_checkpoints(spark):
 
 def test_read_source(spark, tmp_path):
     rows = source_rows(spark, [1, 2])
-    tables.write_snapshot(rows, f"{tmp_path}/versioned")
+    tables.write_snapshot(rows, str(tmp_path), "pos/check_items")
     rows.write.parquet(f"{tmp_path}/plain")
     rows.createOrReplaceTempView("pos_lines")
-    for location in (f"{tmp_path}/versioned", f"{tmp_path}/plain", "pos_lines"):
+    for location in (f"{tmp_path}/plain", "pos_lines"):
         assert incremental.read_source(spark, location).count() == 2
+    assert incremental.read_source(spark, "pos/check_items", str(tmp_path)).count() == 2
 
 
 def test_stream_loads_every_file_once(spark, tmp_path):
