@@ -3,8 +3,9 @@ from helpers import line, raw_checks, raw_plan
 from pyspark.sql import functions as F
 
 from checkmart.plans import refresh
-from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact
+from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact, refreshed_months, with_month
 from checkmart.schemas import MART_SCHEMAS
+from checkmart.session import written
 from checkmart.sources.incremental import read_raw_checks, run_extract
 from checkmart.sources.tables import load_plan, read_mart, snapshot_path
 
@@ -37,84 +38,81 @@ def revenue(spark, root):
     return {str(r.revenue_date): (r.fact_total_amount, r.plan_total_amount) for r in mart.collect()}
 
 
-def test_fact_refresh_builds_and_rebuilds(spark, tmp_path):
-    root = str(tmp_path)
-    load_plan(raw_plan(spark, PLAN), root)
-    report = refresh.run_fact_refresh(spark, root, source(spark, 5))
-    assert report.where("failures > 0").count() == 0 and report.count() == 38
-    assert revenue(spark, root) == {"2026-01-05": (20.0, None), "2026-02-01": (100.0, 300.0), "2026-03-03": (50.0, 10.0)}
-    first = snapshot_path(spark, root, FACT_TABLE)
-    refresh.run_fact_refresh(spark, root, source(spark, 7))
-    assert snapshot_path(spark, root, FACT_TABLE) != first
-    assert revenue(spark, root)["2026-02-01"] == (150.0, 300.0)
-    for name, schema in MART_SCHEMAS.items():
-        mart, message = read_mart(spark, root, name)
-        assert message is None and mart.schema == schema and mart.count() > 0
+def files_by_month(spark, root):
+    rows = stored_fact(spark, root).select(MONTH, F.col("_metadata.file_path").alias("path")).collect()
+    return {row[MONTH]: row.path for row in rows}
 
 
-def test_incremental_refresh_rewrites_touched_months_only(spark, tmp_path):
-    root = str(tmp_path)
-    load_plan(raw_plan(spark, PLAN), root)
-    refresh.run_fact_refresh(spark, root, source(spark, 5))
-    files = {r[MONTH]: r.f for r in stored_fact(spark, root).select(MONTH, F.col("_metadata.file_path").alias("f")).collect()}
-    refresh.run_fact_refresh(spark, root, source(spark, 7), incremental=True)
-    after = {r[MONTH]: r.f for r in stored_fact(spark, root).select(MONTH, F.col("_metadata.file_path").alias("f")).collect()}
-    assert files["2026-01"] == after["2026-01"] and files["2026-02"] != after["2026-02"]
-    rebuilt = fact_check_items(read_raw_checks(spark, root))
-    assert sorted(stored_fact(spark, root).drop(MONTH).collect()) == sorted(rebuilt.collect())
-    assert revenue(spark, root)["2026-03-03"] == (120.0, 10.0)
-    # nothing new: the same again
-    refresh.run_fact_refresh(spark, root, source(spark, 7), incremental=True)
-    assert sorted(stored_fact(spark, root).drop(MONTH).collect()) == sorted(rebuilt.collect())
-
-
-def test_incremental_refresh_that_empties_a_month_rebuilds(spark, tmp_path):
-    root = str(tmp_path)
-    refresh.run_fact_refresh(spark, root, source(spark, 5))
-    moved = [*ROWS[:5], line(4, "13:00", 1.0, 20.0, **MARCH)]
-    refresh.run_fact_refresh(spark, root, raw_checks(spark, moved).drop("extracted_at"), incremental=True)
-    months = {r[MONTH] for r in stored_fact(spark, root).collect()}
-    assert months == {"2026-02", "2026-03"}
-
-
-def test_failed_checks_leave_the_published_tables(spark, tmp_path):
-    root = str(tmp_path)
-    refresh.run_fact_refresh(spark, root, source(spark, 5))
-    before = revenue(spark, root)
-    broken = raw_checks(spark, [*ROWS, line(9, "12:00", 1.0, 5.0, dish_name=None)]).drop("extracted_at")
-    for incremental in (False, True):
-        with pytest.raises(ValueError, match=r"stg_checks\.dish_name not_null: 1"):
-            refresh.run_fact_refresh(spark, root, broken, incremental=incremental)
-        assert revenue(spark, root) == before
-    # the rows of the failed run are not lost for the incremental refresh
-    suite = [c for c in refresh.CHECK_SUITE if c.column != "dish_name"]
-    refresh.run_fact_refresh(spark, root, broken, suite=suite, incremental=True)
+def assert_fact_is_rebuilt(spark, root):
     rebuilt = fact_check_items(read_raw_checks(spark, root))
     assert sorted(map(str, stored_fact(spark, root).drop(MONTH).collect())) == sorted(map(str, rebuilt.collect()))
 
 
-def test_plan_refresh(spark, tmp_path):
+def test_refresh_jobs(spark, tmp_path):
+    """One warehouse through its life: the steps depend on each other."""
     root = str(tmp_path)
     with pytest.raises(ValueError, match="run the fact refresh first"):
         refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN))
-    refresh.run_fact_refresh(spark, root, source(spark, 7))
+
+    # first build, without a plan
+    report = refresh.run_fact_refresh(spark, root, source(spark, 5))
+    assert report.where("failures > 0").count() == 0 and report.count() == 38
+    assert revenue(spark, root) == {"2026-01-05": (20.0, None), "2026-02-01": (100.0, None), "2026-03-03": (50.0, None)}
+    for name, schema in MART_SCHEMAS.items():
+        mart, message = read_mart(spark, root, name)
+        assert message is None and mart.schema == schema and mart.count() > 0
+    assert spark.table("stg_checks").count() == 5
+
+    # the plan job touches its dependants only
     channel = snapshot_path(spark, root, "mart/mart_channel_daily")
-    report = refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN[:1]))
+    report = refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN))
     assert {r.table_name for r in report.collect()} == {
         "stg_plan_daily", "dim_date", "mart_plan_fact_daily", "mart_dashboard_daily"
     }
-    assert revenue(spark, root)["2026-02-01"] == (150.0, 300.0)
-    assert revenue(spark, root)["2026-03-03"] == (120.0, None)
+    assert revenue(spark, root)["2026-03-03"] == (50.0, 10.0)
     assert snapshot_path(spark, root, "mart/mart_channel_daily") == channel
     with pytest.raises(ValueError, match="plan_total_amount not_null"):
         refresh.run_plan_refresh(spark, root, raw_plan(spark, [{"plan_date": "2026-02-01"}]))
-    assert revenue(spark, root)["2026-02-01"] == (150.0, 300.0)
+    assert revenue(spark, root)["2026-03-03"] == (50.0, 10.0)
+    load_plan(raw_plan(spark, PLAN), root)
 
+    # new versions rewrite the months they touch
+    before = files_by_month(spark, root)
+    refresh.run_fact_refresh(spark, root, source(spark, 7), incremental=True)
+    after = files_by_month(spark, root)
+    assert before["2026-01"] == after["2026-01"] and before["2026-02"] != after["2026-02"]
+    assert_fact_is_rebuilt(spark, root)
+    published = revenue(spark, root)
+    assert published["2026-02-01"] == (150.0, 300.0) and published["2026-03-03"] == (120.0, 10.0)
 
-def test_full_refresh(spark, tmp_path):
-    root = str(tmp_path)
-    refresh.run_fact_refresh(spark, root, source(spark, 7))
+    # a failed check publishes nothing, and the next incremental run picks the rows up
+    broken = raw_checks(spark, [*ROWS, line(9, "12:00", 1.0, 5.0, dish_name=None)]).drop("extracted_at")
+    with pytest.raises(ValueError, match=r"stg_checks\.dish_name not_null: 1"):
+        refresh.run_fact_refresh(spark, root, broken, incremental=True)
+    assert revenue(spark, root) == published
+    suite = [c for c in refresh.CHECK_SUITE if c.column != "dish_name"]
+    refresh.run_fact_refresh(spark, root, broken, suite=suite, incremental=True)
+    assert_fact_is_rebuilt(spark, root)
+    assert revenue(spark, root)["2026-02-01"] == (155.0, 300.0)
+
+    # start over from a source that holds less
     refresh.run_fact_refresh(spark, root, source(spark, 3), full_refresh=True)
     assert read_raw_checks(spark, root).count() == 3
     assert run_extract(spark, source(spark, 3), root) == {"previous": 3, "current": 3}
     assert set(revenue(spark, root)) == {"2026-02-01", "2026-03-03"}
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_refreshed_months(spark, broadcast_rows):
+    def refreshed(rows, changed_from):
+        raw = raw_checks(spark, rows)
+        fact = written(with_month(fact_check_items(raw.where(F.col("source_row_id") < changed_from))), "fact")
+        changed = raw.where(F.col("source_row_id") >= changed_from).select("check_id").distinct()
+        return fact_check_items(raw), refreshed_months(raw, fact, changed, broadcast_rows=broadcast_rows)
+
+    rebuilt, months = refreshed(ROWS, 6)
+    assert {row[MONTH] for row in months.months.collect()} == {"2026-02", "2026-03"}
+    assert sorted(map(str, months.all_rows.collect())) == sorted(map(str, rebuilt.collect()))
+    # the only check of January moves to March: a partition overwrite cannot empty January
+    _, months = refreshed([*ROWS[:5], line(4, "13:00", 1.0, 20.0, **MARCH)], 6)
+    assert months is None
