@@ -1,9 +1,10 @@
 """Group operators that stay balanced when one key holds a large share of all rows.
 
 A window or a plain equi-join sends every row of one key to one task. The operators here first measure the heaviest
-key with a map-side-combined count. Without a hot key they are the plain Spark form: one shuffle, no join. With hot
-keys, the rows of those keys never travel by their key: they meet their group value through a broadcast whose
-row count has just been measured, or, beyond that size, through a join salted over SALTS partitions per key.
+key with a map-side-combined count. Without a hot key they are the plain Spark form. Rows of hot keys never travel by
+their key: they meet their partner row through a broadcast whose row count has just been measured, or, beyond that
+size, through a join that spreads every hot key over SALTS partitions. Hot keys are few by definition: a table of n
+rows has at most n / HOT_ROWS of them.
 """
 
 from collections.abc import Sequence
@@ -34,21 +35,53 @@ def _all_salts() -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, *values: Column) -> DataFrame | None:
+    """Keys with more than `hot_rows` rows, with aggregates of their groups, as a stored table; None if there are none."""
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *values)
+    heaviest = groups.agg(F.max("_rows")).first()[0] or 0
+    if heaviest <= hot_rows:
+        return None
+    return written(groups.where(F.col("_rows") > hot_rows).drop("_rows"), "hot-keys")
+
+
+def _join_few(df: DataFrame, few: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int) -> DataFrame:
+    # a join with few keys that does not move the rows of one key to one task
+    if few.count() <= broadcast_rows:
+        joined = df.join(F.broadcast(few), list(keys), how)
+    else:
+        salted = df.withColumn(_SALT, _row_salt(df))
+        joined = salted.join(few.withColumn(_SALT, _all_salts()), [*keys, _SALT], how)
+    return joined.select(*df.columns, *_added(few, keys, how))
+
+
+def _added(keyed: DataFrame, keys: Sequence[str], how: str) -> list[str]:
+    return [] if how in ("left_semi", "left_anti") else [c for c in keyed.columns if c not in keys]
+
+
 def join_by_key(
-    df: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    keyed: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join rows with a table that has one row per key (inner, left, left_semi or left_anti).
+    """Join rows with a stored table that has one row per key (inner, left, left_semi or left_anti).
 
-    `keyed` is counted first (its caller keeps it cheap to count). Up to `broadcast_rows` rows it is broadcast and `df`
-    is not shuffled. Beyond that, it is repeated per salt and `df` is spread over keys and salts.
+    `keyed` is counted first. Up to `broadcast_rows` rows it is broadcast and `df` is not shuffled. Beyond that, both
+    sides are shuffled by key, except for the hot keys of `df`, which are joined apart.
     """
     if keyed.count() <= broadcast_rows:
-        joined = df.join(F.broadcast(keyed), list(keys), how)
-    else:
-        salted = df.withColumn(_SALT, _row_salt(df))
-        joined = salted.join(keyed.withColumn(_SALT, _all_salts()), [*keys, _SALT], how)
-    added = [] if how in ("left_semi", "left_anti") else [c for c in keyed.columns if c not in keys]
-    return joined.select(*df.columns, *added)
+        return _join_few(df, keyed, keys, how, broadcast_rows)
+    hot = hot_groups(df, keys, hot_rows)
+    columns = [*df.columns, *_added(keyed, keys, how)]
+    if hot is None:
+        return df.join(keyed, list(keys), how).select(*columns)
+    hot_rows_of_df = _join_few(df, hot, keys, "left_semi", broadcast_rows)
+    other_rows = _join_few(df, hot, keys, "left_anti", broadcast_rows)
+    partners = written(keyed.join(hot, list(keys), "left_semi").select(*keyed.columns), "hot-partners")
+    hot_part = _join_few(hot_rows_of_df, partners, keys, how, broadcast_rows)
+    return hot_part.unionByName(other_rows.join(keyed, list(keys), how).select(*columns))
 
 
 def with_group_max(
@@ -59,13 +92,14 @@ def with_group_max(
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add `out`, the maximum of `value` over the rows with the same keys. Keys must not be NULL."""
-    window = Window.partitionBy(*keys)
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.max(value).alias(out))
-    heaviest = groups.agg(F.max("_rows")).first()[0] or 0
-    if heaviest <= hot_rows:
-        return df.withColumn(out, F.max(value).over(window))
-    hot = written(groups.where(F.col("_rows") > hot_rows).drop("_rows"), "hot-keys")
-    hot_lines = join_by_key(df, hot, keys, "inner", broadcast_rows)
-    cold_lines = join_by_key(df, hot.select(*keys), keys, "left_anti", broadcast_rows)
-    return hot_lines.unionByName(cold_lines.withColumn(out, F.max(value).over(window)))
+    """Add `out`, the maximum of `value` over the rows with the same keys. Keys must not be NULL.
+
+    Without a hot key this is one shuffle and a window.
+    """
+    over_group = F.max(value).over(Window.partitionBy(*keys))
+    hot = hot_groups(df, keys, hot_rows, F.max(value).alias(out))
+    if hot is None:
+        return df.withColumn(out, over_group)
+    hot_part = _join_few(df, hot, keys, "inner", broadcast_rows)
+    others = _join_few(df, hot.select(*keys), keys, "left_anti", broadcast_rows)
+    return hot_part.unionByName(others.withColumn(out, over_group))

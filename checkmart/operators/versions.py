@@ -98,8 +98,12 @@ def superseded_versions(stg: DataFrame, hot_rows: int = HOT_ROWS, broadcast_rows
 
 
 def replace_checks(
-    current: DataFrame, rebuilt: DataFrame, changed: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    current: DataFrame,
+    rebuilt: DataFrame,
+    changed: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """`current` without the rows of the changed checks, plus their rebuilt rows."""
-    kept = join_by_key(current, changed, ["check_id"], "left_anti", broadcast_rows)
+    kept = join_by_key(current, changed, ["check_id"], "left_anti", hot_rows, broadcast_rows)
     return kept.unionByName(rebuilt)

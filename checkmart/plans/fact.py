@@ -79,8 +79,8 @@ def incremental_fact_refresh(
     `changed` holds every check id of the new rows once, as a stored table; `raw` includes the new rows. A newer
     close may arrive for any old check, so no check is ever closed to changes. Equals a full rebuild.
     """
-    touched = join_by_key(raw, changed, ["check_id"], "left_semi", broadcast_rows)
-    return replace_checks(fact, fact_check_items(touched, rules, hot_rows), changed, broadcast_rows)
+    touched = join_by_key(raw, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
+    return replace_checks(fact, fact_check_items(touched, rules, hot_rows), changed, hot_rows, broadcast_rows)
 
 
 def with_month(fact: DataFrame) -> DataFrame:
@@ -125,13 +125,13 @@ def refreshed_months(
     `fact` is the stored fact with its month column. None when a month would end up empty: a partition overwrite
     cannot express that, so the caller rebuilds.
     """
-    touched = join_by_key(raw, changed, ["check_id"], "left_semi", broadcast_rows)
+    touched = join_by_key(raw, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
     rebuilt = written(with_month(fact_check_items(touched, rules, hot_rows)), "rebuilt-checks")
-    replaced = join_by_key(fact, changed, ["check_id"], "left_semi", broadcast_rows)
+    replaced = join_by_key(fact, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
     months = _months_of(rebuilt) | _months_of(replaced)
     in_months = F.col(MONTH).isin(sorted(months))
     content = written(
-        replace_checks(fact.where(in_months), rebuilt, changed, broadcast_rows).hint("rebalance", MONTH),
+        replace_checks(fact.where(in_months), rebuilt, changed, hot_rows, broadcast_rows).hint("rebalance", MONTH),
         "refreshed-months",
     )
     if _months_of(content) != months:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.operators.daily import (
+    condensed,
     mart_avg_check_by_order_type,
     mart_channel_daily,
     mart_dashboard_daily,
@@ -21,7 +22,7 @@ from checkmart.operators.quality import CHECK_SUITE, RELATIONSHIP_SUITE, Check,
 from checkmart.operators.versions import cancelled_checks
 from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact, refreshed_months, with_month
 from checkmart.plans.staging import stage_checks, stage_plan
-from checkmart.schemas import RAW_PLAN
+from checkmart.schemas import CONDENSED_CHECKS, RAW_PLAN
 from checkmart.session import written
 from checkmart.sources.incremental import (
     CHECKPOINT_TABLE,
@@ -41,6 +42,9 @@ from checkmart.sources.tables import (
 )
 from checkmart.vocabulary import RESTAURANT, CheckRules
 
+# one row per check, day and order type; the daily marts are built from it
+CONDENSED_TABLE = "dwh/condensed_checks"
+
 
 class _Run:
     """Tables written by one run, by path under the root; nothing is visible before `publish`."""
@@ -63,9 +67,9 @@ def stored_plan(spark: SparkSession, root: str) -> DataFrame:
     return stage_plan(read_snapshot(spark, root, PLAN_TABLE, RAW_PLAN))
 
 
-def _plan_marts(run: _Run, fact: DataFrame, stg: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:
+def _plan_marts(run: _Run, checks: DataFrame, stg: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:
     days = run.store(dim_date(stg, plan), "dwh/dim_date")
-    plan_fact = run.store(mart_plan_fact_daily(fact, plan), "mart/mart_plan_fact_daily")
+    plan_fact = run.store(mart_plan_fact_daily(checks, plan), "mart/mart_plan_fact_daily")
     dashboard = run.store(mart_dashboard_daily(plan_fact), "mart/mart_dashboard_daily")
     return {"dim_date": days, "mart_plan_fact_daily": plan_fact, "mart_dashboard_daily": dashboard}
 
@@ -108,6 +112,7 @@ def run_fact_refresh(
         fact = stored.drop(MONTH)
     else:
         fact = months.all_rows
+    checks = run.store(condensed(fact), CONDENSED_TABLE)
     tables = {
         "stg_checks": stg,
         "stg_plan_daily": plan,
@@ -115,12 +120,12 @@ def run_fact_refresh(
         "dim_dish": run.store(dim_dish(stg), "dwh/dim_dish"),
         "dim_order_type": run.store(dim_order_type(stg), "dwh/dim_order_type"),
         "cancelled_checks": run.store(cancelled_checks(stg), "dwh/cancelled_checks"),
-        "mart_channel_daily": run.store(mart_channel_daily(fact), "mart/mart_channel_daily"),
+        "mart_channel_daily": run.store(mart_channel_daily(checks), "mart/mart_channel_daily"),
         "mart_avg_check_by_order_type": run.store(
-            mart_avg_check_by_order_type(fact), "mart/mart_avg_check_by_order_type"
+            mart_avg_check_by_order_type(checks), "mart/mart_avg_check_by_order_type"
         ),
         "mart_dish_sales_daily": run.store(mart_dish_sales_daily(fact), "mart/mart_dish_sales_daily"),
-        **_plan_marts(run, fact, stg, plan),
+        **_plan_marts(run, checks, stg, plan),
     }
     report = _check(tables, suite)
     if months is not None:
@@ -137,17 +142,17 @@ def run_plan_refresh(
 ) -> DataFrame:
     """Replace the plan and rebuild only what depends on it: calendar, plan-versus-fact mart, dashboard mart.
 
-    Reads the stored fact, so the fact refresh must have run before.
+    Reads the condensed fact that the fact refresh stored, so that job must have run before.
     """
-    fact_path = snapshot_path(spark, root, FACT_TABLE)
-    if fact_path is None:
+    checks_path = snapshot_path(spark, root, CONDENSED_TABLE)
+    if checks_path is None:
         raise ValueError(f"no fact under {root}; run the fact refresh first")
     load_plan(plan, root)
     staged = stored_plan(spark, root)
     staged.createOrReplaceTempView("stg_plan_daily")
     run = _Run(spark, root)
     stg = stage_checks(read_raw_checks(spark, root), rules)
-    tables = {"stg_plan_daily": staged, **_plan_marts(run, read_fact(spark, fact_path).drop(MONTH), stg, staged)}
+    tables = {"stg_plan_daily": staged, **_plan_marts(run, spark.read.schema(CONDENSED_CHECKS).parquet(checks_path), stg, staged)}
     report = _check(tables, suite)
     run.publish()
     return report

@@ -49,6 +49,11 @@ FACT_CHECK_ITEMS = schema_of(
     " is_suspicious_open_date boolean, source_period string, source_sheet string, extracted_at timestamp_ntz"
 )
 
+CONDENSED_CHECKS = schema_of(
+    "revenue_date date, order_type string, channel_group string, check_id bigint, guest_count int,"
+    " amount_discount_rub double, is_turnover_item boolean"
+)
+
 MART_PLAN_FACT_DAILY = schema_of(
     "revenue_date date, checks_count bigint, guests_count bigint, fact_total_amount double, plan_total_amount double,"
     " plan_fact_delta_amount double, plan_completion_rate double, fact_restaurant_amount double,"

@@ -32,7 +32,7 @@ def read_watermark(checkpoints: DataFrame, name: str) -> DataFrame:
 
 
 def source_watermark(source: DataFrame) -> DataFrame:
-    """Highest row id of the source, zero if it is empty, as one row (Parquet answers from its footers)."""
+    """Highest row id of the source, zero if it is empty, as one row."""
     return source.agg(F.coalesce(F.max("source_row_id"), F.lit(0).cast("bigint")).alias("watermark"))
 
 

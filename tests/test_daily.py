@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checkmart.operators import daily, dims, reports
 from checkmart.plans.fact import fact_check_items
 from checkmart.plans.staging import stage_checks, stage_plan
-from checkmart.schemas import MART_DASHBOARD_DAILY, MART_SCHEMAS
+from checkmart.schemas import CONDENSED_CHECKS, MART_DASHBOARD_DAILY, MART_SCHEMAS
 
 
 @pytest.fixture(scope="module")
@@ -138,6 +138,17 @@ def test_dimensions(raw, plan):
     assert dims.date_spine(nothing).count() == 0
 
 
+def test_marts_of_the_condensed_fact_are_the_same(fact, plan):
+    checks = daily.condensed(fact)
+    assert checks.count() < fact.count() and checks.schema.names == CONDENSED_CHECKS.names
+    for mart in (
+        daily.mart_channel_daily,
+        daily.mart_avg_check_by_order_type,
+        lambda lines: daily.mart_plan_fact_daily(lines, plan),
+    ):
+        assert sorted(map(str, mart(checks).collect())) == sorted(map(str, mart(fact).collect()))
+
+
 def test_turnover_flag_never_changes_revenue(fact):
     flagged = daily.check_level(fact, ["revenue_date"]).agg(F.sum("check_revenue")).first()[0]
     assert abs(flagged - fact.agg(F.sum("amount_discount_rub")).first()[0]) < 1e-6

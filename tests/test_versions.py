@@ -125,13 +125,13 @@ def test_superseded_versions(spark, hot_rows, broadcast_rows):
     assert sorted((r.check_id, str(r.open_ts)[11:16]) for r in got) == [(1, "10:00"), (3, "08:00")]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_incremental_refresh_equals_rebuild(spark, broadcast_rows):
+@pytest.mark.parametrize(("hot_rows", "broadcast_rows"), [(10**6, 1000), (5, 3)])
+def test_incremental_refresh_equals_rebuild(spark, hot_rows, broadcast_rows):
     draw = random.Random(5)
     rows = [line(draw.randint(1, 40), f"1{draw.randint(0, 9)}:00", draw.choice([0.0, 1.0])) for _ in range(300)]
     df = raw_checks(spark, rows)
     fact = None
-    for low, high in [(0, 120), (120, 180), (180, 180), (180, 300)]:
+    for low, high in [(0, 180), (180, 180), (180, 300)]:
         seen = df.where(F.col("source_row_id") <= high)
         changed = written(
             df.where(F.col("source_row_id").between(low + 1, high)).select("check_id").distinct(), "changed"
@@ -139,18 +139,22 @@ def test_incremental_refresh_equals_rebuild(spark, broadcast_rows):
         if fact is None:
             fact = written(fact_check_items(seen), "fact")
         else:
-            fact = written(incremental_fact_refresh(seen, fact, changed, broadcast_rows=broadcast_rows), "fact")
+            fact = written(incremental_fact_refresh(seen, fact, changed, hot_rows=hot_rows, broadcast_rows=broadcast_rows), "fact")
         assert sorted(fact.collect()) == sorted(fact_check_items(seen).collect())
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_join_by_key_forms_agree(spark, how):
-    left = spark.range(500).select((F.col("id") % 7).alias("k"), "id")
-    right = spark.range(4).select(F.col("id").alias("k"), *([F.lit("x").alias("v")] if how in ("inner", "left") else []))
-    small = skew.join_by_key(left, right, ["k"], how)
-    large = skew.join_by_key(left, right, ["k"], how, broadcast_rows=0)
-    assert small.columns == large.columns
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    # key 0 holds a third of the rows, and NULL keys never match
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 != 1, F.col("id") % 7)
+    left = written(spark.range(500).select(key.alias("k"), "id"), "left")
+    extra = [F.lit("x").alias("v")] if how in ("inner", "left") else []
+    right = written(spark.range(4).select(F.col("id").cast("int").alias("k"), *extra), "right")
+    expected = left.join(right, "k", how).select("k", "id", *["v" for _ in extra])
+    for hot_rows, broadcast_rows in [(10**6, 10**6), (10**6, 0), (100, 3), (100, 0), (1, 3)]:
+        got = skew.join_by_key(left, right, ["k"], how, hot_rows, broadcast_rows)
+        assert got.columns == expected.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
 def test_staging_flags(spark):
