@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checkmart.functions.flags import channel_group, is_service_item, is_zero_amount_modifier, is_zero_qty
 from checkmart.functions.text import category_clean, clean_text, is_delivery_category
@@ -12,16 +13,14 @@ from checkmart.vocabulary import RESTAURANT, CheckRules
 TEXT_COLUMNS = ("dish_name", "dish_category", "order_type")
 
 
+def typed_as(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema, in its order and types."""
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
+
+
 def stage_checks(raw: DataFrame, rules: CheckRules = RESTAURANT) -> DataFrame:
     """The 20 raw columns in their declared types, plus cleaned category, channel, flags and check duration."""
-    typed = raw.select(
-        *[
-            clean_text(F.col(f.name)).alias(f.name)
-            if f.name in TEXT_COLUMNS
-            else F.col(f.name).cast(f.dataType.simpleString()).alias(f.name)
-            for f in RAW_CHECKS.fields
-        ]
-    )
+    typed = typed_as(raw, RAW_CHECKS).withColumns({name: clean_text(F.col(name)) for name in TEXT_COLUMNS})
     category, dish, amount = F.col("dish_category"), F.col("dish_name"), F.col("amount_discount_rub")
     open_ts, close_ts = F.col("open_ts"), F.col("close_ts")
     return typed.select(
@@ -40,4 +39,4 @@ def stage_checks(raw: DataFrame, rules: CheckRules = RESTAURANT) -> DataFrame:
 
 def stage_plan(raw: DataFrame) -> DataFrame:
     """The 16 plan columns in their declared types."""
-    return raw.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in RAW_PLAN.fields])
+    return typed_as(raw, RAW_PLAN)
