@@ -36,7 +36,7 @@ def _all_salts() -> Column:
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, *values: Column) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, with aggregates of their groups, as a stored table; None if there are none."""
+    """Keys with more than `hot_rows` rows and aggregates of their groups, as a stored table; None without any."""
     groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *values)
     heaviest = groups.agg(F.max("_rows")).first()[0] or 0
     if heaviest <= hot_rows:

@@ -240,8 +240,6 @@ ORDERS_ACTUAL = [*ORDERS_CHECKS, ACTUAL]
 ORDERS_PLAN_FACT = [*ORDERS_ACTUAL, PLAN, PLAN_FACT]
 ORDERS_DASHBOARD = [*ORDERS_PLAN_FACT, DASHBOARD]
 
-MD5 = "MD5({})".format
-
 _KEY = "check_id, dish_name, close_ts"
 _LINE = (
     "accounting_date, check_id, open_ts, open_hour, close_ts, close_hour, dish_name, dish_category, order_type, qty,"

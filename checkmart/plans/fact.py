@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,10 +83,14 @@ def incremental_fact_refresh(
     return replace_checks(fact, fact_check_items(touched, rules, hot_rows), changed, hot_rows, broadcast_rows)
 
 
+def month_of(day: str) -> Column:
+    """Month of a date column as text."""
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+
+
 def with_month(fact: DataFrame) -> DataFrame:
     """The fact laid out for storage by month. A busy month is split over several tasks, a quiet one fills one file."""
-    month = F.coalesce(F.date_format("revenue_date", "yyyy-MM"), F.lit("none"))
-    return fact.withColumn(MONTH, month).hint("rebalance", MONTH)
+    return fact.withColumn(MONTH, month_of("revenue_date")).hint("rebalance", MONTH)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -98,9 +102,14 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 class MonthRefresh(NamedTuple):
     """New content of the months that changed checks touch, and the whole fact with it."""
 
+    names: list[str]
     months: DataFrame
     all_rows: DataFrame
 
+    def untouched(self, daily: DataFrame) -> DataFrame:
+        """The rows of a daily table that belong to other months."""
+        return daily.where(~month_of("revenue_date").isin(self.names))
+
     def overwrite(self, path: str) -> None:
         """Replace just these months in the stored fact. Repeating it after a failure gives the same fact."""
         writer = self.months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -128,12 +137,12 @@ def refreshed_months(
     touched = join_by_key(raw, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
     rebuilt = written(with_month(fact_check_items(touched, rules, hot_rows)), "rebuilt-checks")
     replaced = join_by_key(fact, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
-    months = _months_of(rebuilt) | _months_of(replaced)
-    in_months = F.col(MONTH).isin(sorted(months))
+    names = sorted(_months_of(rebuilt) | _months_of(replaced))
+    in_months = F.col(MONTH).isin(names)
     content = written(
         replace_checks(fact.where(in_months), rebuilt, changed, hot_rows, broadcast_rows).hint("rebalance", MONTH),
         "refreshed-months",
     )
-    if _months_of(content) != months:
+    if sorted(_months_of(content)) != names:
         return None
-    return MonthRefresh(content, fact.where(~in_months).unionByName(content).drop(MONTH))
+    return MonthRefresh(names, content, fact.where(~in_months).unionByName(content).drop(MONTH))

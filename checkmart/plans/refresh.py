@@ -22,7 +22,7 @@ from checkmart.operators.quality import CHECK_SUITE, RELATIONSHIP_SUITE, Check,
 from checkmart.operators.versions import cancelled_checks
 from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact, refreshed_months, with_month
 from checkmart.plans.staging import stage_checks, stage_plan
-from checkmart.schemas import CONDENSED_CHECKS, RAW_PLAN
+from checkmart.schemas import CONDENSED_CHECKS, MART_DISH_SALES_DAILY, RAW_PLAN
 from checkmart.session import written
 from checkmart.sources.incremental import (
     CHECKPOINT_TABLE,
@@ -44,6 +44,7 @@ from checkmart.vocabulary import RESTAURANT, CheckRules
 
 # one row per check, day and order type; the daily marts are built from it
 CONDENSED_TABLE = "dwh/condensed_checks"
+DISH_MART = "mart/mart_dish_sales_daily"
 
 
 class _Run:
@@ -92,7 +93,7 @@ def run_fact_refresh(
     """Copy new source rows, rebuild staging, dimensions, fact and marts, check them, publish them.
 
     Returns the quality report; a failed check raises and leaves the published tables as they were. With
-    `incremental` only the months that the new rows touch are rewritten in the fact.
+    `incremental` only the months that the new rows touch are recomputed and rewritten in the fact.
     """
     marks = run_extract(spark, source, root, full_refresh)
     raw, plan = read_raw_checks(spark, root), stored_plan(spark, root)
@@ -110,9 +111,15 @@ def run_fact_refresh(
     if months is None:
         stored = run.store(with_month(fact_check_items(raw, rules)), FACT_TABLE, [MONTH])
         fact = stored.drop(MONTH)
+        checks, dishes = condensed(fact), mart_dish_sales_daily(fact)
     else:
-        fact = months.all_rows
-    checks = run.store(condensed(fact), CONDENSED_TABLE)
+        # daily tables keep their rows of other months, so the lines of those months are not read again
+        fact, lines = months.all_rows, months.months
+        old_checks = read_snapshot(spark, root, CONDENSED_TABLE, CONDENSED_CHECKS)
+        old_dishes = read_snapshot(spark, root, DISH_MART, MART_DISH_SALES_DAILY)
+        checks = months.untouched(old_checks).unionByName(condensed(lines))
+        dishes = months.untouched(old_dishes).unionByName(mart_dish_sales_daily(lines))
+    checks = run.store(checks, CONDENSED_TABLE)
     tables = {
         "stg_checks": stg,
         "stg_plan_daily": plan,
@@ -124,7 +131,7 @@ def run_fact_refresh(
         "mart_avg_check_by_order_type": run.store(
             mart_avg_check_by_order_type(checks), "mart/mart_avg_check_by_order_type"
         ),
-        "mart_dish_sales_daily": run.store(mart_dish_sales_daily(fact), "mart/mart_dish_sales_daily"),
+        "mart_dish_sales_daily": run.store(dishes, DISH_MART),
         **_plan_marts(run, checks, stg, plan),
     }
     report = _check(tables, suite)
@@ -138,7 +145,11 @@ def run_fact_refresh(
 
 
 def run_plan_refresh(
-    spark: SparkSession, root: str, plan: DataFrame, rules: CheckRules = RESTAURANT, suite: Sequence[Check] = CHECK_SUITE
+    spark: SparkSession,
+    root: str,
+    plan: DataFrame,
+    rules: CheckRules = RESTAURANT,
+    suite: Sequence[Check] = CHECK_SUITE,
 ) -> DataFrame:
     """Replace the plan and rebuild only what depends on it: calendar, plan-versus-fact mart, dashboard mart.
 
@@ -152,7 +163,8 @@ def run_plan_refresh(
     staged.createOrReplaceTempView("stg_plan_daily")
     run = _Run(spark, root)
     stg = stage_checks(read_raw_checks(spark, root), rules)
-    tables = {"stg_plan_daily": staged, **_plan_marts(run, spark.read.schema(CONDENSED_CHECKS).parquet(checks_path), stg, staged)}
+    checks = spark.read.schema(CONDENSED_CHECKS).parquet(checks_path)
+    tables = {"stg_plan_daily": staged, **_plan_marts(run, checks, stg, staged)}
     report = _check(tables, suite)
     run.publish()
     return report

@@ -20,7 +20,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Order-type patterns of the order table, for the pattern normaliser.
-PRIORITY_PATTERNS = [("%urgent%", "fast"), ("%-HIGH", "fast"), ("3%", "normal"), ("%not%", "open"), ("%specified%", "x")]
+PRIORITY_PATTERNS = [
+    ("%urgent%", "fast"),
+    ("%-HIGH", "fast"),
+    ("3%", "normal"),
+    ("%not%", "open"),
+    ("%specified%", "x"),
+]
 SERVICE_BRANDS = ["Brand#1", "Brand#2", f"{DELIVERY_PREFIX}Brand#3"]
 
 # Columns of the staging line that hold no clock and no input path.

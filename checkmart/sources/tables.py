@@ -1,8 +1,8 @@
 """Stored tables: Parquet folders, published versions, layer materialisation and mart scans.
 
-A table that is replaced as a whole is written to a new version folder `<root>/<table>/<version>` first. It becomes visible
-when rows naming it are appended to the list of published versions under the root. A run publishes all its tables with
-one such append, so readers see the old or the new state of all of them, never a mixture or a half-written table.
+A table that is replaced as a whole is written to a new version folder `<root>/<table>/<version>` first. It becomes
+visible when a row naming it is appended to the list of published versions under the root. A run publishes all its
+tables with one such append, so readers see the old or the new state of all of them, never a half-written table.
 """
 
 import uuid

@@ -2,6 +2,7 @@ import pytest
 from helpers import line, raw_checks, raw_plan
 from pyspark.sql import functions as F
 
+from checkmart.operators.daily import mart_dish_sales_daily
 from checkmart.plans import refresh
 from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact, refreshed_months, with_month
 from checkmart.schemas import MART_SCHEMAS
@@ -82,6 +83,9 @@ def test_refresh_jobs(spark, tmp_path):
     after = files_by_month(spark, root)
     assert before["2026-01"] == after["2026-01"] and before["2026-02"] != after["2026-02"]
     assert_fact_is_rebuilt(spark, root)
+    dishes, _ = read_mart(spark, root, "mart_dish_sales_daily")
+    expected = mart_dish_sales_daily(fact_check_items(read_raw_checks(spark, root)))
+    assert sorted(map(str, dishes.collect())) == sorted(map(str, expected.collect()))
     published = revenue(spark, root)
     assert published["2026-02-01"] == (150.0, 300.0) and published["2026-03-03"] == (120.0, 10.0)
 
