@@ -19,4 +19,24 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1}
+OP3 = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' ')) END)) AS s FROM words),
+classes AS (SELECT min(doc_id) AS c, s, count(*) AS n_copies, len(s) AS n FROM sets GROUP BY s),
+grams AS (SELECT c, unnest(s) AS g FROM classes),
+rare AS (SELECT g FROM grams GROUP BY g HAVING count(*) > 1),
+common AS (
+  SELECT a.c AS a, b.c AS b, count(*) AS k FROM (grams JOIN rare USING (g)) a JOIN grams b USING (g)
+  WHERE a.c <> b.c GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN classes x ON x.c = a JOIN classes y ON y.c = b WHERE k >= 0.8 * (x.n + y.n - k) - 1e-9),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+labels AS (SELECT a AS c, min(b) AS class_id FROM reach GROUP BY a),
+degree AS (SELECT a AS c, count(*) AS k FROM links GROUP BY a)
+SELECT doc_id, class_id, coalesce(k, 0)::BIGINT AS n_links, n_copies
+FROM sets JOIN classes USING (s) JOIN labels USING (c) LEFT JOIN degree USING (c)
+"""
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_ngram_jaccard_join": OP3}

@@ -50,7 +50,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Alternating large-star and small-star steps: every step is a group minimum and an equi-join, and each result is
     written, so a hot node is a hot join key that adaptive execution can split, and lineage stays short.
     """
-    edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    edges = written(
+        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+        name,
+    )
+    known = _digest(edges)
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
@@ -61,11 +65,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = large.join(lower, "a")
         stars = small.select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b")
         moved = written(stars.union(lower.select("a", F.col("low").alias("b"))).distinct(), name)
-        if _digest(moved) == _digest(edges):
+        digest = _digest(moved)
+        if digest == known:
             return moved.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 moved.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
-        edges = moved
+        edges, known = moved, digest
 
 
 def _digest(edges: DataFrame) -> tuple:
