@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checkmart.llm import ngram_join, substring_dedup
+from checkmart.llm import ngram_join, quality, substring_dedup, toxicity
 from checkmart.llm.tables import documents
 
 
@@ -20,7 +20,28 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(documents(spark, sf_dir)).drop("text_key")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = toxicity.fold("doc_id", 4) == 2
+    labels = documents(spark, sf_dir, "labels").filter(~held_out)
+    scored = quality.quality_scores(documents(spark, sf_dir), labels)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.CUTOFF).cast("int").alias("predicted")
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = toxicity.fold("doc_id", 3) == 1
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn_toxicity(docs, documents(spark, sf_dir, "labels").filter(~held_out))
+    scored = toxicity.with_score(docs, model, F.col("text"), ["doc_id"])
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.CUTOFF).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op9_toxicity": op9_toxicity,
 }

@@ -90,6 +90,18 @@ def words_of(texts: Sequence[bytes], word_bytes: np.ndarray = SPACED, fold_case:
     return Words(hashes, starts, ends, np.searchsorted(starts, begins), data)
 
 
+def beginnings(words: Words, size: int, fold_case: bool = False) -> np.ndarray:
+    """Hashes of the first `size` (at most 8) bytes of each word."""
+    packed = np.zeros(len(words.starts), np.uint64)
+    fold = np.arange(256, dtype=np.uint64)
+    if fold_case:
+        fold[0x41:0x5B] += 32
+    for k in range(size):
+        at = np.minimum(words.starts + k, words.ends)
+        packed |= np.where(at < words.ends, fold[words.data[at]], np.uint64(0)) << np.uint64(8 * k)
+    return mixed(packed * np.uint64(0x9E3779B97F4A7C15) + np.uint64(size))
+
+
 def chunks(texts: Sequence[bytes], size: int = CHUNK_BYTES) -> Iterator[slice]:
     """Ranges of texts of at most `size` bytes together; a longer text stands alone and whole."""
     begin, total = 0, 0
