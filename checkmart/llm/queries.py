@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checkmart.llm import ngram_join, quality, substring_dedup, toxicity
+from checkmart.llm import ngram_join, quality, secrets, substring_dedup, toxicity
 from checkmart.llm.tables import documents
 
 
@@ -39,9 +39,25 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end, joined by commas in the given order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(documents(spark, sf_dir))
+    kinds = [rule.kind for rule in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op9_toxicity": op9_toxicity,
+    "op10_secret_scans": op10_secret_scans,
 }

@@ -22,8 +22,8 @@ BITS = 20
 #: Bytes of a word's beginning that count as features of their own.
 BEGINNINGS = (4, 5)
 MAX_TRAINING_DOCS = 16_384
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
+EPOCHS = 3
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 8.0, 1.0
 CUTOFF = 0.7
 
 
