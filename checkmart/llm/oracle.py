@@ -39,4 +39,31 @@ SELECT doc_id, class_id, coalesce(k, 0)::BIGINT AS n_links, n_copies
 FROM sets JOIN classes USING (s) JOIN labels USING (c) LEFT JOIN degree USING (c)
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_ngram_jaccard_join": OP3}
+_TERMS = (
+    r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+)
+
+OP8 = f"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+items AS (SELECT item_id, {_TERMS} AS ws FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item_id, w, len(w) AS n FROM (
+    SELECT item_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 10 THEN [ws]
+      ELSE list_transform(range(1, len(ws) - 8), lambda k: ws[k:k + 9]) END) AS w FROM items)),
+lens AS (SELECT DISTINCT n FROM wanted),
+win AS (
+  SELECT doc_id, n, k, ws[k:k + n - 1] AS w
+  FROM docs, lens, unnest(range(1, len(ws) - n + 2)) AS t(k) WHERE len(ws) >= n),
+hit AS (SELECT doc_id, item_id, win.n, k FROM win JOIN wanted USING (w)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hit) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_ngram_jaccard_join": OP3, "op8_benchmark_decontamination": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checkmart.llm import ngram_join, quality, secrets, substring_dedup, toxicity
+from checkmart.llm import decontamination, fingerprints, ngram_join, quality, secrets, substring_dedup, toxicity
 from checkmart.llm.tables import documents
 
 
@@ -16,6 +16,25 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.fingerprints(documents(spark, sf_dir))
+    lanes = {c: fingerprints.signed_lanes(F.col(c)).alias(f"{c}_lanes") for c in ("packed", "edited_packed", "next_packed")}
+    rows = rows.select("*", *lanes.values())
+    near = {
+        c: fingerprints.likeness(F.col("packed_lanes"), F.col(f"{c}_lanes"), F.col("packed") == F.col(c))
+        for c in ("edited_packed", "next_packed")
+    }
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.text_of(F.col("packed")).alias("fingerprint"),
+        fingerprints.text_of(F.col("edited_packed")).alias("edited_fingerprint"),
+        near["edited_packed"].alias("near_edited"),
+        near["next_packed"].alias("near_next"),
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(documents(spark, sf_dir)).drop("text_key")
 
@@ -39,6 +58,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def _joined(spans: Column) -> Column:
     """kind:start:end, joined by commas in the given order."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -56,8 +87,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
 }
