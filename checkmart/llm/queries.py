@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checkmart.llm import decontamination, fingerprints, ngram_join, quality, secrets, substring_dedup, toxicity
+from checkmart.llm import decontamination, fingerprints, ngram_join, personal_data, quality, secrets, substring_dedup, toxicity
 from checkmart.llm.tables import documents
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end, joined by commas in the given order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -58,6 +67,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(personal_data.KINDS))
+    return found.select(
+        "doc_id",
+        *(_count(kind) for kind in personal_data.KINDS),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
     return found.select(
@@ -70,18 +90,15 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-def _joined(spans: Column) -> Column:
-    """kind:start:end, joined by commas in the given order."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(documents(spark, sf_dir))
     kinds = [rule.kind for rule in secrets.BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
     return found.select(
-        "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+        "doc_id",
+        *(_count(kind) for kind in kinds),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
     )
 
 
@@ -90,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_personal_data": op5_personal_data,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
