@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checkmart.llm import decontamination, fingerprints, ngram_join, personal_data, quality, secrets, substring_dedup, toxicity
+from checkmart.llm import (
+    decontamination,
+    fingerprints,
+    ngram_join,
+    packing,
+    personal_data,
+    quality,
+    secrets,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from checkmart.llm.tables import documents
+from checkmart.session import scratch_path
 
 
 def _joined(spans: Column) -> Column:
@@ -78,6 +90,23 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(documents(spark, sf_dir), path, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.token_digests(token_files.read_tokens(spark, path))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False).drop("ids")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
     return found.select(
@@ -108,6 +137,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_personal_data": op5_personal_data,
+    "op6_token_id_output": op6_token_id_output,
+    "op7_packing": op7_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
