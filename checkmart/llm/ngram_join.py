@@ -215,11 +215,12 @@ def jaccard_classes(
     threshold: float = THRESHOLD,
     recall: float = RECALL,
 ) -> DataFrame:
-    """One row per row of `docs`: (doc_id, class_id, n_links, n_copies, text_key).
+    """One row per row of `docs`: (doc_id, class_id, n_links, n_copies, text_key, class_key).
 
     Links join different shingle sets of a Jaccard similarity of `threshold` or more. class_id is the smallest doc_id of
     the documents connected by links and equal sets, n_links the number of other sets linked to the document's own, and
-    n_copies the number of rows with its set. A text of fewer words than a shingle is one shingle of all its words.
+    n_copies the number of rows with its set; class_key tells which row of class_id stands for the class, should several rows
+    share that id. A text of fewer words than a shingle is one shingle of all its words.
     Null and wordless texts have an empty set and form one class without links. A null id is no class id unless its whole
     class lacks ids. Repeated rows are copies of each other.
     """
@@ -237,8 +238,7 @@ def jaccard_classes(
     classes = signed.groupBy("node").agg(
         F.max("size").alias("size"),
         F.count("*").alias("n_copies"),
-        F.min("id").alias("class_id"),
-        F.min(F.struct("id", "text_key")).alias("least"),
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("least"),
         *(F.min(F.col("bands")[k]).alias(f"b{k}") for k in range(bands)),
     )
     classes = written(classes, "classes")
@@ -289,17 +289,21 @@ def jaccard_classes(
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     merged = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")), "roots")
     labels = (
-        classes.select("node", "n_copies", F.col("class_id").alias("least_id"))
+        classes.select("node", "n_copies", "least")
         .join(counts, "node", "left")
         .join(merged, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    least = labels.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    labels = labels.join(least, "component").select(
-        "node", "class_id", F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies"
+    first = labels.groupBy("component").agg(F.min("least").alias("first"))
+    labels = labels.join(first, "component").select(
+        "node",
+        F.col("first.id").alias("class_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"),
+        "n_copies",
+        F.col("first.text_key").alias("class_key"),
     )
     return signed.join(labels, "node").select(
-        F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies", "text_key"
+        F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies", "text_key", "class_key"
     )
 
 

@@ -27,6 +27,8 @@ MIN_PATTERN = 0.6
 MIN_VALUE = 0.8
 #: Code points before a token in which its pattern's words are sought.
 CONTEXT_CHARS = 120
+#: Up to so many spans are sent to all tasks for redaction; more are joined by a shuffle.
+BROADCAST_SPANS = 200_000
 
 _OPEN, _CLOSE = "\x01", "\x02"
 # The kinds' expressions. A match may begin where a run of its first class begins or where the last match
@@ -221,9 +223,12 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     merged = joined.groupBy(*_ROW, "part").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", -F.col("end"))).alias("kind")
     )
+    merged = written(merged, "redactions")
     cuts = merged.groupBy(*(F.col(c).alias(f"__{c}") for c in _ROW)).agg(
         F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("__cuts")
     )
+    if merged.limit(BROADCAST_SPANS + 1).count() <= BROADCAST_SPANS:
+        cuts = F.broadcast(cuts)
     text = F.col(text_col)
     rows = docs.withColumn("__text_key", text_key(text))
     same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))

@@ -57,7 +57,7 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_classes(documents(spark, sf_dir)).drop("text_key")
+    return ngram_join.jaccard_classes(documents(spark, sf_dir)).drop("text_key", "class_key")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
