@@ -38,9 +38,10 @@ def banding(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: in
     """(bands, rows): the most rows, hence fewest false candidates, that reach the recall at the threshold."""
     best = (math.ceil(math.log(1 - recall) / math.log(1 - threshold)), 1)
     for rows in range(2, max_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
-        if bands * rows <= max_hashes:
-            best = (bands, rows)
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows)))
+        if bands * rows > max_hashes:
+            break
+        best = (bands, rows)
     return best
 
 
@@ -153,14 +154,15 @@ def _dense_overlaps(owner: np.ndarray, column: np.ndarray, n: int, width: int) -
         yield i, out
 
 
-def _cell_links(keys: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple:
+def _cell_links(
+    keys: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray], threshold: float, mixed_only: bool
+) -> tuple[np.ndarray, np.ndarray]:
     """Links per class and a spanning forest of the links, for the pairs of a cell.
 
-    A cell holds one chunk, or two whose mixed pairs are its own.
+    A cell holds one chunk, or two whose mixed pairs alone are its own.
     """
     n = len(keys)
     sizes = np.array([len(s) for s in sets])
-    mixed_only = chunk.min() != chunk.max()
     parent = np.arange(n)
 
     def root(i: int) -> int:
@@ -200,7 +202,7 @@ def _verify(threshold: float):
         out = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             sets = [np.frombuffer(s, "<u8") for s in table["set"].slice(a, b - a).to_pylist()]
-            links, roots = _cell_links(nodes[a:b], chunk[a:b], sets, threshold)
+            links, roots = _cell_links(nodes[a:b], chunk[a:b], sets, threshold, cell[a, 1] != cell[a, 2])
             out.append(pa.table([nodes[a:b], links, roots], schema=_LINKS))
         return pa.concat_tables(out) if out else _LINKS.empty_table()
 

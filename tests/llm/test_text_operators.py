@@ -1,0 +1,234 @@
+"""Operators on single texts, against plain Python: spans, fingerprints, token files, packing."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from checkmart.llm import automaton, fingerprints, packing, personal_data, secrets, substring_dedup, token_files
+from checkmart.llm.queries import tokenizer_path
+from pyspark.sql import functions as F
+
+from llm.conftest import EDGE_TEXTS, rows_of, SCHEMA
+
+SPACES = re.compile("[^\x20\x09-\x0d]+")
+
+
+def kept_by_brute_force(texts, width):
+    words = [(i, SPACES.findall(t or "")) for i, t in texts]
+    least = {}
+    for i, ws in words:
+        for k in range(len(ws) - width + 1):
+            if i is not None:
+                w = tuple(ws[k : k + width])
+                least[w] = min(least.get(w, i), i)
+    out = []
+    for i, ws in words:
+        gone = set()
+        for k in range(len(ws) - width + 1):
+            if i is not None and least[tuple(ws[k : k + width])] < i:
+                gone.update(range(k, k + width))
+        out.append((i, len(ws), len(gone), " ".join(w for p, w in enumerate(ws) if p not in gone)))
+    return Counter(out)
+
+
+def test_substring_dedup_edge_cases(edge_docs, no_docs):
+    got = Counter(tuple(r) for r in substring_dedup.remove_repeats(edge_docs).collect())
+    assert got == kept_by_brute_force(EDGE_TEXTS, 50)
+    assert substring_dedup.remove_repeats(no_docs).collect() == []
+
+
+def test_substring_dedup_random(spark):
+    rng = random.Random(3)
+    texts = [(i, " ".join(rng.choice("ab") for _ in range(rng.randint(0, 40)))) for i in range(150)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = Counter(tuple(r) for r in substring_dedup.remove_repeats(docs, width=6).collect())
+    assert got == kept_by_brute_force(texts, 6)
+    starts = substring_dedup.removal_intervals(docs, width=6).collect()
+    assert all(a > b for r in starts for a, b in zip(r["starts"][1:], r["ends"][:-1], strict=True))
+
+
+def test_fingerprints_edge_cases(edge_docs, no_docs):
+    rows = fingerprints.fingerprints(edge_docs).collect()
+    ordered = sorted(EDGE_TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    expected = []
+    for k, (i, t) in enumerate(ordered):
+        t, following = t or "", ordered[(k + 1) % len(ordered)][1] or ""
+        half = len(t) // 2
+        expected.append((i, t, t[: len(t) - half] + following[:half]))
+    assert Counter((r["doc_id"], r["text"], r["edited"]) for r in rows) == Counter(expected)
+    by_text = {}
+    for r in rows:
+        assert by_text.setdefault(r["text"], r["packed"]) == r["packed"]
+        assert by_text.setdefault(r["edited"], r["edited_packed"]) == r["edited_packed"]
+    assert fingerprints.fingerprints(no_docs).collect() == []
+
+
+def test_fingerprints_are_homomorphic(spark):
+    texts = [("a.\nb.\nc.\nb.", "b.\nc.\nb.\na.", "a.\nb.", "c.\nb.", "z.")]
+    df = spark.createDataFrame(texts, "t string, shuffled string, one string, rest string, alien string")
+    for name in ("t", "shuffled", "one", "rest", "alien"):
+        df = fingerprints.with_vector(df, name, f"v_{name}")
+    near = fingerprints.likeness(
+        fingerprints.signed_lanes(F.col("v_t")), fingerprints.signed_lanes(F.col("v_one")), F.col("v_t") == F.col("v_one")
+    )
+    # the last number counts paragraphs; its lanes never overflow here
+    row = df.select(
+        "*",
+        fingerprints.inserted(F.col("v_one"), F.col("v_rest")).alias("sum"),
+        fingerprints.deleted(F.col("v_t"), F.col("v_rest")).alias("difference"),
+        near.alias("near"),
+    ).first()
+    assert row["v_t"] == row["v_shuffled"] == row["sum"]
+    assert row["difference"] == row["v_one"]
+    assert row["v_t"] != row["v_alien"] and 0.5 < row["near"] < 1
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            fits = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if fits:
+                out.append((kind, *m.span()))
+    return out
+
+
+PII_PARTS = (
+    "a@b.c,a@b.c_x@d.e,1.2.3.4,.5,999,+1 (234) 555-2222, ,4111 1111 1111 1111,-,é,@,+,x,.,255.0.0.1,\n,\x01,\x02,0,9,😀"
+).split(",")
+
+
+def test_personal_data_base_spans(spark, edge_docs, no_docs):
+    rng = random.Random(5)
+    texts = [(i, "".join(rng.choice(PII_PARTS) for _ in range(rng.randint(0, 25)))) for i in range(400)]
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA).union(edge_docs)
+    got = Counter(
+        (r["doc_id"], tuple((s["kind"], s["start"], s["end"]) for s in r["spans"] if not s["kind"].endswith("_like")))
+        for r in personal_data.personal_data(docs).collect()
+    )
+    assert got == Counter((i, tuple(base_spans(t))) for i, t in texts + EDGE_TEXTS)
+    assert personal_data.personal_data(no_docs).collect() == []
+
+
+def test_personal_data_learns_contexts(spark):
+    texts = [(i, f"contact mail: ann{i}@example.org today") for i in range(20)]
+    texts += [(100 + i, f"contact mail: bob{i}(at)example today") for i in range(3)]
+    texts += [(200 + i, f"version {i} of it") for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in personal_data.personal_data(docs).collect()}
+    assert all(found[100 + i] == ["email_like"] for i in range(3))
+    assert all(found[200 + i] == [] for i in range(20))
+    redacted = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs).collect()}
+    assert redacted[7] == "contact mail: [email] today" and redacted[203] == "version 3 of it"
+
+
+SECRET_PARTS = (
+    "password|TOKEN|=|:| |\"|'|AKIA|ABCD0123|deadbeef|0123456789abcdef|\n|é|ſecret|api_key|apikey|x|==|eyJabcdefghij|.|"
+    "-----BEGIN |PRIVATE KEY-----|ghp_|xoxb-|a1b2c3d4e5"
+).split("|")
+
+
+def test_secret_scan(spark, edge_docs, no_docs):
+    rng = random.Random(1)
+    texts = [(i, "".join(rng.choice(SECRET_PARTS) for _ in range(rng.randint(0, 60)))) for i in range(3000)]
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA).union(edge_docs)
+    got = Counter(
+        (r["doc_id"], tuple((s["start"], s["kind"], s["end"]) for s in r["spans"]))
+        for r in secrets.secret_spans(docs).collect()
+    )
+    kinds = [r.kind for r in secrets.RULES]
+    expected = Counter()
+    for i, t in texts + EDGE_TEXTS:
+        spans = sorted((a, k, b) for k, r in enumerate(secrets.RULES) for a, b in secrets.spans_of(t or "", r))
+        expected[(i, tuple((a, kinds[k], b) for a, k, b in spans))] += 1
+    assert got == expected
+    assert secrets.secret_spans(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("pattern", ["ab*c", "(a|bc){2,}d", "[^a-c]x?y+", "a{3}", r"\x41\.[b-d]"])
+def test_automaton_finds_ends_like_re(pattern):
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdxyA.\n") for _ in range(4000))
+    compiled = automaton.compile_rules([(pattern, False)])
+    positions, _ = automaton.scan(compiled, np.frombuffer(text.encode(), np.uint8))
+    ends = {k for k in range(len(text)) for a in range(max(0, k - 40), k + 1) if re.fullmatch(pattern, text[a : k + 1])}
+    near = {p for p in positions.tolist()}
+    assert ends <= near
+
+
+def library_ids(name, end_id, texts):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(tokenizer_path(name)).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [[*e.ids, end_id] for e in found]
+
+
+def test_token_files_round_trip(spark, edge_docs, no_docs, tmp_path):
+    tokenizer = tokenizer_path("byte_bpe_50k.json")
+    token_files.write_tokens(edge_docs, str(tmp_path / "edge"), tokenizer)
+    rows = token_files.read_tokens(spark, str(tmp_path / "edge"))
+    ordered = sorted(EDGE_TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    expected, start = [], 0
+    for (i, _), ids in zip(ordered, library_ids("byte_bpe_50k.json", 2, [t for _, t in ordered]), strict=True):
+        expected.append((i, start, len(ids), ids))
+        start += len(ids)
+    assert [tuple(r) for r in sorted(rows.collect(), key=lambda r: r["start"])] == expected
+    sums = {(r["start"], r["ids_crc32"]) for r in token_files.token_digests(rows).collect()}
+    assert sums == {(s, zlib.crc32(np.array(ids, "<u4").tobytes())) for _, s, _, ids in expected}
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,3)" in rows.filter("doc_id = 3")._jdf.queryExecution().toString()
+    token_files.write_tokens(no_docs, str(tmp_path / "none"), tokenizer)
+    assert token_files.read_tokens(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_packing_keeps_every_id(edge_docs, no_docs):
+    rows = packing.packed(edge_docs, tokenizer_path("word_bpe_49k.json")).collect()
+    documents, sequences = {}, {}
+    for r in rows:
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 2048
+    for r in sorted(rows, key=lambda r: r["start"]):
+        documents.setdefault(r["doc_id"], []).append(r)
+    whole = dict(zip(EDGE_TEXTS, library_ids("word_bpe_49k.json", 1, [t for _, t in EDGE_TEXTS]), strict=True))
+    for (i, text), ids in whole.items():
+        if sum(j == i for j, _ in EDGE_TEXTS) == 1:
+            assert [x for r in documents[i] for x in r["ids"]] == ids, text
+    assert sum(r["length"] for r in rows) == sum(len(whole[key]) for key in EDGE_TEXTS)
+    assert packing.packed(no_docs, tokenizer_path("word_bpe_49k.json")).collect() == []
+
+
+def test_packing_pads_little():
+    rng = random.Random(4)
+    lengths = [rng.choice([1, 3, rng.randint(1, 300), rng.randint(1, 9000)]) for _ in range(500)]
+    sequences = packing.pack(lengths)
+    used = sum(p.length for _, window in sequences for p in window)
+    padding = sum(2048 - n for n in (sum(p.length for p in w) for _, w in sequences) if n & (n - 1))
+    assert used == sum(lengths) and padding < 2048
+    assert {t for t, _ in sequences} == set(packing.TIERS)
