@@ -18,9 +18,9 @@ from checkmart.vocabulary import (
 def channel_group(
     c: Column, channels: Mapping[str, Sequence[str]] = ORDER_TYPE_CHANNELS, other: str = OTHER_CHANNEL
 ) -> Column:
-    """Channel whose list holds the order type exactly; everything else, NULL included, is `other`."""
+    """First channel whose list holds the order type exactly; everything else, NULL included, is `other`."""
     channel = F.lit(other)
-    for name, order_types in channels.items():
+    for name, order_types in reversed(channels.items()):
         channel = F.when(c.isin(*order_types), name).otherwise(channel)
     return channel
 

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 # Text that counts as a number: decimal or exponent notation, or an infinity.
 NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
-# Money is summed in whole millionths, so a total never depends on how rows were partitioned.
-MONEY_UNITS = 1_000_000
+# Decimals kept when money is summed; a DECIMAL sum does not depend on how rows were partitioned.
+MONEY_SCALE = 10
+# DECIMAL(28, MONEY_SCALE) holds amounts below this; totals may be ten billion times larger.
+_MONEY_LIMIT = 1e17
 
 
 def to_number(c: Column, as_int: bool = False) -> Column:
@@ -36,6 +38,14 @@ def guarded_ratio(num: Column, den: Column) -> Column:
     return num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
 
 
-def money_sum(c: Column) -> Column:
-    """Exact, order-independent sum of a money column, as a double; NULL when every value is NULL."""
-    return F.sum(F.rint(c * MONEY_UNITS).cast("bigint")) / F.lit(float(MONEY_UNITS))
+def money_sum(c: Column, scale: int = MONEY_SCALE) -> Column:
+    """Order-independent sum of an amount, as a double; NULL when every value is NULL.
+
+    Each amount counts with `scale` (at most 10) decimals. Infinite and NaN amounts, and those of 1e17 and more, are added
+    as doubles: one infinity makes the total infinite, NaN or both infinities make it NaN.
+    """
+    amount = c.cast("double")
+    regular = F.abs(amount) < _MONEY_LIMIT  # false for infinities and, since NaN is the largest double, for NaN
+    exact = F.sum(F.when(regular, amount).cast(f"decimal({18 + scale},{scale})")).cast("double")
+    rest = F.sum(F.when(~regular, amount))
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)

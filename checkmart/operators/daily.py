@@ -4,7 +4,7 @@ Guest counts repeat on every line of a check, so measures first collapse to one
 Both steps combine on the map side, so neither a hot check nor a busy day travels line by line.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,10 +158,10 @@ def mart_dish_sales_daily(fact: DataFrame) -> DataFrame:
     per_check = (
         fact.where(F.col("is_dish_sales_item"))
         .groupBy(*by, "check_id")
-        .agg(F.sum("qty").alias("qty"), money_sum(F.col("amount_discount_rub")).alias("amount"))
+        .agg(money_sum(F.col("qty")).alias("qty"), money_sum(F.col("amount_discount_rub")).alias("amount"))
     )
     return per_check.groupBy(*by).agg(
-        F.sum("qty").alias("qty_sold"),
+        money_sum(F.col("qty")).alias("qty_sold"),
         round_half_away(money_sum(F.col("amount")), 2).alias("dish_revenue_amount"),
         F.count("check_id").alias("checks_count"),
     )
@@ -176,18 +176,44 @@ def avg_check_distinct(fact: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def with_prev_year(daily: DataFrame, columns: Sequence[str], keep_leap_day: bool = False) -> DataFrame:
+def _as_next_year(daily: DataFrame, totals: Sequence[str], averages: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """`daily` one calendar year later, one row per day: 28 and 29 February fall on one day and are added up."""
+    kinds = dict(daily.dtypes)
+    sums = [(money_sum(F.col(c)) if kinds[c] == "double" else F.sum(c)).alias(c) for c in totals]
+    alone = [F.max(c).alias(f"_{c}") for c in averages]
+    by_day = daily.groupBy(F.add_months("revenue_date", 12).alias("revenue_date")).agg(
+        F.count("*").alias("_days"), *sums, *alone
+    )
+    recomputed = {
+        c: F.when(F.col("_days") == 1, F.col(f"_{c}")).otherwise(
+            round_half_away(guarded_ratio(F.col(amount), F.col(count)), 2)
+        )
+        for c, (amount, count) in averages.items()
+    }
+    return by_day.select("revenue_date", *totals, *[c.alias(name) for name, c in recomputed.items()])
+
+
+def with_prev_year(
+    daily: DataFrame,
+    totals: Sequence[str],
+    averages: Mapping[str, tuple[str, str]] | None = None,
+    literal: bool = False,
+) -> DataFrame:
     """Left self-join with the same calendar day one year before; its columns get the prefix `prev_year_`.
 
-    29 February shifts to 28 February. With `keep_leap_day` a 28 February after a leap year therefore matches two
-    days; by default the leap day is left out of the previous year, so that every day stays a single row.
+    29 February shifts to 28 February. There it is added to the day before: totals are summed and `averages`, given as
+    (amount, count) by name, are computed anew, so every day stays a single row and no day is lost. With `literal` both
+    days are joined as they are, and a 28 February after a leap year becomes two rows.
 
     Both sides read `daily`: pass a stored table.
     """
-    prev = daily if keep_leap_day else daily.where(F.date_format("revenue_date", "MM-dd") != "02-29")
-    prev = prev.select(
-        F.add_months("revenue_date", 12).alias("revenue_date"), *[F.col(c).alias(f"prev_year_{c}") for c in columns]
-    )
+    averages = averages or {}
+    columns = [*totals, *averages]
+    if literal:
+        prev = daily.select(F.add_months("revenue_date", 12).alias("revenue_date"), *columns)
+    else:
+        prev = _as_next_year(daily, totals, averages)
+    prev = prev.withColumnsRenamed({c: f"prev_year_{c}" for c in columns})
     return daily.join(prev, "revenue_date", "left")
 
 
@@ -197,13 +223,17 @@ def mart_dashboard_daily(plan_fact: DataFrame) -> DataFrame:
     Reads `plan_fact` twice: pass the stored mart.
     """
     columns = [c for c in plan_fact.columns if not c.startswith("plan_avg_")]
-    prev = ["fact_total_amount", "checks_count", "guests_count", "avg_check_per_order", "avg_check_per_guest"]
+    totals = ["fact_total_amount", "checks_count", "guests_count"]
+    averages = {
+        "avg_check_per_order": ("fact_total_amount", "checks_count"),
+        "avg_check_per_guest": ("fact_total_amount", "guests_count"),
+    }
     total, prev_total = F.col("fact_total_amount"), F.col("prev_year_fact_total_amount")
     checks_delta = F.col("checks_count") - F.col("prev_year_checks_count")
     avg_delta = F.col("avg_check_per_order") - F.col("prev_year_avg_check_per_order")
-    return with_prev_year(plan_fact.select(*columns), prev).select(
+    return with_prev_year(plan_fact.select(*columns), totals, averages).select(
         *columns,
-        *[f"prev_year_{c}" for c in prev],
+        *[f"prev_year_{c}" for c in [*totals, *averages]],
         round_half_away(guarded_ratio(total - prev_total, prev_total), 4).alias("yoy_growth_rate"),
         checks_delta.alias("yoy_checks_delta"),
         round_half_away(avg_delta, 2).alias("yoy_avg_check_delta"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checkmart.functions.flags import is_modifier, is_service_category
-from checkmart.operators.skew import BROADCAST_ROWS, HOT_ROWS, join_by_key, with_group_max
 from checkmart.vocabulary import MODIFIER_CATEGORY, SERVICE_CATEGORIES
 
 
@@ -20,22 +19,16 @@ def check_final_close(stg: DataFrame) -> DataFrame:
     return positive_qty(stg).groupBy("check_id").agg(F.max("close_ts").alias("final_close_ts"))
 
 
-def final_versions(
-    stg: DataFrame,
-    keys: Sequence[str] = ("check_id",),
-    hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def final_versions(stg: DataFrame, keys: Sequence[str] = ("check_id",)) -> DataFrame:
     """Rows of every check's final version: positive quantity, closed at the check's latest positive close.
 
-    All rows that share the latest close are kept. A NULL key or close never matches. Without a hot check this is
-    one shuffle by the check key, which a later grouping by check reuses.
+    All rows that share the latest close are kept. A NULL key or close never matches. The latest closes are a
+    map-side-combined aggregate that reads the key and the close only; the rows then join with it by key and close, a
+    join that adaptive execution splits where one check holds many rows.
     """
-    live = positive_qty(stg).where(F.col("close_ts").isNotNull())
-    for key in keys:
-        live = live.where(F.col(key).isNotNull())
-    marked = with_group_max(live, keys, "close_ts", "_final_close", hot_rows, broadcast_rows)
-    return marked.where(F.col("close_ts") == F.col("_final_close")).drop("_final_close")
+    live = positive_qty(stg)
+    last = live.groupBy(*keys).agg(F.max("close_ts").alias("close_ts"))
+    return live.join(last, [*keys, "close_ts"], "left_semi")
 
 
 def check_versions(stg: DataFrame) -> DataFrame:
@@ -80,30 +73,19 @@ def latest_line_per_check_day(
     )
 
 
-def superseded_versions(stg: DataFrame, hot_rows: int = HOT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def superseded_versions(stg: DataFrame) -> DataFrame:
     """Documented variant: (check, accounting day, open time) with a close before the last close of that check-day.
 
     Rows first collapse to one per (check, day, open time): it is superseded somewhere exactly when its earliest
     close is before the last close of the check-day.
     """
-    opens = (
-        stg.where(F.col("check_id").isNotNull() & F.col("accounting_date").isNotNull())
-        .groupBy("check_id", "accounting_date", "open_ts")
-        .agg(F.min("close_ts").alias("_first_close"), F.max("close_ts").alias("_last_close"))
-    )
-    marked = with_group_max(
-        opens, ["check_id", "accounting_date"], "_last_close", "_day_close", hot_rows, broadcast_rows
-    )
+    closed = stg.where(F.col("check_id").isNotNull() & F.col("accounting_date").isNotNull())
+    opens = closed.groupBy("check_id", "accounting_date", "open_ts").agg(F.min("close_ts").alias("_first_close"))
+    days = closed.groupBy("check_id", "accounting_date").agg(F.max("close_ts").alias("_day_close"))
+    marked = opens.join(days, ["check_id", "accounting_date"])
     return marked.where(F.col("_first_close") < F.col("_day_close")).select("check_id", "accounting_date", "open_ts")
 
 
-def replace_checks(
-    current: DataFrame,
-    rebuilt: DataFrame,
-    changed: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def replace_checks(current: DataFrame, rebuilt: DataFrame, changed: DataFrame) -> DataFrame:
     """`current` without the rows of the changed checks, plus their rebuilt rows."""
-    kept = join_by_key(current, changed, ["check_id"], "left_anti", hot_rows, broadcast_rows)
-    return kept.unionByName(rebuilt)
+    return current.join(changed, "check_id", "left_anti").select(*current.columns).unionByName(rebuilt)

@@ -196,6 +196,19 @@ plan_fact AS (
 )"""
 
 DASHBOARD = """
+prev_days AS (
+  SELECT CAST(revenue_date + INTERVAL 1 YEAR AS DATE) AS revenue_date, COUNT(*) AS days,
+    CAST(SUM(CAST(fact_total_amount AS DECIMAL(18,2))) AS DOUBLE) AS fact_total_amount,
+    CAST(SUM(checks_count) AS BIGINT) AS checks_count, CAST(SUM(guests_count) AS BIGINT) AS guests_count,
+    MAX(avg_check_per_order) AS per_order, MAX(avg_check_per_guest) AS per_guest
+  FROM plan_fact GROUP BY 1
+),
+prev AS (
+  SELECT revenue_date, fact_total_amount, checks_count, guests_count,
+    CASE days WHEN 1 THEN per_order ELSE ROUND(fact_total_amount / NULLIF(checks_count, 0), 2) END AS avg_check_per_order,
+    CASE days WHEN 1 THEN per_guest ELSE ROUND(fact_total_amount / NULLIF(guests_count, 0), 2) END AS avg_check_per_guest
+  FROM prev_days
+),
 dash AS (
   SELECT c.* EXCLUDE (plan_avg_check_restaurant, plan_avg_check_delivery, plan_avg_guest_restaurant,
       plan_avg_guest_delivery, plan_avg_guest_banquet),
@@ -205,8 +218,7 @@ dash AS (
     ROUND((c.fact_total_amount - y.fact_total_amount) / NULLIF(y.fact_total_amount, 0), 4) AS yoy_growth_rate,
     c.checks_count - y.checks_count AS yoy_checks_delta,
     ROUND(c.avg_check_per_order - y.avg_check_per_order, 2) AS yoy_avg_check_delta
-  FROM plan_fact c LEFT JOIN plan_fact y ON c.revenue_date = CAST(y.revenue_date + INTERVAL 1 YEAR AS DATE)
-    AND NOT (EXTRACT(month FROM y.revenue_date) = 2 AND EXTRACT(day FROM y.revenue_date) = 29)
+  FROM plan_fact c LEFT JOIN prev y ON c.revenue_date = y.revenue_date
 )"""
 
 
@@ -429,7 +441,8 @@ ORACLE: dict[str, str] = {
       'Д.' || dish_name || CASE WHEN is_long_duration_check THEN ' + ' ELSE '' END AS decorated,
       dish_name AS dish FROM ol""",
     "check_duration_minutes": f"""{with_(ORDER_LINES)},
-      gaps AS (SELECT event_id, ts, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
+      gaps AS (SELECT event_id, ts, CASE WHEN event_id % 50 <> 0
+        THEN CAST(DATE '2024-01-01' + CAST(event_id % 40 AS INTEGER) AS TIMESTAMP) END AS before FROM events)
       SELECT 'event gap' AS label, event_id AS row_id, DATE_DIFF('minute', before, ts) AS minutes,
         COALESCE(DATE_DIFF('hour', before, ts) > 1, FALSE) AS is_long FROM gaps
       UNION ALL SELECT 'order line', check_id, check_duration_minutes, is_long_duration_check FROM ol""",
@@ -600,7 +613,7 @@ ORACLE: dict[str, str] = {
         THEN 'first run' ELSE 'second run' END AS label, source_row_id, {_LINE}, {_LINEAGE} FROM ev""",
     "source_watermark": "SELECT COALESCE(MAX(event_id) + 1, 0) AS watermark FROM events",
     "read_watermark": f"""{EVENTS} SELECT 'click' AS label, MAX(source_row_id) AS watermark FROM ev
-        WHERE order_type = 'click' AND source_period = '2024-01 second half'
+        WHERE order_type = 'click'
       UNION ALL SELECT 'unknown', 0""",
     "upsert_checkpoint": f"""{EVENTS}, marks AS (
         SELECT order_type, source_period = '2024-01 first half' AS is_first, MAX(source_row_id) AS watermark,

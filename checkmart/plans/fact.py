@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from checkmart.functions.flags import is_dish_sales_item, is_turnover_item
 from checkmart.functions.keys import hash_key
-from checkmart.operators.skew import BROADCAST_ROWS, HOT_ROWS, join_by_key
 from checkmart.operators.versions import final_versions, replace_checks
 from checkmart.plans.staging import stage_checks
 from checkmart.schemas import FACT_CHECK_ITEMS
@@ -56,14 +55,14 @@ def fact_columns(final: DataFrame) -> DataFrame:
     )
 
 
-def fact_check_items(raw: DataFrame, rules: CheckRules = RESTAURANT, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fact_check_items(raw: DataFrame, rules: CheckRules = RESTAURANT) -> DataFrame:
     """One row per line of every check's final version.
 
     The final rows are picked from the raw table and staged afterwards: the shuffle carries raw columns only, and
     flags and keys are not computed for superseded rows. Staging works row by row and keeps check, close and
     quantity as they are, so the result is that of picking from the staged table.
     """
-    return fact_columns(stage_checks(final_versions(raw, hot_rows=hot_rows), rules))
+    return fact_columns(stage_checks(final_versions(raw), rules))
 
 
 def incremental_fact_refresh(
@@ -71,16 +70,14 @@ def incremental_fact_refresh(
     fact: DataFrame,
     changed: DataFrame,
     rules: CheckRules = RESTAURANT,
-    hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The fact after new raw rows: checks in `changed` are rebuilt from all their rows, the others are kept.
 
     `changed` holds every check id of the new rows once, as a stored table; `raw` includes the new rows. A newer
     close may arrive for any old check, so no check is ever closed to changes. Equals a full rebuild.
     """
-    touched = join_by_key(raw, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
-    return replace_checks(fact, fact_check_items(touched, rules, hot_rows), changed, hot_rows, broadcast_rows)
+    touched = raw.join(changed, "check_id", "left_semi")
+    return replace_checks(fact, fact_check_items(touched, rules), changed)
 
 
 def month_of(day: str) -> Column:
@@ -126,21 +123,19 @@ def refreshed_months(
     fact: DataFrame,
     changed: DataFrame,
     rules: CheckRules = RESTAURANT,
-    hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> MonthRefresh | None:
     """The incremental refresh limited to the months where changed checks have rows, before or after the change.
 
     `fact` is the stored fact with its month column. None when a month would end up empty: a partition overwrite
     cannot express that, so the caller rebuilds.
     """
-    touched = join_by_key(raw, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
-    rebuilt = written(with_month(fact_check_items(touched, rules, hot_rows)), "rebuilt-checks")
-    replaced = join_by_key(fact, changed, ["check_id"], "left_semi", hot_rows, broadcast_rows)
+    touched = raw.join(changed, "check_id", "left_semi")
+    rebuilt = written(with_month(fact_check_items(touched, rules)), "rebuilt-checks")
+    replaced = fact.join(changed, "check_id", "left_semi")
     names = sorted(_months_of(rebuilt) | _months_of(replaced))
     in_months = F.col(MONTH).isin(names)
     content = written(
-        replace_checks(fact.where(in_months), rebuilt, changed, hot_rows, broadcast_rows).hint("rebalance", MONTH),
+        replace_checks(fact.where(in_months), rebuilt, changed).hint("rebalance", MONTH),
         "refreshed-months",
     )
     if sorted(_months_of(content)) != names:

@@ -2,12 +2,12 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.functions import flags, keys, numbers, text, times
 from checkmart.operators import daily, dims, quality, reports, versions
-from checkmart.plans.fact import fact_check_items, incremental_fact_refresh
+from checkmart.plans.fact import fact_check_items, fact_columns, incremental_fact_refresh
 from checkmart.plans.staging import stage_checks
 from checkmart.schemas import RAW_CHECKS
 from checkmart.session import scratch_path, written
@@ -44,7 +44,9 @@ def query(function: Query) -> Query:
 
 
 def orders_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return fact_check_items(adapters.raw_checks_from_orders(spark, sf), adapters.ORDER_RULES)
+    # final versions are picked from the lines alone, before they meet orders and parts
+    final = adapters.raw_checks_from_orders(spark, sf, versions.final_versions)
+    return fact_columns(stage_checks(final, adapters.ORDER_RULES))
 
 
 def events_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,9 +153,10 @@ def dish_name_normalized(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_duration_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    """Minutes from a user's previous event to the event, and from the opening to the close of order lines."""
+    """Minutes from a midnight near every event to the event, either way, and from opening to close of order lines."""
     events = spark.read.parquet(f"{sf}/events.parquet")
-    previous = F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("event_id") % 40).cast("int"))
+    previous = F.when(F.col("event_id") % 50 != 0, day.cast("timestamp_ntz"))
     gaps = events.withColumn("previous_ts", previous).select(
         F.col("event_id").alias("row_id"),
         times.minutes_between(F.col("previous_ts"), F.col("ts")).alias("minutes"),
@@ -395,7 +398,7 @@ def yoy_shift_join(spark: SparkSession, sf: str) -> DataFrame:
     """The literal join: 28 February after a leap year meets two days of the previous year."""
     actual = daily.actual_daily(daily.check_level_daily(orders_fact(spark, sf)))
     stored = written(actual.select("revenue_date", "checks_count", "fact_total_amount"), "actual-daily")
-    return daily.with_prev_year(stored, ["checks_count", "fact_total_amount"], keep_leap_day=True)
+    return daily.with_prev_year(stored, ["checks_count", "fact_total_amount"], literal=True)
 
 
 @query
@@ -614,9 +617,11 @@ def source_watermark(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.source_watermark(event_source(spark, sf))
 
 
-def event_checkpoints(spark: SparkSession, sf: str, period: str) -> DataFrame:
-    """A checkpoint per event type: its highest row id and latest time in a period."""
-    lines = event_source(spark, sf).where(F.col("source_period") == period)
+def event_checkpoints(spark: SparkSession, sf: str, period: str | None = None) -> DataFrame:
+    """A checkpoint per event type: its highest row id and latest time, in a period or in the whole log."""
+    lines = event_source(spark, sf)
+    if period:
+        lines = lines.where(F.col("source_period") == period)
     return lines.groupBy(F.col("order_type").alias("source_name")).agg(
         F.max("source_row_id").alias("watermark"), F.max("open_ts").alias("updated_at")
     )
@@ -625,7 +630,7 @@ def event_checkpoints(spark: SparkSession, sf: str, period: str) -> DataFrame:
 @query
 def read_watermark(spark: SparkSession, sf: str) -> DataFrame:
     """The stored mark of a known and of an unknown source."""
-    checkpoints = event_checkpoints(spark, sf, adapters.EVENT_PERIODS[1])
+    checkpoints = event_checkpoints(spark, sf)
     return union(
         labelled("click", incremental.read_watermark(checkpoints, "click")),
         labelled("unknown", incremental.read_watermark(checkpoints, "unknown")),

@@ -4,6 +4,8 @@ They give the operators real tables to run on: orders with their lines (years of
 an event log (numbered rows, several versions per check, checks that span order types).
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,12 +63,20 @@ def _as_raw(df: DataFrame) -> DataFrame:
     )
 
 
-def raw_checks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_checks_from_orders(
+    spark: SparkSession, sf_dir: str, pick: Callable[[DataFrame], DataFrame] = lambda lines: lines
+) -> DataFrame:
     """Order lines as raw check lines: the order is the check, a returned line has quantity zero.
 
-    Lines meet the parts before the orders, so the rows end up partitioned by order, which is the check.
+    `pick` chooses lines by check_id, close_ts and qty before they meet orders and parts, which add columns only.
     """
-    lines = _table(spark, sf_dir, "lineitem")
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "*",
+        "l_orderkey AS check_id",
+        "CAST(l_shipdate AS TIMESTAMP_NTZ) AS close_ts",
+        "CASE WHEN l_returnflag = 'R' THEN 0D ELSE CAST(l_quantity AS DOUBLE) END AS qty",
+    )
+    lines = pick(lines)
     orders, parts = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "part")
     joined = lines.join(parts, F.expr("l_partkey = p_partkey")).join(orders, F.expr("l_orderkey = o_orderkey"))
     # prices have two decimals and discounts whole percents, so cents times percents is exact
@@ -74,14 +84,14 @@ def raw_checks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_raw(
         joined.selectExpr(
             "CAST(o_orderdate AS DATE) AS accounting_date",
-            "l_orderkey AS check_id",
+            "check_id",
             "o_orderdate - make_dt_interval(CAST(o_orderkey % 5 AS INT)) AS open_ts",
-            "l_shipdate AS close_ts",
+            "close_ts",
             "p_name AS dish_name",
             f"CASE WHEN p_type = 'PROMO' THEN concat('{DELIVERY_PREFIX}', p_brand)"
             f" WHEN p_type = 'SMALL' THEN '{MODIFIER_CATEGORY}' ELSE p_brand END AS dish_category",
             "o_orderpriority AS order_type",
-            "CASE WHEN l_returnflag = 'R' THEN 0D ELSE l_quantity END AS qty",
+            "qty",
             "1 + o_custkey % 4 AS guest_count",
             f"CASE WHEN p_type = 'SMALL' AND l_quantity <= 25 THEN 0D ELSE {net} END AS amount_discount_rub",
         ).selectExpr("*", "hour(open_ts) AS open_hour", "hour(close_ts) AS close_hour")

@@ -78,6 +78,12 @@ def test_channel_group(spark):
     assert got == expected and set(got) == set(CHANNELS)
 
 
+def test_first_channel_wins(spark):
+    overlapping = {"first": ["a", "b"], "second": ["b", "c"]}
+    got = apply(spark, ["a", "b", "c", "d"], "string", lambda c: flags.channel_group(c, overlapping))
+    assert got == ["first", "first", "second", OTHER_CHANNEL]
+
+
 def test_normalize_channel(spark):
     cells = ["Приложение (доставка КУРЬЕРОМ)", "Агрегатор (Самовывоз)", "Самовывоз гостем", "Яндекс.ультима",
              "Заказ в ресторане", "Банкет C&B", "Веранда", None]
@@ -169,6 +175,20 @@ def test_money_sum_does_not_depend_on_order(spark):
     assert empty is None
 
 
+def test_money_sum_of_large_small_and_infinite_amounts(spark):
+    def total(values):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        return df.agg(numbers.money_sum(F.col("v")).alias("s")).first().s
+
+    many = spark.range(1_000_000).select(F.lit(4e-7).alias("v"))
+    assert many.agg(numbers.money_sum(F.col("v")).alias("s")).first().s == 0.4
+    assert total([1e12] * 10) == 1e13 and total([5e14, 0.25]) == 500000000000000.25
+    inf, nan = float("inf"), float("nan")
+    assert total([1.0, inf]) == inf and total([-inf, 2.0, None]) == -inf
+    assert str(total([inf, -inf])) == str(total([nan, 1.0])) == "nan"
+    assert total([1e18, 1.0]) == 1e18
+
+
 def test_hash_key(spark):
     rows = [("a", "b"), ("a", None), (None, None)]
     got = apply(spark, rows, ["string"] * 2, keys.hash_key)

@@ -107,12 +107,16 @@ def test_year_over_year(spark):
         [(day(d), n + 1, 10.0 * (n + 1), 2.0) for n, d in enumerate(days)],
         "revenue_date date, checks_count long, fact_total_amount double, avg_check_per_order double",
     )
-    literal = daily.with_prev_year(plan_fact, ["checks_count"], keep_leap_day=True)
+    literal = daily.with_prev_year(plan_fact, ["checks_count"], literal=True)
     assert sorted((str(r.revenue_date), r.prev_year_checks_count) for r in literal.collect() if r.prev_year_checks_count) == [
         ("2025-02-28", 1), ("2025-02-28", 2), ("2026-03-01", 4)
     ]
-    unique = daily.with_prev_year(plan_fact, ["checks_count"])
-    assert unique.count() == 5 and by_day(unique)["2025-02-28"].prev_year_checks_count == 1
+    averages = {"avg_check_per_order": ("fact_total_amount", "checks_count")}
+    merged = by_day(daily.with_prev_year(plan_fact, ["checks_count", "fact_total_amount"], averages))
+    # 28 and 29 February 2024 are one day of the previous year, nothing is lost
+    leap = merged["2025-02-28"]
+    assert len(merged) == 5 and (leap.prev_year_checks_count, leap.prev_year_fact_total_amount) == (3, 30.0)
+    assert leap.prev_year_avg_check_per_order == 10.0 and merged["2026-03-01"].prev_year_avg_check_per_order == 2.0
 
 
 def test_dashboard(fact, plan):

@@ -7,12 +7,12 @@ import re
 import pytest
 
 from checkmart.operators import versions
-from checkmart.operators.daily import mart_channel_daily
 from checkmart.operators.reports import filter_by_date
 from checkmart.plans.fact import fact_check_items
 from checkmart.plans.staging import stage_checks
 from checkmart.registry import QUERIES
 from checkmart.schemas import MART_CHANNEL_DAILY, RAW_CHECKS
+from checkmart.sources import adapters
 from checkmart.sources.incremental import incremental_extract
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -32,24 +32,52 @@ def raw(spark, tmp_path_factory):
     return spark.read.schema(RAW_CHECKS).parquet(path)
 
 
-def exchanges(plan):
-    return re.findall(r"^\s*[+:\- ]*Exchange", plan.split("\n\n")[0], re.M)
+@pytest.fixture(autouse=True)
+def compiled(spark):
+    """Plans are those of production, with code generation."""
+    names = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
-def test_final_versions_take_one_shuffle_and_push_the_filter(raw):
+def jobs_of(spark, build):
+    """Spark jobs that run while a frame is built."""
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_final_versions_join_by_check_and_close(spark, raw):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(fact_check_items(raw))
-    assert len(exchanges(plan)) == 1 and "Join" not in plan
-    pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)
-    assert "GreaterThan(qty,0.0)" in pushed and "IsNotNull(check_id)" in pushed
-    # lineage that the fact does not keep is not read, and no derived column is shuffled
-    assert "source_file" not in re.search(r"ReadSchema: (.*)", plan).group(1)
-    assert "channel_group" not in re.search(r"\(\d+\) Exchange\nInput.*", plan).group(0)
-
-
-def test_day_level_reuses_the_partitioning_by_check(raw):
-    plan = plan_of(mart_channel_daily(fact_check_items(raw)))
-    assert len(exchanges(plan)) == 2
-    assert len(re.findall(r"hashpartitioning\(check_id", plan)) == 1
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # both sides are dealt for the join alone, so that adaptive execution can split a check with many rows
+    assert plan.count("hashpartitioning(check_id") >= 2 and "LeftSemi" in plan and "Window" not in plan
+    pushed = re.findall(r"PushedFilters: \[(.*)\]", plan)
+    assert len(pushed) == 2 and all("GreaterThan(qty,0.0)" in p and "IsNotNull(check_id)" in p for p in pushed)
+    reads = sorted(re.findall(r"ReadSchema: (.*)", plan), key=len)
+    assert reads[0].count(":") == 3, "the latest closes read key, close and quantity only"
+    assert "source_file" not in reads[1]
+
+
+def test_no_job_runs_while_a_query_is_built(spark, raw):
+    assert jobs_of(spark, lambda: fact_check_items(raw)) == 0
+    assert jobs_of(spark, lambda: versions.superseded_versions(raw)) == 0
+    orders = adapters.raw_checks_from_orders(spark, SF_DIR)
+    assert jobs_of(spark, lambda: versions.final_versions(orders)) == 0
+
+
+def test_orders_pick_final_lines_before_the_joins(spark):
+    tree = plan_of(QUERIES["fact_check_items_orders"](spark, SF_DIR)).split("\n\n")[0]
+    depth = {m[2]: len(m[1]) for m in re.finditer(r"^([\s+:\-|*]*)(?:\* )?\w*Join (LeftSemi|Inner)", tree, re.M)}
+    assert "LeftSemi" in tree and depth.get("LeftSemi", 99) > depth.get("Inner", 0)
 
 
 def test_latest_line_is_limited_before_the_shuffle(raw):

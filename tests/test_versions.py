@@ -4,7 +4,7 @@ import pytest
 from helpers import line, raw_checks
 from pyspark.sql import functions as F
 
-from checkmart.operators import skew, versions
+from checkmart.operators import versions
 from checkmart.plans.fact import fact_check_items, incremental_fact_refresh
 from checkmart.plans.staging import stage_checks
 from checkmart.session import written
@@ -42,11 +42,6 @@ def test_final_versions(spark, lines):
     assert ids(versions.final_versions(lines)) == [3, 5, 6, 14]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_final_versions_with_hot_checks(lines, broadcast_rows):
-    assert ids(versions.final_versions(lines, hot_rows=1, broadcast_rows=broadcast_rows)) == [3, 5, 6, 14]
-
-
 def test_final_versions_against_brute_force(spark):
     draw = random.Random(3)
     # check 1 holds a third of all rows, all of its final version among them
@@ -60,8 +55,10 @@ def test_final_versions_against_brute_force(spark):
             latest[row["check_id"]] = max(latest.get(row["check_id"], ""), row["close_ts"])
     expected = [n for n, r in enumerate(rows, 1) if r["qty"] > 0 and r["close_ts"] == latest[r["check_id"]]]
     df = raw_checks(spark, rows).repartition(6)
-    for hot_rows, broadcast_rows in [(10**6, 10**6), (100, 10**6), (100, 0), (1, 5)]:
-        assert ids(versions.final_versions(df, hot_rows=hot_rows, broadcast_rows=broadcast_rows)) == expected
+    for broadcast in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        assert ids(versions.final_versions(df)) == expected
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_final_versions_by_check_and_day(lines):
@@ -106,8 +103,7 @@ def test_latest_line_per_check_day(spark):
     assert ids(versions.latest_line_per_check_day(stage_checks(df))) == [2, 7]
 
 
-@pytest.mark.parametrize(("hot_rows", "broadcast_rows"), [(10**6, 10**6), (1, 10), (1, 0)])
-def test_superseded_versions(spark, hot_rows, broadcast_rows):
+def test_superseded_versions(spark):
     df = raw_checks(
         spark,
         [
@@ -121,12 +117,11 @@ def test_superseded_versions(spark, hot_rows, broadcast_rows):
             line(4, None, 1.0),
         ],
     )
-    got = versions.superseded_versions(df, hot_rows, broadcast_rows).collect()
+    got = versions.superseded_versions(df).collect()
     assert sorted((r.check_id, str(r.open_ts)[11:16]) for r in got) == [(1, "10:00"), (3, "08:00")]
 
 
-@pytest.mark.parametrize(("hot_rows", "broadcast_rows"), [(10**6, 1000), (5, 3)])
-def test_incremental_refresh_equals_rebuild(spark, hot_rows, broadcast_rows):
+def test_incremental_refresh_equals_rebuild(spark):
     draw = random.Random(5)
     rows = [line(draw.randint(1, 40), f"1{draw.randint(0, 9)}:00", draw.choice([0.0, 1.0])) for _ in range(300)]
     df = raw_checks(spark, rows)
@@ -139,24 +134,10 @@ def test_incremental_refresh_equals_rebuild(spark, hot_rows, broadcast_rows):
         if fact is None:
             fact = written(fact_check_items(seen), "fact")
         else:
-            fact = written(incremental_fact_refresh(seen, fact, changed, hot_rows=hot_rows, broadcast_rows=broadcast_rows), "fact")
+            fact = written(incremental_fact_refresh(seen, fact, changed), "fact")
         assert sorted(fact.collect()) == sorted(fact_check_items(seen).collect())
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_by_key_forms_agree(spark, how):
-    # key 0 holds a third of the rows, and NULL keys never match
-    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 != 1, F.col("id") % 7)
-    left = written(spark.range(500).select(key.alias("k"), "id"), "left")
-    extra = [F.lit("x").alias("v")] if how in ("inner", "left") else []
-    right = written(spark.range(4).select(F.col("id").cast("int").alias("k"), *extra), "right")
-    expected = left.join(right, "k", how).select("k", "id", *["v" for _ in extra])
-    for hot_rows, broadcast_rows in [(10**6, 10**6), (10**6, 0), (100, 3), (100, 0), (1, 3)]:
-        got = skew.join_by_key(left, right, ["k"], how, hot_rows, broadcast_rows)
-        assert got.columns == expected.columns
-        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
-
-
 def test_staging_flags(spark):
     df = raw_checks(
         spark,
