@@ -28,7 +28,7 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 MAX_HASHES = 80
 #: Shingles in a chunk of a candidate group; two chunks meet in a task.
-CHUNK_SHINGLES = 1 << 21
+CHUNK_SHINGLES = 1 << 18
 #: Above this many index steps a task multiplies incidence matrices instead.
 _DENSE_FROM = 1 << 27
 _DENSE_CELLS = 1 << 25
@@ -266,7 +266,7 @@ def jaccard_classes(
 
     # one text stands for each class of a group; its shingle set goes to the cells of its chunk
     columns = ["node", "component", "chunks", "chunk"]
-    texts = source.join(
+    texts = source.hint("merge").join(  # the same plan at every size
         members, source["id"].eqNullSafe(members["least_id"]) & (source["text_key"] == members["least_key"])
     ).select(*columns, "text")
     # rows that repeat id and text give the same set twice; verification needs it once
