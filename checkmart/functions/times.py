@@ -10,22 +10,30 @@ from checkmart.vocabulary import LONG_CHECK_HOURS, SUSPICIOUS_OPEN_DAYS
 # A calendar date must be spelled out; bare numbers (years, spreadsheet serials) are not dates.
 DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
+# A spreadsheet serial of a day from 1954 on, with a fraction.
+SERIAL_TEXT = r"^\d{5}(\.\d+)?$"
+
 # Spreadsheet day 25569 is 1970-01-01, so serials count days from 1899-12-30.
 SERIAL_OF_1970 = 25569
 MICROS_PER_DAY = 86_400_000_000
 
 
-def to_ts(c: Column, formats: Sequence[str] = ()) -> Column:
-    """Text as a timestamp, or NULL. ISO text always parses; `formats` adds datetime patterns to try after it."""
-    text = c.cast("string")
-    iso = F.when(text.rlike(DATE_TEXT), F.trim(text).try_cast("timestamp_ntz"))
+def to_ts(c: Column, formats: Sequence[str] = (), serials: bool = False) -> Column:
+    """Text as a timestamp, or NULL. ISO text always parses.
+
+    `formats` adds datetime patterns to try after it; `serials` takes plain numbers as spreadsheet serial dates.
+    """
+    text = F.trim(c.cast("string"))
+    iso = F.when(text.rlike(DATE_TEXT), text.try_cast("timestamp_ntz"))
     others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    if serials:
+        others.append(F.when(text.rlike(SERIAL_TEXT), excel_serial_to_ts(text.try_cast("double"))))
     return F.coalesce(iso, *others)
 
 
-def to_day(c: Column, formats: Sequence[str] = ()) -> Column:
+def to_day(c: Column, formats: Sequence[str] = (), serials: bool = False) -> Column:
     """Text as a date, or NULL; a time of day is cut off."""
-    return to_ts(c, formats).cast("date")
+    return to_ts(c, formats, serials).cast("date")
 
 
 def excel_serial_to_ts(c: Column) -> Column:

@@ -149,12 +149,13 @@ def mart_avg_check_by_order_type(fact: DataFrame) -> DataFrame:
     return _sales_by(fact, ["revenue_date", "order_type", "channel_group"])
 
 
-def mart_dish_sales_daily(fact: DataFrame) -> DataFrame:
-    """Dish sales by day, cleaned category and dish, without service lines and free modifiers.
+def dish_parts(fact: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Dish sales by day, cleaned category and dish, unrounded; without service lines and free modifiers.
 
-    Lines collapse to one row per check within the group first, which makes the distinct check count a plain count.
+    `within` adds columns to the groups. Lines collapse to one row per check within the group first, which makes the distinct check count a plain count. A
+    check lies in one bucket, so the parts of several buckets add up.
     """
-    by = ["revenue_date", "category_clean", "dish_name"]
+    by = [*within, "revenue_date", "category_clean", "dish_name"]
     per_check = (
         fact.where(F.col("is_dish_sales_item"))
         .groupBy(*by, "check_id")
@@ -162,11 +163,32 @@ def mart_dish_sales_daily(fact: DataFrame) -> DataFrame:
     )
     return per_check.groupBy(*by).agg(
         money_sum(F.col("qty")).alias("qty_sold"),
-        round_half_away(money_sum(F.col("amount")), 2).alias("dish_revenue_amount"),
+        money_sum(F.col("amount")).alias("amount"),
         F.count("check_id").alias("checks_count"),
     )
 
 
+def dish_sales_of_parts(parts: DataFrame) -> DataFrame:
+    """The dish mart from parts that may hold a day and dish several times, once per bucket of checks."""
+    return parts.groupBy("revenue_date", "category_clean", "dish_name").agg(
+        money_sum(F.col("qty_sold")).alias("qty_sold"),
+        round_half_away(money_sum(F.col("amount")), 2).alias("dish_revenue_amount"),
+        F.sum("checks_count").alias("checks_count"),
+    )
+
+
+def mart_dish_sales_daily(fact: DataFrame) -> DataFrame:
+    """Dish sales by day, cleaned category and dish, without service lines and free modifiers."""
+    return dish_parts(fact).select(
+        "revenue_date",
+        "category_clean",
+        "dish_name",
+        "qty_sold",
+        round_half_away(F.col("amount"), 2).alias("dish_revenue_amount"),
+        "checks_count",
+    )
+
+
 def avg_check_distinct(fact: DataFrame, by: Sequence[str]) -> DataFrame:
     """Documented variant: average check as turnover over distinct checks, in one level."""
     revenue = money_sum(turnover(F.col("amount_discount_rub")))

@@ -1,5 +1,7 @@
 """Dimensions and the date spine."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,18 @@ def dim_dish(stg: DataFrame) -> DataFrame:
     )
 
 
+def merged_dishes(*parts: DataFrame) -> DataFrame:
+    """One dimension from those of several sets of lines; equals the dimension of all lines together."""
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("dish_key", "dish_name", "category_clean")
+        .agg(
+            F.bool_or("has_delivery_category").alias("has_delivery_category"),
+            F.bool_or("is_service_item").alias("is_service_item"),
+        )
+    )
+
+
 def dim_order_type(stg: DataFrame) -> DataFrame:
     """One row per order type and its channel."""
     return (
@@ -46,6 +60,17 @@ def date_bounds(stg: DataFrame, plan: DataFrame) -> DataFrame:
     return dates.agg(F.min("date_value").alias("min_date"), F.max("date_value").alias("max_date"))
 
 
+def merged_bounds(*parts: DataFrame) -> DataFrame:
+    """First and last date of several bounds."""
+    union = reduce(DataFrame.unionByName, parts)
+    return union.agg(F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"))
+
+
+def calendar(bounds: DataFrame) -> DataFrame:
+    """The calendar between two dates."""
+    return date_spine(bounds).select("date_key", *calendar_attributes(F.col("date_key")))
+
+
 def date_spine(bounds: DataFrame) -> DataFrame:
     """Every day from `min_date` to `max_date`, both included; no days when a bound is NULL."""
     days = F.sequence(F.col("min_date"), F.col("max_date"), F.expr("interval 1 day"))
@@ -54,4 +79,4 @@ def date_spine(bounds: DataFrame) -> DataFrame:
 
 def dim_date(stg: DataFrame, plan: DataFrame) -> DataFrame:
     """Calendar over all days between the first and the last date of facts and plan."""
-    return date_spine(date_bounds(stg, plan)).select("date_key", *calendar_attributes(F.col("date_key")))
+    return calendar(date_bounds(stg, plan))

@@ -113,7 +113,9 @@ pl AS (
 CELLS = r"""
 cells AS (
   SELECT
-    CASE WHEN source_row_id % 37 = 5 THEN 'no date' ELSE CAST(accounting_date AS VARCHAR) END AS accounting_date,
+    CASE WHEN source_row_id % 37 = 5 THEN 'no date'
+      WHEN source_row_id % 3 = 1 THEN strftime(accounting_date, '%d.%m.%Y')
+      ELSE CAST(accounting_date AS VARCHAR) END AS accounting_date,
     CASE WHEN source_row_id % 41 = 3 THEN NULL WHEN source_row_id % 43 = 7 THEN 'n/a'
       ELSE CAST(check_id AS VARCHAR) END AS check_id,
     CAST(open_ts AS VARCHAR) AS open_ts,
@@ -278,7 +280,8 @@ _EVENTS_FACT_SELECT = EVENTS_FACT + _fact_select("ev", "open_hour, close_hour",
 _MIDNIGHT = "CAST(0 AS INTEGER) AS open_hour, CAST(0 AS INTEGER) AS close_hour"
 
 _TYPED_CELLS = """
-  CASE WHEN accounting_date = 'no date' THEN NULL ELSE CAST(accounting_date AS DATE) END AS accounting_date,
+  CASE WHEN accounting_date = 'no date' THEN NULL WHEN contains(accounting_date, '.')
+    THEN CAST(strptime(accounting_date, '%d.%m.%Y') AS DATE) ELSE CAST(accounting_date AS DATE) END AS accounting_date,
   TRY_CAST(check_id AS BIGINT) AS check_id"""
 
 _BROKEN = """
@@ -456,7 +459,8 @@ ORACLE: dict[str, str] = {
       CAST(CAST(open_hour AS DOUBLE) AS BIGINT) AS open_hour, TRY_CAST(guest_count AS BIGINT) AS guest_count
       FROM cells""",
     "coerce_datetime": f"""{EVENT_CELLS} SELECT source_row_number,
-      TRY_CAST(accounting_date AS DATE) AS accounting_date, CAST(open_ts AS TIMESTAMP) AS open_ts,
+      CAST(COALESCE(TRY_STRPTIME(accounting_date, '%d.%m.%Y'), TRY_STRPTIME(accounting_date, '%Y-%m-%d')) AS DATE)
+        AS accounting_date, CAST(open_ts AS TIMESTAMP) AS open_ts,
       CAST(CAST(open_ts AS TIMESTAMP) AS DATE) AS open_day, TRY_CAST(close_ts AS TIMESTAMP) AS close_ts FROM cells""",
     "clean_text": f"""{EVENT_CELLS}
       SELECT 'line' AS label, CAST(source_row_number AS BIGINT) AS row_id, {_text_trim("dish_name")} AS first,

@@ -1,10 +1,11 @@
 """The line-level fact and its incremental refresh."""
 
+from collections.abc import Collection
+from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from checkmart.functions.flags import is_dish_sales_item, is_turnover_item
 from checkmart.functions.keys import hash_key
@@ -12,10 +13,12 @@ from checkmart.operators.versions import final_versions, replace_checks
 from checkmart.plans.staging import stage_checks
 from checkmart.schemas import FACT_CHECK_ITEMS
 from checkmart.session import written
+from checkmart.sources.incremental import BUCKET, bucket_of, read_raw_checks
+from checkmart.sources.tables import Parts, State, read_parts
 from checkmart.vocabulary import RESTAURANT, CheckRules
 
 FACT_TABLE = "dwh/fact_check_items"
-MONTH = "revenue_month"
+UNIT = "unit"
 
 
 def fact_columns(final: DataFrame) -> DataFrame:
@@ -80,64 +83,55 @@ def incremental_fact_refresh(
     return replace_checks(fact, fact_check_items(touched, rules), changed)
 
 
-def month_of(day: str) -> Column:
-    """Month of a date column as text."""
-    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+def with_unit(df: DataFrame, day: str = "revenue_date") -> DataFrame:
+    """Adds the unit in which the fact is stored and rewritten: bucket of the check and month of the day.
 
-
-def with_month(fact: DataFrame) -> DataFrame:
-    """The fact laid out for storage by month. A busy month is split over several tasks, a quiet one fills one file."""
-    return fact.withColumn(MONTH, month_of("revenue_date")).hint("rebalance", MONTH)
-
-
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The stored fact with its month column, which prunes folders."""
-    schema = T.StructType([*FACT_CHECK_ITEMS.fields, T.StructField(MONTH, T.StringType())])
-    return spark.read.schema(schema).parquet(path)
+    A busy unit is split over several tasks, a quiet one fills one file.
+    """
+    month = F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+    return df.withColumn(UNIT, F.concat_ws("_", bucket_of(F.col("check_id")), month)).hint("rebalance", UNIT)
 
 
-class MonthRefresh(NamedTuple):
-    """New content of the months that changed checks touch, and the whole fact with it."""
+def units_of(parts: Parts, buckets: Collection[str] | None = None, months: Collection[str] | None = None) -> Parts:
+    """The parts of a table stored by unit that belong to some buckets or months."""
+    chosen = {}
+    for unit, folder in parts.items():
+        bucket, _, month = unit.partition("_")
+        if (buckets is None or bucket in buckets) and (months is None or month in months):
+            chosen[unit] = folder
+    return chosen
 
-    names: list[str]
-    months: DataFrame
-    all_rows: DataFrame
 
-    def untouched(self, daily: DataFrame) -> DataFrame:
-        """The rows of a daily table that belong to other months."""
-        return daily.where(~month_of("revenue_date").isin(self.names))
+class UnitRefresh(NamedTuple):
+    """New content of the units that changed checks touch."""
 
-    def overwrite(self, path: str) -> None:
-        """Replace just these months in the stored fact. Repeating it after a failure gives the same fact."""
-        writer = self.months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(MONTH).parquet(path)
+    units: set[str]
+    content: DataFrame
+    days: list[date | None]
+    touched_raw: DataFrame
 
 
-def _months_of(df: DataFrame) -> set[str]:
-    # bounded by the calendar
-    return {row[MONTH] for row in df.select(MONTH).distinct().collect()}
+def _distinct(df: DataFrame, column: str) -> set:
+    # units and days: bounded by the buckets and the calendar
+    return {row[0] for row in df.select(column).distinct().collect()}
 
 
-def refreshed_months(
-    raw: DataFrame,
-    fact: DataFrame,
-    changed: DataFrame,
-    rules: CheckRules = RESTAURANT,
-) -> MonthRefresh | None:
-    """The incremental refresh limited to the months where changed checks have rows, before or after the change.
+def refreshed_units(
+    spark: SparkSession, root: str, state: State, changed: DataFrame, rules: CheckRules = RESTAURANT
+) -> UnitRefresh:
+    """The incremental refresh limited to the units where changed checks have rows, before or after the change.
 
-    `fact` is the stored fact with its month column. None when a month would end up empty: a partition overwrite
-    cannot express that, so the caller rebuilds.
+    Reads the buckets of the changed checks only, of the raw table and of the fact.
     """
-    touched = raw.join(changed, "check_id", "left_semi")
-    rebuilt = written(with_month(fact_check_items(touched, rules)), "rebuilt-checks")
-    replaced = fact.join(changed, "check_id", "left_semi")
-    names = sorted(_months_of(rebuilt) | _months_of(replaced))
-    in_months = F.col(MONTH).isin(names)
-    content = written(
-        replace_checks(fact.where(in_months), rebuilt, changed).hint("rebalance", MONTH),
-        "refreshed-months",
-    )
-    if sorted(_months_of(content)) != names:
-        return None
-    return MonthRefresh(names, content, fact.where(~in_months).unionByName(content).drop(MONTH))
+    buckets = _distinct(changed.select(bucket_of(F.col("check_id")).alias(BUCKET)), BUCKET)
+    raw = read_raw_checks(spark, root, state, buckets)
+    touched = raw.join(changed, "check_id", "left_semi").select(*raw.columns)
+    rebuilt = written(with_unit(fact_check_items(touched, rules)), "rebuilt-checks")
+    stored = units_of(state.tables.get(FACT_TABLE, {}), buckets)
+    old_rows = with_unit(read_parts(spark, root, stored, FACT_CHECK_ITEMS).join(changed, "check_id", "left_semi"))
+    replaced = written(old_rows.select(UNIT, "revenue_date").distinct(), "replaced-rows")
+    units = _distinct(rebuilt, UNIT) | _distinct(replaced, UNIT)
+    days = _distinct(rebuilt, "revenue_date") | _distinct(replaced, "revenue_date")
+    current = read_parts(spark, root, {u: f for u, f in stored.items() if u in units}, FACT_CHECK_ITEMS)
+    content = with_unit(replace_checks(current, rebuilt.drop(UNIT), changed))
+    return UnitRefresh(units, content, sorted(days, key=str), touched)

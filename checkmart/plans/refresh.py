@@ -1,128 +1,172 @@
-"""The two refresh jobs: facts with everything that depends on them, and the plan with its few dependants.
+"""The refresh jobs: the source, facts with everything that depends on them, and the plan with its few dependants.
 
-New tables are written next to the current ones, checked, and published only when every check passes. A scheduler
-calls these functions; each is safe to call again after a failure.
+A run reads one published state, writes new folders, checks them, and publishes them in one step. A run that fails leaves
+the state and deletes its folders; one that meets another run's new state builds anew on it. A scheduler calls these
+functions; each is safe to call again after a failure.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.operators.daily import (
     condensed,
+    dish_parts,
+    dish_sales_of_parts,
     mart_avg_check_by_order_type,
     mart_channel_daily,
     mart_dashboard_daily,
-    mart_dish_sales_daily,
     mart_plan_fact_daily,
 )
-from checkmart.operators.dims import dim_date, dim_dish, dim_order_type
+from checkmart.operators.dims import calendar, date_bounds, dim_dish, dim_order_type, merged_bounds, merged_dishes
 from checkmart.operators.quality import CHECK_SUITE, RELATIONSHIP_SUITE, Check, dq_report, require_clean
 from checkmart.operators.versions import cancelled_checks
-from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact, refreshed_months, with_month
+from checkmart.plans.fact import FACT_TABLE, UNIT, fact_check_items, refreshed_units, units_of, with_unit
 from checkmart.plans.staging import stage_checks, stage_plan
-from checkmart.schemas import CONDENSED_CHECKS, MART_DISH_SALES_DAILY, RAW_PLAN
-from checkmart.session import written
+from checkmart.schemas import (
+    CANCELLED_CHECKS,
+    CONDENSED_CHECKS,
+    DATE_BOUNDS,
+    DIM_DISH,
+    DIM_ORDER_TYPE,
+    DISH_PARTS,
+    FACT_CHECK_ITEMS,
+    MART_SCHEMAS,
+    RAW_PLAN,
+)
+from checkmart.session import scratch, written
+from checkmart.sources.extracts import build_source, period_stats
 from checkmart.sources.incremental import (
     CHECKPOINT_TABLE,
     advanced_checkpoints,
-    incremental_extract,
     read_raw_checks,
     run_extract,
     stored_watermark,
 )
 from checkmart.sources.tables import (
     PLAN_TABLE,
-    load_plan,
-    publish_snapshots,
+    Parts,
+    State,
+    delete_old,
+    discard,
+    publish,
+    read_parts,
     read_snapshot,
-    snapshot_path,
+    retried,
     stage_snapshot,
+    write_snapshot,
 )
-from checkmart.vocabulary import RESTAURANT, CheckRules
+from checkmart.vocabulary import CHECK_SOURCE_NAME, RESTAURANT, CheckRules
 
+SOURCE_TABLE = "pos/check_items"
 # one row per check, day and order type; the daily marts are built from it
 CONDENSED_TABLE = "dwh/condensed_checks"
-DISH_MART = "mart/mart_dish_sales_daily"
+DISH_PARTS_TABLE = "dwh/dish_parts"
+BOUNDS_TABLE = "dwh/fact_date_bounds"
 
 
 class _Run:
-    """Tables written by one run, by path under the root; nothing is visible before `publish`."""
+    """Tables written by one run on one state; nothing is visible before `publish`."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        self.versions: dict[str, str] = {}
+    def __init__(self, spark: SparkSession, root: str, state: State):
+        self.spark, self.root, self.state = spark, root, state
+        self.replaced: dict[str, Parts] = {}
+        self.updated: dict[str, dict[str, str | None]] = {}
 
-    def store(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        version = stage_snapshot(df, self.root, table, partition_by)
-        self.versions[table] = version
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}/{version}")
+    def read(self, table: str, schema) -> DataFrame:
+        return read_snapshot(self.spark, self.root, table, schema, self.state)
 
-    def publish(self) -> None:
-        publish_snapshots(self.spark, self.root, self.versions)
+    def store(self, df: DataFrame, table: str) -> DataFrame:
+        """Replace a table as a whole; returns the new content."""
+        self.replaced[table] = stage_snapshot(df, self.root, table)
+        return read_parts(self.spark, self.root, self.replaced[table], df.schema)
 
+    def store_units(self, df: DataFrame, table: str, units: set[str] | None) -> Parts:
+        """Replace the given units of a table, or all; a unit without rows goes. Returns the new parts."""
+        staged = stage_snapshot(df, self.root, table, UNIT)
+        if units is None:
+            self.replaced[table] = staged
+        else:
+            self.updated[table] = {**dict.fromkeys(units), **staged}
+        return staged
 
-def stored_plan(spark: SparkSession, root: str) -> DataFrame:
-    """The staged plan; empty before the first plan load."""
-    return stage_plan(read_snapshot(spark, root, PLAN_TABLE, RAW_PLAN))
+    def parts_after(self, table: str) -> Parts:
+        if table in self.replaced:
+            return self.replaced[table]
+        merged = {**self.state.tables.get(table, {}), **self.updated.get(table, {})}
+        return {part: folder for part, folder in merged.items() if folder}
 
+    def publish(self) -> State:
+        return publish(self.spark, self.root, self.state, self.replaced, self.updated)
 
-def _plan_marts(run: _Run, checks: DataFrame, stg: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:
-    days = run.store(dim_date(stg, plan), "dwh/dim_date")
-    plan_fact = run.store(mart_plan_fact_daily(checks, plan), "mart/mart_plan_fact_daily")
-    dashboard = run.store(mart_dashboard_daily(plan_fact), "mart/mart_dashboard_daily")
-    return {"dim_date": days, "mart_plan_fact_daily": plan_fact, "mart_dashboard_daily": dashboard}
+    def discard(self) -> None:
+        folders = [f for parts in (*self.replaced.values(), *self.updated.values()) for f in parts.values() if f]
+        discard(self.spark, self.root, folders)
+
+
+def _published(spark: SparkSession, root: str, build: Callable[[_Run], DataFrame]) -> DataFrame:
+    """Build and publish, anew after a conflict; returns the report of the run that was published."""
+    reports: list[DataFrame] = []
+
+    def attempt(state: State) -> State:
+        run = _Run(spark, root, state)
+        try:
+            report = build(run)
+            published = run.publish()
+        except Exception:
+            run.discard()
+            raise
+        reports.append(report)
+        return published
+
+    retried(spark, root, attempt)
+    delete_old(spark, root)
+    return reports[-1]
 
 
 def _check(tables: Mapping[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
-    report = written(dq_report(tables, [*suite, *RELATIONSHIP_SUITE]), "dq-report")
+    report = dq_report(tables, [*suite, *RELATIONSHIP_SUITE])
+    # one row per declared check: kept as values, so that it outlives the folders it was computed from
+    rows = report.collect()
+    report = report.sparkSession.createDataFrame(rows, report.schema)
     require_clean(report.where(F.col("test") != "relationship"))
     return report
 
 
-def run_fact_refresh(
-    spark: SparkSession,
-    root: str,
-    source: DataFrame,
-    full_refresh: bool = False,
-    rules: CheckRules = RESTAURANT,
-    suite: Sequence[Check] = CHECK_SUITE,
-    incremental: bool = False,
-) -> DataFrame:
-    """Copy new source rows, rebuild staging, dimensions, fact and marts, check them, publish them.
+def run_bootstrap(
+    spark: SparkSession, root: str, extracts: Sequence[DataFrame], periods: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """Number the lines of all extracts and store them as the source; returns the period statistics and all rows."""
+    with scratch(spark):
+        write_snapshot(build_source(extracts, periods), root, SOURCE_TABLE)
+    source = read_snapshot(spark, root, SOURCE_TABLE, extracts[0].schema)
+    return period_stats(source), source.count()
 
-    Returns the quality report; a failed check raises and leaves the published tables as they were. With
-    `incremental` only the months that the new rows touch are recomputed and rewritten in the fact.
-    """
-    marks = run_extract(spark, source, root, full_refresh)
-    raw, plan = read_raw_checks(spark, root), stored_plan(spark, root)
+
+def _plan_marts(run: _Run, plan: DataFrame, bounds: DataFrame, plan_fact: DataFrame) -> dict[str, DataFrame]:
+    planned = plan.agg(F.min("plan_date").alias("min_date"), F.max("plan_date").alias("max_date"))
+    days = run.store(calendar(merged_bounds(bounds, planned)), "dwh/dim_date")
+    plan_fact = run.store(plan_fact, "mart/mart_plan_fact_daily")
+    dashboard = run.store(mart_dashboard_daily(plan_fact), "mart/mart_dashboard_daily")
+    return {"dim_date": days, "mart_plan_fact_daily": plan_fact, "mart_dashboard_daily": dashboard}
+
+
+def _rebuild(run: _Run, rules: CheckRules, plan: DataFrame) -> dict[str, DataFrame]:
+    """Everything from all raw rows."""
+    spark, root = run.spark, run.root
+    raw = read_raw_checks(spark, root, run.state)
     stg = stage_checks(raw, rules)
     stg.createOrReplaceTempView("stg_checks")
-    plan.createOrReplaceTempView("stg_plan_daily")
-
-    run = _Run(spark, root)
-    fact_path = snapshot_path(spark, root, FACT_TABLE)
-    months = None
-    if incremental and fact_path and not full_refresh:
-        new_rows = incremental_extract(raw, stored_watermark(spark, root, FACT_TABLE))
-        changed = written(new_rows.select("check_id").distinct(), "changed-checks")
-        months = refreshed_months(raw, read_fact(spark, fact_path), changed, rules)
-    if months is None:
-        stored = run.store(with_month(fact_check_items(raw, rules)), FACT_TABLE, [MONTH])
-        fact = stored.drop(MONTH)
-        checks, dishes = condensed(fact), mart_dish_sales_daily(fact)
-    else:
-        # daily tables keep their rows of other months, so the lines of those months are not read again
-        fact, lines = months.all_rows, months.months
-        old_checks = read_snapshot(spark, root, CONDENSED_TABLE, CONDENSED_CHECKS)
-        old_dishes = read_snapshot(spark, root, DISH_MART, MART_DISH_SALES_DAILY)
-        checks = months.untouched(old_checks).unionByName(condensed(lines))
-        dishes = months.untouched(old_dishes).unionByName(mart_dish_sales_daily(lines))
-    checks = run.store(checks, CONDENSED_TABLE)
-    tables = {
+    fact = read_parts(
+        spark, root, run.store_units(with_unit(fact_check_items(raw, rules)), FACT_TABLE, None), FACT_CHECK_ITEMS
+    )
+    checks = run.store_units(with_unit(condensed(fact)), CONDENSED_TABLE, None)
+    dishes = run.store_units(_dish_units(fact), DISH_PARTS_TABLE, None)
+    checks = read_parts(spark, root, checks, CONDENSED_CHECKS)
+    bounds = run.store(_bounds(stg), BOUNDS_TABLE)
+    return {
         "stg_checks": stg,
-        "stg_plan_daily": plan,
         "fact_check_items": fact,
         "dim_dish": run.store(dim_dish(stg), "dwh/dim_dish"),
         "dim_order_type": run.store(dim_order_type(stg), "dwh/dim_order_type"),
@@ -131,17 +175,117 @@ def run_fact_refresh(
         "mart_avg_check_by_order_type": run.store(
             mart_avg_check_by_order_type(checks), "mart/mart_avg_check_by_order_type"
         ),
-        "mart_dish_sales_daily": run.store(dishes, DISH_MART),
-        **_plan_marts(run, checks, stg, plan),
+        "mart_dish_sales_daily": run.store(
+            dish_sales_of_parts(read_parts(spark, root, dishes, DISH_PARTS)), "mart/mart_dish_sales_daily"
+        ),
+        **_plan_marts(run, plan, bounds, mart_plan_fact_daily(checks, plan)),
     }
-    report = _check(tables, suite)
-    if months is not None:
-        months.overwrite(fact_path)
-    # the fact's own mark is published with it; rows above it are left to the next run if this one fails
-    covered = advanced_checkpoints(spark, root, FACT_TABLE, marks["current"], reset=full_refresh)
-    run.store(covered, CHECKPOINT_TABLE)
-    run.publish()
-    return report
+
+
+def _bounds(stg: DataFrame) -> DataFrame:
+    return date_bounds(stg, stg.select(F.lit(None).cast("date").alias("plan_date")).limit(0))
+
+
+def _dish_units(fact: DataFrame) -> DataFrame:
+    """Dish sales of every unit."""
+    return dish_parts(with_unit(fact), [UNIT]).hint("rebalance", UNIT)
+
+
+def _update(run: _Run, rules: CheckRules, plan: DataFrame, mark: int) -> dict[str, DataFrame]:
+    """The units, days and dimension rows that the raw rows above a mark touch; everything else is kept as it is."""
+    spark, root, state = run.spark, run.root, run.state
+    new_rows = written(read_raw_checks(spark, root, state, above=mark), "new-rows")
+    changed = written(new_rows.select("check_id").distinct(), "changed-checks")
+    refresh = refreshed_units(spark, root, state, changed, rules)
+    units, months = refresh.units, {u.partition("_")[2] for u in refresh.units}
+    fact = read_parts(spark, root, run.store_units(refresh.content, FACT_TABLE, units), FACT_CHECK_ITEMS)
+    run.store_units(with_unit(condensed(fact)), CONDENSED_TABLE, units)
+    run.store_units(_dish_units(fact), DISH_PARTS_TABLE, units)
+    of_days = _on_days(refresh.days)
+    checks, dishes = (
+        read_parts(spark, root, units_of(run.parts_after(table), months=months), schema).where(of_days)
+        for table, schema in ((CONDENSED_TABLE, CONDENSED_CHECKS), (DISH_PARTS_TABLE, DISH_PARTS))
+    )
+
+    def mart(name: str, days: DataFrame) -> DataFrame:
+        return run.read(f"mart/{name}", MART_SCHEMAS[name]).where(~of_days).unionByName(days)
+
+    stg, touched = stage_checks(new_rows, rules), stage_checks(refresh.touched_raw, rules)
+    old_cancelled = run.read("dwh/cancelled_checks", CANCELLED_CHECKS)
+    cancelled = old_cancelled.join(changed, "check_id", "left_anti").unionByName(cancelled_checks(touched))
+    bounds = run.store(merged_bounds(run.read(BOUNDS_TABLE, DATE_BOUNDS), _bounds(stg)), BOUNDS_TABLE)
+    plan_fact = mart_plan_fact_daily(checks, plan.where(_on_days(refresh.days, "plan_date")))
+    order_types = run.read("dwh/dim_order_type", DIM_ORDER_TYPE).unionByName(dim_order_type(stg)).distinct()
+    return {
+        "stg_checks": stg,
+        "fact_check_items": fact,
+        "dim_dish": run.store(merged_dishes(run.read("dwh/dim_dish", DIM_DISH), dim_dish(stg)), "dwh/dim_dish"),
+        "dim_order_type": run.store(order_types, "dwh/dim_order_type"),
+        "cancelled_checks": run.store(cancelled, "dwh/cancelled_checks"),
+        "mart_channel_daily": run.store(
+            mart("mart_channel_daily", mart_channel_daily(checks)), "mart/mart_channel_daily"
+        ),
+        "mart_avg_check_by_order_type": run.store(
+            mart("mart_avg_check_by_order_type", mart_avg_check_by_order_type(checks)),
+            "mart/mart_avg_check_by_order_type",
+        ),
+        "mart_dish_sales_daily": run.store(
+            mart("mart_dish_sales_daily", dish_sales_of_parts(dishes)), "mart/mart_dish_sales_daily"
+        ),
+        **_plan_marts(run, plan, bounds, mart("mart_plan_fact_daily", plan_fact)),
+    }
+
+
+def _on_days(days: Sequence, column: str = "revenue_date"):
+    """Whether a date is one of the days; a NULL day is one like any other."""
+    known = F.coalesce(F.col(column).isin([d for d in days if d is not None]), F.lit(False))
+    return known | F.col(column).isNull() if None in days else known
+
+
+def refresh_facts(
+    spark: SparkSession,
+    root: str,
+    rules: CheckRules = RESTAURANT,
+    suite: Sequence[Check] = CHECK_SUITE,
+    incremental: bool = True,
+) -> DataFrame:
+    """Bring fact, dimensions and marts up to the raw table, check them, publish them; returns the quality report.
+
+    With `incremental` only the raw rows above the fact's own mark are staged, and only the buckets, months and days
+    that they touch are read and rewritten; the checks cover what is new. A failed check leaves the published tables
+    and the mark as they were, so the next run picks the rows up.
+    """
+
+    def build(run: _Run) -> DataFrame:
+        plan = stage_plan(run.read(PLAN_TABLE, RAW_PLAN))
+        plan.createOrReplaceTempView("stg_plan_daily")
+        mark = stored_watermark(spark, root, FACT_TABLE, run.state)
+        high = stored_watermark(spark, root, CHECK_SOURCE_NAME, run.state)
+        if incremental and mark and FACT_TABLE in run.state.tables:
+            tables = _update(run, rules, plan, mark)
+        else:
+            tables = _rebuild(run, rules, plan)
+        report = _check({**tables, "stg_plan_daily": plan}, suite)
+        # the fact's mark is published with it
+        run.store(advanced_checkpoints(spark, root, run.state, FACT_TABLE, high), CHECKPOINT_TABLE)
+        return report
+
+    with scratch(spark):
+        return _published(spark, root, build)
+
+
+def run_fact_refresh(
+    spark: SparkSession,
+    root: str,
+    source: DataFrame,
+    full_refresh: bool = False,
+    rules: CheckRules = RESTAURANT,
+    suite: Sequence[Check] = CHECK_SUITE,
+    incremental: bool = False,
+) -> DataFrame:
+    """Copy new source rows, then bring fact, dimensions and marts up to them (`refresh_facts`)."""
+    run_extract(spark, source, root, full_refresh, dependants=[FACT_TABLE])
+    return refresh_facts(spark, root, rules, suite, incremental and not full_refresh)
 
 
 def run_plan_refresh(
@@ -153,18 +297,18 @@ def run_plan_refresh(
 ) -> DataFrame:
     """Replace the plan and rebuild only what depends on it: calendar, plan-versus-fact mart, dashboard mart.
 
-    Reads the condensed fact that the fact refresh stored, so that job must have run before.
+    The new plan is published with these tables; a refused plan leaves no trace. Reads the condensed fact that the fact
+    refresh stored, so that job must have run before.
     """
-    checks_path = snapshot_path(spark, root, CONDENSED_TABLE)
-    if checks_path is None:
-        raise ValueError(f"no fact under {root}; run the fact refresh first")
-    load_plan(plan, root)
-    staged = stored_plan(spark, root)
-    staged.createOrReplaceTempView("stg_plan_daily")
-    run = _Run(spark, root)
-    stg = stage_checks(read_raw_checks(spark, root), rules)
-    checks = spark.read.schema(CONDENSED_CHECKS).parquet(checks_path)
-    tables = {"stg_plan_daily": staged, **_plan_marts(run, checks, stg, staged)}
-    report = _check(tables, suite)
-    run.publish()
-    return report
+
+    def build(run: _Run) -> DataFrame:
+        if CONDENSED_TABLE not in run.state.tables:
+            raise ValueError(f"no fact under {root}; run the fact refresh first")
+        staged = stage_plan(run.store(plan, PLAN_TABLE))
+        staged.createOrReplaceTempView("stg_plan_daily")
+        checks = run.read(CONDENSED_TABLE, CONDENSED_CHECKS)
+        marts = _plan_marts(run, staged, run.read(BOUNDS_TABLE, DATE_BOUNDS), mart_plan_fact_daily(checks, staged))
+        return _check({"stg_plan_daily": staged, **marts}, suite)
+
+    with scratch(spark):
+        return _published(spark, root, build)

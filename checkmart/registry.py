@@ -9,7 +9,6 @@ from checkmart.functions import flags, keys, numbers, text, times
 from checkmart.operators import daily, dims, quality, reports, versions
 from checkmart.plans.fact import fact_check_items, fact_columns, incremental_fact_refresh
 from checkmart.plans.staging import stage_checks
-from checkmart.schemas import RAW_CHECKS
 from checkmart.session import scratch_path, written
 from checkmart.sources import adapters, extracts, incremental, tables
 from checkmart.streaming.loads import stream_incremental_load
@@ -34,6 +33,7 @@ LINE = [
     "accounting_date", "check_id", "open_ts", "open_hour", "close_ts", "close_hour", "dish_name", "dish_category",
     "order_type", "qty", "guest_count", "amount_discount_rub",
 ]
+DOTTED = extracts.DateText(["dd.MM.yyyy"])
 LINEAGE = ["source_system", "source_sheet", "source_period", "source_row_number"]
 
 
@@ -205,7 +205,7 @@ def coerce_datetime(spark: SparkSession, sf: str) -> DataFrame:
     cells = extracts.rename_columns(adapters.text_extract_from_events(spark, sf), FACT_HEADERS)
     return cells.select(
         F.col("source_row_number"),
-        times.to_day(F.col("accounting_date")).alias("accounting_date"),
+        times.to_day(F.col("accounting_date"), *DOTTED).alias("accounting_date"),
         times.to_ts(F.col("open_ts")).alias("open_ts"),
         times.to_day(F.col("open_ts")).alias("open_day"),
         times.to_ts(F.col("close_ts")).alias("close_ts"),
@@ -522,7 +522,8 @@ def stored_extract(spark: SparkSession, sf: str) -> str:
 @query
 def scan_checks(spark: SparkSession, sf: str) -> DataFrame:
     """The events written as a CSV extract and read back as check lines."""
-    return extracts.read_fact_extract(spark, stored_extract(spark, sf), "2024-01").select(*LINE, *LINEAGE)
+    read = extracts.read_fact_extract(spark, stored_extract(spark, sf), "2024-01", dates=DOTTED)
+    return read.select(*LINE, *LINEAGE)
 
 
 @query
@@ -534,6 +535,9 @@ def scan_plan(spark: SparkSession, sf: str) -> DataFrame:
         "foreign": F.lit("note"),
         **{name: F.col(name).cast("string") for name in PLAN_HEADERS.values()},
     }
+    cells["plan_date"] = F.when(F.dayofmonth("plan_date") % 2 == 0, F.date_format("plan_date", "dd.MM.yyyy")).otherwise(
+        cells["plan_date"]
+    )
     body = plan.select(*[c.alias(name) for name, c in cells.items()])
     titles = {"foreign": "Комментарий", **{name: header for (header, _), name in PLAN_HEADERS.items()}}
     first = spark.range(1).select(
@@ -541,7 +545,7 @@ def scan_plan(spark: SparkSession, sf: str) -> DataFrame:
     )
     second = spark.range(1).select(*[F.lit(titles[name]).alias(name) for name in cells])
     union(first, second, body).write.csv(path, header=False)
-    read = extracts.read_plan_extract(spark, path, "plan")
+    read = extracts.read_plan_extract(spark, path, "plan", dates=DOTTED)
     return read.drop("source_file", "loaded_at")
 
 
@@ -555,7 +559,7 @@ def rename_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def drop_unkeyed(spark: SparkSession, sf: str) -> DataFrame:
     cells = extracts.rename_columns(adapters.text_extract_from_events(spark, sf), FACT_HEADERS)
-    typed = extracts.coerce_fact(cells)
+    typed = extracts.coerce_fact(cells, DOTTED)
     return extracts.drop_unkeyed(typed, ["accounting_date", "check_id"]).select(
         "source_row_number", "accounting_date", "check_id"
     )
@@ -655,14 +659,13 @@ def stream_incremental_load_query(spark: SparkSession, sf: str) -> DataFrame:
     stream = stream_incremental_load(
         spark,
         f"{sf}/events*.parquet",
-        f"{root}/raw",
+        root,
         f"{root}/checkpoint",
         schema,
         lambda batch: adapters.event_columns(batch).drop("extracted_at"),
     )
     stream.awaitTermination()
-    raw = spark.read.schema(RAW_CHECKS).option("recursiveFileLookup", True).parquet(f"{root}/raw")
-    return raw.select("source_row_id", *LINE, *LINEAGE)
+    return incremental.read_raw_checks(spark, root).select("source_row_id", *LINE, *LINEAGE)
 
 
 @query

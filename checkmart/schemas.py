@@ -54,6 +54,23 @@ CONDENSED_CHECKS = schema_of(
     " amount_discount_rub double, is_turnover_item boolean"
 )
 
+DISH_PARTS = schema_of(
+    "revenue_date date, category_clean string, dish_name string, qty_sold double, amount double, checks_count bigint"
+)
+
+DATE_BOUNDS = schema_of("min_date date, max_date date")
+
+DIM_DISH = schema_of(
+    "dish_key string, dish_name string, category_clean string, has_delivery_category boolean, is_service_item boolean"
+)
+
+DIM_ORDER_TYPE = schema_of("order_type_key string, order_type string, channel_group string")
+
+CANCELLED_CHECKS = schema_of(
+    "check_id bigint, raw_rows_count bigint, last_close_ts timestamp_ntz, first_accounting_date date,"
+    " last_accounting_date date, is_cancelled boolean"
+)
+
 MART_PLAN_FACT_DAILY = schema_of(
     "revenue_date date, checks_count bigint, guests_count bigint, fact_total_amount double, plan_total_amount double,"
     " plan_fact_delta_amount double, plan_completion_rate double, fact_restaurant_amount double,"

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,27 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# folders of the runs in progress, the innermost last
+_scopes: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/checkmart/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, inside the folder of the run in progress if there is one."""
+    folder = _scopes[-1] if _scopes else f"{shared_dir(spark)}/checkmart"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A run whose stored intermediate results are deleted at its end; nothing may read them afterwards."""
+    folder = scratch_path(spark, "run")
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.remove(folder)
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -184,7 +184,8 @@ def text_extract_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_checks_from_events(spark, sf_dir)
     nothing = F.lit(None).cast("string")
     cells = {name: F.col(name).cast("string") for name in FACT_HEADERS.values()}
-    cells["accounting_date"] = _every(37, 5, F.lit("no date"), cells["accounting_date"])
+    dotted = F.date_format("accounting_date", "dd.MM.yyyy")
+    cells["accounting_date"] = _every(37, 5, F.lit("no date"), _every(3, 1, dotted, cells["accounting_date"]))
     cells["check_id"] = _every(41, 3, nothing, _every(43, 7, F.lit("n/a"), cells["check_id"]))
     cells["close_ts"] = _every(31, 2, F.lit("2024"), cells["close_ts"])
     cells["open_hour"] = _every(11, 0, F.concat(cells["open_hour"], F.lit(".0")), cells["open_hour"])

@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import Literal, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +15,13 @@ from checkmart.session import written
 from checkmart.vocabulary import CHECK_SOURCE_SYSTEM, FACT_HEADERS, PLAN_HEADERS
 
 ROW_NUMBER = "source_row_number"
+# Share of unreadable dates from which on an extract is refused; a few summary lines are usual.
+MOST_UNREADABLE = 0.1
 
 
-def read_table_file(spark: SparkSession, path: str) -> DataFrame:
-    """An extract folder or file: Parquet by suffix, otherwise CSV with a header line, every column as text."""
-    if path.rstrip("/").endswith(".parquet"):
+def read_table_file(spark: SparkSession, path: str, file_format: Literal["csv", "parquet"] = "csv") -> DataFrame:
+    """An extract folder or file: Parquet, or CSV with a header line, every column as text."""
+    if file_format == "parquet":
         return spark.read.parquet(path)
     # the header of every part file must agree with the first one
     return spark.read.csv(path, header=True, enforceSchema=False, multiLine=False)
@@ -42,15 +45,34 @@ def drop_unkeyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
-def coerce_fact(df: DataFrame) -> DataFrame:
+class DateText(NamedTuple):
+    """How dates are written in an extract, besides ISO: datetime patterns, and spreadsheet serials or not."""
+
+    formats: Sequence[str] = ()
+    serials: bool = False
+
+
+def require_readable(df: DataFrame, column: str, dates: DateText, most: float, what: str) -> None:
+    """Raise if more than the share `most` of the non-empty cells of a date column is unreadable. One pass over it."""
+    cell = F.trim(F.col(column).cast("string"))
+    filled = cell.isNotNull() & (cell != "")
+    unreadable = filled & to_day(cell, *dates).isNull()
+    counts = df.agg(F.count_if(filled).alias("filled"), F.count_if(unreadable).alias("unreadable")).first()
+    if counts["unreadable"] > most * counts["filled"]:
+        raise ValueError(
+            f"{what}: {counts['unreadable']} of {counts['filled']} cells of {column} are no dates; pass their formats"
+        )
+
+
+def coerce_fact(df: DataFrame, dates: DateText = DateText()) -> DataFrame:
     """Text columns of a fact extract in their canonical types; unreadable values become NULL.
 
     Whole-number columns fail the query on a fraction.
     """
     whole = {"check_id": "bigint", "open_hour": "int", "close_hour": "int", "guest_count": "int"}
     converted = {
-        "accounting_date": to_day(F.col("accounting_date")),
-        **{c: to_ts(F.col(c)) for c in ("open_ts", "close_ts")},
+        "accounting_date": to_day(F.col("accounting_date"), *dates),
+        **{c: to_ts(F.col(c), *dates) for c in ("open_ts", "close_ts")},
         **{c: to_number(F.col(c), as_int=True).cast(t) for c, t in whole.items()},
         **{c: to_number(F.col(c)) for c in ("qty", "amount_discount_rub")},
         **{c: clean_text(F.col(c)) for c in ("dish_name", "dish_category", "order_type")},
@@ -74,14 +96,25 @@ def with_lineage(
 
 
 def read_fact_extract(
-    spark: SparkSession, path: str, period: str, sheet: str | None = None, headers: Mapping[str, str] = FACT_HEADERS
+    spark: SparkSession,
+    path: str,
+    period: str,
+    sheet: str | None = None,
+    headers: Mapping[str, str] = FACT_HEADERS,
+    file_format: Literal["csv", "parquet"] = "csv",
+    dates: DateText = DateText(),
+    most_unreadable: float = MOST_UNREADABLE,
 ) -> DataFrame:
-    """One period's check lines: canonical columns, coerced, rows without date or check dropped, with lineage."""
-    extract = read_table_file(spark, path)
+    """One period's check lines: canonical columns, coerced, rows without date or check dropped, with lineage.
+
+    Fails if more than the share `most_unreadable` of the accounting dates that are filled in cannot be read.
+    """
+    extract = read_table_file(spark, path, file_format)
     extract = with_lineage(extract, period, sheet or period)
     renamed = require_columns(rename_columns(extract, headers), list(headers.values()), path)
     lineage = ["source_system", "source_file", "source_sheet", "source_period", ROW_NUMBER]
-    typed = coerce_fact(renamed.select(*headers.values(), *lineage))
+    require_readable(renamed, "accounting_date", dates, most_unreadable, path)
+    typed = coerce_fact(renamed.select(*headers.values(), *lineage), dates)
     return drop_unkeyed(typed, ["accounting_date", "check_id"])
 
 
@@ -102,11 +135,17 @@ def plan_positions(
 
 
 def read_plan_extract(
-    spark: SparkSession, path: str, sheet: str, headers: Mapping[tuple[str, int], str] = PLAN_HEADERS
+    spark: SparkSession,
+    path: str,
+    sheet: str,
+    headers: Mapping[tuple[str, int], str] = PLAN_HEADERS,
+    dates: DateText = DateText(),
+    most_unreadable: float = MOST_UNREADABLE,
 ) -> DataFrame:
     """The daily plan from CSV whose first line holds group headers and whose second line holds column headers.
 
-    The header line is found by its date header, and both header lines drop out because they carry no date.
+    The header line is found by its date header, and both header lines drop out because they carry no date. Fails if
+    more than the share `most_unreadable` of the other dates that are filled in cannot be read.
     """
     cells = spark.read.csv(path, header=False)
     date_header = next(name for (name, _), column in headers.items() if column == "plan_date")
@@ -120,8 +159,10 @@ def read_plan_extract(
     def cell(name: str):
         return F.col(cells.columns[positions[name]])
 
+    plan_days = cells.where(~is_header).select(cell("plan_date").alias("plan_date"))
+    require_readable(plan_days, "plan_date", dates, most_unreadable, path)
     typed = cells.select(
-        to_day(cell("plan_date")).alias("plan_date"),
+        to_day(cell("plan_date"), *dates).alias("plan_date"),
         *[to_number(cell(name)).alias(name) for name in numbers],
         F.col("_metadata.file_name").alias("source_file"),
         F.lit(sheet).alias("source_sheet"),

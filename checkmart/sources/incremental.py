@@ -1,27 +1,57 @@
 """Incremental loading by high-water mark.
 
-Rows arrive in the raw table as one folder per starting mark. A run that dies after writing and before its checkpoint
-is repeated from the same mark and overwrites the same folder, so nothing is loaded twice.
+The raw table is stored in buckets of checks, one folder per bucket and load. A load publishes its folders together with
+the new mark: a run that dies before has loaded nothing, one that is repeated afterwards finds nothing above the mark.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Collection
+from typing import Literal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.schemas import CHECKPOINTS, RAW_CHECKS, SOURCE_CHECKS
-from checkmart.sources.tables import ensure_table, read_snapshot, write_snapshot
+from checkmart.sources.tables import (
+    Parts,
+    State,
+    current_state,
+    discard,
+    publish,
+    read_parts,
+    read_snapshot,
+    retried,
+    stage_snapshot,
+)
 from checkmart.vocabulary import CHECK_SOURCE_NAME
 
 RAW_CHECKS_TABLE = "raw/stg_raw_checks"
 CHECKPOINT_TABLE = "raw/etl_checkpoints"
-
-
-def read_source(spark: SparkSession, location: str, root: str | None = None) -> DataFrame:
-    """The numbered source: a published table under a root, a plain Parquet path, or a catalog table name."""
-    if root:
+BUCKET = "bucket"
+# Buckets of checks; a refresh reads and rewrites only those of changed checks.
+BUCKETS = 64
+# Loads after which the raw table is written anew, one folder per bucket.
+LOADS_BEFORE_COMPACTION = 16
+
+
+def bucket_of(check_id: Column) -> Column:
+    """Bucket of a check, as two digits; checks without id share one."""
+    return F.lpad(F.pmod(F.xxhash64(check_id), F.lit(BUCKETS)).cast("string"), 2, "0")
+
+
+def read_source(
+    spark: SparkSession,
+    location: str,
+    kind: Literal["path", "table", "published"] = "path",
+    root: str | None = None,
+) -> DataFrame:
+    """The numbered source: a plain Parquet path, a catalog table, or a published table under a root."""
+    if kind == "published":
+        if root is None:
+            raise ValueError("a published source needs its root")
         return read_snapshot(spark, root, location, SOURCE_CHECKS)
-    if "/" in location:
-        return spark.read.schema(SOURCE_CHECKS).parquet(location)
-    return spark.table(location)
+    if kind == "table":
+        return spark.table(location)
+    return spark.read.schema(SOURCE_CHECKS).parquet(location)
 
 
 def read_watermark(checkpoints: DataFrame, name: str) -> DataFrame:
@@ -61,29 +91,41 @@ def upsert_checkpoint(checkpoints: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def read_raw_checks(spark: SparkSession, root: str) -> DataFrame:
-    """All loaded raw rows."""
-    path = f"{root}/{RAW_CHECKS_TABLE}"
-    ensure_raw(spark, root)
-    return spark.read.schema(RAW_CHECKS).option("recursiveFileLookup", True).parquet(path)
+def raw_parts(state: State, buckets: Collection[str] | None = None, above: int = -1) -> Parts:
+    """Folders of the raw table in some buckets, of loads that reach above a mark. Parts are `bucket/last row id`."""
+    parts = state.tables.get(RAW_CHECKS_TABLE, {})
+    return {
+        part: folder
+        for part, folder in parts.items()
+        if (buckets is None or part.split("/")[0] in buckets) and int(part.split("/")[1]) > above
+    }
 
 
-def ensure_raw(spark: SparkSession, root: str) -> None:
-    """Create the raw table empty if it is missing."""
-    ensure_table(spark, f"{root}/{RAW_CHECKS_TABLE}/load_id=0", RAW_CHECKS)
+def read_raw_checks(
+    spark: SparkSession,
+    root: str,
+    state: State | None = None,
+    buckets: Collection[str] | None = None,
+    above: int = -1,
+) -> DataFrame:
+    """Loaded raw rows: all, or those of some buckets and above a mark."""
+    rows = read_parts(spark, root, raw_parts(state or current_state(spark, root), buckets, above), RAW_CHECKS)
+    return rows.where(F.col("source_row_id") > above) if above >= 0 else rows
 
 
-def stored_watermark(spark: SparkSession, root: str, name: str) -> int:
+def stored_watermark(spark: SparkSession, root: str, name: str, state: State | None = None) -> int:
     """The stored mark of a source under the root."""
-    checkpoints = read_snapshot(spark, root, CHECKPOINT_TABLE, CHECKPOINTS)
+    checkpoints = read_snapshot(spark, root, CHECKPOINT_TABLE, CHECKPOINTS, state)
     return read_watermark(checkpoints, name).first()["watermark"]
 
 
-def advanced_checkpoints(spark: SparkSession, root: str, name: str, mark: int, reset: bool = False) -> DataFrame:
-    """The checkpoints with the mark of one source merged in; with `reset` its old mark goes first, so it may fall."""
-    checkpoints = read_snapshot(spark, root, CHECKPOINT_TABLE, CHECKPOINTS)
-    if reset:
-        checkpoints = checkpoints.where(F.col("source_name") != name)
+def advanced_checkpoints(
+    spark: SparkSession, root: str, state: State, name: str, mark: int, forget: Collection[str] = ()
+) -> DataFrame:
+    """The checkpoints of a state with the mark of one source merged in; marks in `forget` go first, so they may fall."""
+    checkpoints = read_snapshot(spark, root, CHECKPOINT_TABLE, CHECKPOINTS, state)
+    if forget:
+        checkpoints = checkpoints.where(~F.col("source_name").isin(*forget))
     now = spark.range(1).select(
         F.lit(name).alias("source_name"),
         F.lit(mark).cast("bigint").alias("watermark"),
@@ -92,23 +134,55 @@ def advanced_checkpoints(spark: SparkSession, root: str, name: str, mark: int, r
     return upsert_checkpoint(checkpoints, now)
 
 
+def _stage_raw(rows: DataFrame, root: str, high: int) -> Parts:
+    bucketed = rows.withColumn(BUCKET, bucket_of(F.col("check_id"))).hint("rebalance", BUCKET)
+    staged = stage_snapshot(bucketed, root, RAW_CHECKS_TABLE, BUCKET)
+    return {f"{bucket}/{high:019d}": folder for bucket, folder in staged.items()}
+
+
 def run_extract(
-    spark: SparkSession, source: DataFrame, root: str, full_refresh: bool = False, name: str = CHECK_SOURCE_NAME
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    full_refresh: bool = False,
+    name: str = CHECK_SOURCE_NAME,
+    dependants: Collection[str] = (),
 ) -> dict[str, int]:
-    """Copy the source rows above the stored watermark into the raw table, then advance the checkpoint.
+    """Copy the source rows above the stored watermark into the raw table and advance the mark, in one step.
 
-    Returns the previous and the new watermark. With `full_refresh` the raw table is replaced from the first row.
+    Returns the previous and the new watermark and the numbers of rows loaded and stored. With `full_refresh` the raw
+    table is replaced from the first row, and the marks of `dependants` are forgotten with the old rows.
     """
-    raw = f"{root}/{RAW_CHECKS_TABLE}"
-    ensure_raw(spark, root)
-    low = 0 if full_refresh else stored_watermark(spark, root, name)
-    high = source_watermark(source).first()["watermark"]
-    rows = incremental_extract(source, low, high).select(*RAW_CHECKS.names)
-    if full_refresh:
-        writer = rows.withColumn("load_id", F.lit("1")).write.mode("overwrite").partitionBy("load_id")
-        writer.option("partitionOverwriteMode", "static").parquet(raw)
-    elif high > low:
-        rows.write.mode("overwrite").parquet(f"{raw}/load_id={low + 1}")
-    marks = advanced_checkpoints(spark, root, name, max(high, low), reset=full_refresh)
-    write_snapshot(marks, root, CHECKPOINT_TABLE)
-    return {"previous": low, "current": max(high, low)}
+    counts: dict[str, int] = {}
+
+    def build(state: State) -> State:
+        low = 0 if full_refresh else stored_watermark(spark, root, name, state)
+        high = max(source_watermark(source).first()["watermark"], low)
+        staged: Parts = {}
+        try:
+            if high > low or full_refresh:
+                rows = incremental_extract(source, low, high).select(*RAW_CHECKS.names)
+                staged = _stage_raw(rows, root, high)
+            loaded = read_parts(spark, root, staged, RAW_CHECKS).count()
+            kept = {} if full_refresh else state.tables.get(RAW_CHECKS_TABLE, {})
+            parts = {**kept, **staged}
+            loads = [part.split("/")[0] for part in parts]
+            if max(map(loads.count, set(loads)), default=0) > LOADS_BEFORE_COMPACTION:
+                merged = _stage_raw(read_parts(spark, root, parts, RAW_CHECKS), root, high)
+                discard(spark, root, staged.values())
+                parts = staged = merged
+            forget = {name, *dependants} if full_refresh else ()
+            marks = stage_snapshot(
+                advanced_checkpoints(spark, root, state, name, high, forget), root, CHECKPOINT_TABLE
+            )
+            staged = {**staged, "": marks[""]}
+            published = publish(spark, root, state, {RAW_CHECKS_TABLE: parts, CHECKPOINT_TABLE: marks})
+        except Exception:
+            discard(spark, root, staged.values())
+            raise
+        total = read_parts(spark, root, parts, RAW_CHECKS).count()
+        counts.update(previous=low, current=high, rows=loaded, total=total)
+        return published
+
+    retried(spark, root, build)
+    return counts

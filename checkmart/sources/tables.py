@@ -1,24 +1,43 @@
-"""Stored tables: Parquet folders, published versions, layer materialisation and mart scans.
+"""Stored tables: Parquet folders listed in published states, layer materialisation and mart scans.
 
-A table that is replaced as a whole is written to a new version folder `<root>/<table>/<version>` first. It becomes
-visible when a row naming it is appended to the list of published versions under the root. A run publishes all its
-tables with one such append, so readers see the old or the new state of all of them, never a half-written table.
+Nothing published is ever changed in place. A table is one Parquet folder, or several parts (buckets, months, loads) with a
+folder each. New content goes to new folders; it becomes visible when the next state, a small JSON file that names the
+folders of all tables, appears under the root. State n + 1 is created from state n by a rename that fails if it is there
+already, so of two runs that build on the same state one gets a `Conflict` and has to build anew.
 """
 
+import json
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checkmart.schemas import MART_SCHEMAS, schema_of
+from checkmart.schemas import MART_SCHEMAS
 
-PUBLISHED = schema_of("table_name string, version string, sequence bigint, published_at timestamp_ntz")
-LISTING = "published_versions"
+STATES = "published_states"
 PLAN_TABLE = "raw/stg_plan_daily"
 LAYERS = ("staging", "dwh", "mart")
+# States whose folders are kept for readers that started on them.
+KEEP_STATES = 10
+# Attempts of a whole-table replacement that meets other writers.
+TRIES = 20
+
+Parts = dict[str, str]
+
+
+class Conflict(RuntimeError):
+    """Another run has published meanwhile."""
+
+
+class State(NamedTuple):
+    """Folders under the root by table and part; a table without parts has the part ''."""
+
+    number: int
+    tables: dict[str, Parts]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -38,56 +57,151 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def _published(spark: SparkSession, root: str) -> DataFrame:
-    listing = f"{root}/{LISTING}"
-    if not path_exists(spark, listing):
-        return spark.createDataFrame([], PUBLISHED)
-    return spark.read.schema(PUBLISHED).parquet(listing)
+def _file_system(spark: SparkSession, path: str):
+    # the file system of the path, with the path as its own object; driver-side, for small files and listings only
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    files, location = _file_system(spark, folder)
+    if not files.exists(location):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(location))
+
+
+def _state_numbers(spark: SparkSession, root: str) -> list[int]:
+    return [int(name.removesuffix(".json")) for name in _names(spark, f"{root}/{STATES}") if name[0].isdigit()]
+
+
+def _state_path(root: str, number: int) -> str:
+    return f"{root}/{STATES}/{number:012d}.json"
+
+
+def _read_state(spark: SparkSession, root: str, number: int) -> State:
+    text = spark.read.text(_state_path(root, number), wholetext=True).first()[0]
+    return State(number, json.loads(text))
+
+
+def current_state(spark: SparkSession, root: str) -> State:
+    """The last published state; number 0 before the first one."""
+    numbers = _state_numbers(spark, root)
+    return _read_state(spark, root, numbers[-1]) if numbers else State(0, {})
 
 
-def stage_snapshot(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> str:
-    """Write `df` as a new, still unpublished version of the table; returns the version."""
-    version = f"version-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(f"{root}/{table}/{version}")
-    return version
+def publish(
+    spark: SparkSession,
+    root: str,
+    base: State,
+    replaced: Mapping[str, Parts],
+    updated: Mapping[str, Mapping[str, str | None]] | None = None,
+) -> State:
+    """Make staged folders visible, all at once, as the state after `base`.
+
+    Tables in `replaced` consist of the given parts alone; in `updated` the given parts change, and a None removes one.
+    Raises `Conflict`, and changes nothing, if the state after `base` exists.
+    """
+    tables = {**base.tables, **replaced}
+    for table, parts in (updated or {}).items():
+        merged = {**tables.get(table, {}), **parts}
+        tables[table] = {part: folder for part, folder in merged.items() if folder}
+    state = State(base.number + 1, tables)
+    files, draft = _file_system(spark, f"{root}/{STATES}/.draft-{uuid.uuid4().hex}")
+    stream = files.create(draft, False)
+    stream.write(bytearray(json.dumps(tables, sort_keys=True), "utf-8"))
+    stream.close()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    _, target = _file_system(spark, _state_path(root, state.number))
+    context = hadoop.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE  # do not overwrite
+    try:
+        context.rename(files.makeQualified(draft), files.makeQualified(target), options)
+    except Exception:
+        files.delete(draft, False)
+        if files.exists(target):
+            raise Conflict(f"state {state.number} under {root} was published by another run") from None
+        raise
+    return state
+
+
+def stage_snapshot(df: DataFrame, root: str, table: str, by: str | None = None) -> Parts:
+    """Write `df` to a new, unpublished folder of the table; with `by` one part per value of that column.
+
+    The column itself is not stored: it names the parts.
+    """
+    folder = f"{table}/version-{uuid.uuid4().hex}"
+    if not by:
+        df.write.parquet(f"{root}/{folder}")
+        return {"": folder}
+    df.write.partitionBy(by).parquet(f"{root}/{folder}")
+    names = [n for n in _names(df.sparkSession, f"{root}/{folder}") if n.startswith(f"{by}=")]
+    return {name.partition("=")[2]: f"{folder}/{name}" for name in names}
+
 
+def _delete(spark: SparkSession, root: str, folders: Iterable[str]) -> None:
+    for folder in folders:
+        files, location = _file_system(spark, f"{root}/{folder}")
+        files.delete(location, True)
 
-def publish_snapshots(spark: SparkSession, root: str, versions: Mapping[str, str]) -> None:
-    """Make staged versions the current ones of their tables, all at once."""
-    sequence = (_published(spark, root).agg(F.max("sequence")).first()[0] or 0) + 1
-    rows = spark.createDataFrame(list(versions.items()), "table_name string, version string").select(
-        "table_name",
-        "version",
-        F.lit(sequence).cast("bigint").alias("sequence"),
-        F.localtimestamp().alias("published_at"),
-    )
-    # one file, so that the append is one step
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/{LISTING}")
 
+def discard(spark: SparkSession, root: str, staged: Iterable[str]) -> None:
+    """Delete the versions that staged folders belong to, which will not be published."""
+    _delete(spark, root, {re.sub("(/version-[^/]*).*", r"\1", folder) for folder in staged})
 
-def write_snapshot(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the table as a whole."""
-    publish_snapshots(df.sparkSession, root, {table: stage_snapshot(df, root, table, partition_by)})
 
+def delete_old(spark: SparkSession, root: str, keep: int = KEEP_STATES) -> list[str]:
+    """Delete states before the last `keep`, and the folders that only they name; returns the folders."""
+    numbers = _state_numbers(spark, root)
+    old, kept = numbers[:-keep], numbers[-keep:]
 
-def snapshot_path(spark: SparkSession, root: str, table: str) -> str | None:
-    """Folder of the table's current version, or None before the first one."""
-    rows = _published(spark, root).where(F.col("table_name") == table)
-    version = rows.agg(F.max_by("version", "sequence")).first()[0]
-    return f"{root}/{table}/{version}" if version else None
+    def folders(which: Sequence[int]) -> set[str]:
+        return {f for n in which for parts in _read_state(spark, root, n).tables.values() for f in parts.values()}
 
+    unused = sorted(folders(old) - folders(kept)) if old else []
+    _delete(spark, root, unused)
+    for number in old:
+        files, location = _file_system(spark, _state_path(root, number))
+        files.delete(location, False)
+    return unused
 
-def read_snapshot(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """The current version of the table; empty before the first one."""
-    path = snapshot_path(spark, root, table)
-    if path is None:
+
+def retried(spark: SparkSession, root: str, build: Callable[[State], State], tries: int = TRIES) -> State:
+    """Build and publish on the current state, anew after each conflict."""
+    for _ in range(tries - 1):
+        try:
+            return build(current_state(spark, root))
+        except Conflict:
+            continue
+    return build(current_state(spark, root))
+
+
+def write_snapshot(df: DataFrame, root: str, table: str) -> None:
+    """Replace the table as a whole. Other tables that are published meanwhile stay."""
+    spark, parts = df.sparkSession, stage_snapshot(df, root, table)
+    retried(spark, root, lambda state: publish(spark, root, state, {table: parts}))
+
+
+def read_parts(spark: SparkSession, root: str, parts: Mapping[str, str], schema: T.StructType) -> DataFrame:
+    """The given folders as one table; empty without any."""
+    if not parts:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(*(f"{root}/{folder}" for folder in parts.values()))
+
 
+def read_snapshot(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, state: State | None = None
+) -> DataFrame:
+    """The table in a state, by default the current one; empty before its first version."""
+    state = state or current_state(spark, root)
+    return read_parts(spark, root, state.tables.get(table, {}), schema)
 
-def load_plan(plan: DataFrame, root: str) -> None:
-    """Replace the whole raw plan."""
-    write_snapshot(plan, root, PLAN_TABLE)
+
+def load_plan(plan: DataFrame, root: str) -> dict[str, int]:
+    """Replace the whole raw plan; returns its number of rows."""
+    spark, parts = plan.sparkSession, stage_snapshot(plan, root, PLAN_TABLE)
+    retried(spark, root, lambda state: publish(spark, root, state, {PLAN_TABLE: parts}))
+    return {"rows": read_parts(spark, root, parts, plan.schema).count()}
 
 
 def materialize(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
@@ -110,11 +224,21 @@ def read_mart(
     order: Sequence[str | Column] = (),
     schemas: Mapping[str, T.StructType] = MART_SCHEMAS,
 ) -> tuple[DataFrame, str | None]:
-    """Chosen columns of a mart in the given order, and no message; before its first build an empty table of the
-    declared schema and a message that says what is missing."""
+    """Chosen columns of a mart in the given order, and no message.
+
+    Before the first build, and when the stored mart cannot be read, an empty table of the declared schema and a message
+    that says what is wrong. Reading is tried on one row.
+    """
     schema = schemas[name]
-    path = snapshot_path(spark, root, f"mart/{name}")
-    message = None if path else f"mart {name} has not been built under {root}; run the refresh first"
-    mart = spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+    parts = current_state(spark, root).tables.get(f"mart/{name}", {})
+    message = None if parts else f"mart {name} has not been built under {root}; run the refresh first"
+    mart = spark.createDataFrame([], schema)
+    if parts:
+        try:
+            mart = read_parts(spark, root, parts, schema)
+            mart.limit(1).collect()
+        except Exception as error:
+            mart = spark.createDataFrame([], schema)
+            message = f"mart {name} under {root} cannot be read: {str(error).splitlines()[0]}"
     mart = mart.select(*(columns or schema.names))
     return (mart.orderBy(*order) if order else mart), message

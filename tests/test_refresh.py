@@ -1,14 +1,20 @@
+import pathlib
+import random
+import shutil
+
 import pytest
 from helpers import line, raw_checks, raw_plan
 from pyspark.sql import functions as F
 
-from checkmart.operators.daily import mart_dish_sales_daily
+from checkmart.operators import daily, dims, versions
 from checkmart.plans import refresh
-from checkmart.plans.fact import FACT_TABLE, MONTH, fact_check_items, read_fact, refreshed_months, with_month
-from checkmart.schemas import MART_SCHEMAS
-from checkmart.session import written
-from checkmart.sources.incremental import read_raw_checks, run_extract
-from checkmart.sources.tables import load_plan, read_mart, snapshot_path
+from checkmart.plans.fact import FACT_TABLE, fact_check_items
+from checkmart.plans.staging import stage_checks, stage_plan
+from checkmart.schemas import CANCELLED_CHECKS, DIM_DISH, DIM_ORDER_TYPE, FACT_CHECK_ITEMS, MART_SCHEMAS, RAW_PLAN
+from checkmart.session import shared_dir, written
+from checkmart.sources import incremental, tables
+from checkmart.sources.incremental import RAW_CHECKS_TABLE, read_raw_checks, run_extract
+from checkmart.sources.tables import Conflict, current_state, load_plan, read_mart, read_snapshot
 
 MARCH = {"accounting_date": "2026-03-03"}
 
@@ -25,12 +31,18 @@ ROWS = [
 PLAN = [{"plan_date": "2026-02-01", "plan_total_amount": 300.0}, {"plan_date": "2026-03-03", "plan_total_amount": 10.0}]
 
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    """Less folders than in production."""
+    monkeypatch.setattr(incremental, "BUCKETS", 4)
+
+
 def source(spark, count):
     return raw_checks(spark, ROWS[:count]).drop("extracted_at")
 
 
-def stored_fact(spark, root):
-    return read_fact(spark, snapshot_path(spark, root, FACT_TABLE))
+def texts(df):
+    return sorted(map(str, df.collect()))
 
 
 def revenue(spark, root):
@@ -39,14 +51,31 @@ def revenue(spark, root):
     return {str(r.revenue_date): (r.fact_total_amount, r.plan_total_amount) for r in mart.collect()}
 
 
-def files_by_month(spark, root):
-    rows = stored_fact(spark, root).select(MONTH, F.col("_metadata.file_path").alias("path")).collect()
-    return {row[MONTH]: row.path for row in rows}
-
-
-def assert_fact_is_rebuilt(spark, root):
-    rebuilt = fact_check_items(read_raw_checks(spark, root))
-    assert sorted(map(str, stored_fact(spark, root).drop(MONTH).collect())) == sorted(map(str, rebuilt.collect()))
+def assert_equals_a_rebuild(spark, root):
+    """Everything published is what one build from all raw rows gives."""
+    raw = read_raw_checks(spark, root)
+    stg, plan = stage_checks(raw), stage_plan(read_snapshot(spark, root, tables.PLAN_TABLE, RAW_PLAN))
+    lines = written(fact_check_items(raw), "expected-fact")
+    plan_fact = written(daily.mart_plan_fact_daily(lines, plan), "expected-plan-fact")
+    assert texts(read_snapshot(spark, root, FACT_TABLE, FACT_CHECK_ITEMS)) == texts(lines)
+    expected = {
+        "mart_plan_fact_daily": plan_fact,
+        "mart_channel_daily": daily.mart_channel_daily(lines),
+        "mart_avg_check_by_order_type": daily.mart_avg_check_by_order_type(lines),
+        "mart_dish_sales_daily": daily.mart_dish_sales_daily(lines),
+        "mart_dashboard_daily": daily.mart_dashboard_daily(plan_fact),
+    }
+    assert set(expected) == set(MART_SCHEMAS)
+    for name, mart in expected.items():
+        assert texts(read_mart(spark, root, name)[0]) == texts(mart.select(*MART_SCHEMAS[name].names)), name
+    days = dims.dim_date(stg, plan)
+    for table, schema, frame in (
+        ("dwh/dim_dish", DIM_DISH, dims.dim_dish(stg)),
+        ("dwh/dim_order_type", DIM_ORDER_TYPE, dims.dim_order_type(stg)),
+        ("dwh/cancelled_checks", CANCELLED_CHECKS, versions.cancelled_checks(stg)),
+        ("dwh/dim_date", days.schema, days),
+    ):
+        assert texts(read_snapshot(spark, root, table, schema)) == texts(frame.select(*schema.names)), table
 
 
 def test_refresh_jobs(spark, tmp_path):
@@ -65,27 +94,29 @@ def test_refresh_jobs(spark, tmp_path):
     assert spark.table("stg_checks").count() == 5
 
     # the plan job touches its dependants only
-    channel = snapshot_path(spark, root, "mart/mart_channel_daily")
+    def folders(table):
+        return current_state(spark, root).tables[table]
+
+    channel = folders("mart/mart_channel_daily")
     report = refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN))
     assert {r.table_name for r in report.collect()} == {
         "stg_plan_daily", "dim_date", "mart_plan_fact_daily", "mart_dashboard_daily"
     }
     assert revenue(spark, root)["2026-03-03"] == (50.0, 10.0)
-    assert snapshot_path(spark, root, "mart/mart_channel_daily") == channel
+    assert folders("mart/mart_channel_daily") == channel
+
+    # a refused plan leaves no trace, and the next fact refresh goes on with the old one
     with pytest.raises(ValueError, match="plan_total_amount not_null"):
         refresh.run_plan_refresh(spark, root, raw_plan(spark, [{"plan_date": "2026-02-01"}]))
     assert revenue(spark, root)["2026-03-03"] == (50.0, 10.0)
-    load_plan(raw_plan(spark, PLAN), root)
 
-    # new versions rewrite the months they touch
-    before = files_by_month(spark, root)
+    # new versions rewrite the units they touch
+    before = folders(FACT_TABLE)
     refresh.run_fact_refresh(spark, root, source(spark, 7), incremental=True)
-    after = files_by_month(spark, root)
-    assert before["2026-01"] == after["2026-01"] and before["2026-02"] != after["2026-02"]
-    assert_fact_is_rebuilt(spark, root)
-    dishes, _ = read_mart(spark, root, "mart_dish_sales_daily")
-    expected = mart_dish_sales_daily(fact_check_items(read_raw_checks(spark, root)))
-    assert sorted(map(str, dishes.collect())) == sorted(map(str, expected.collect()))
+    after = folders(FACT_TABLE)
+    assert {u for u in before if u.endswith("2026-01") and before[u] == after[u]}
+    assert all(before[u] != after[u] for u in before if u.endswith("2026-02"))
+    assert_equals_a_rebuild(spark, root)
     published = revenue(spark, root)
     assert published["2026-02-01"] == (150.0, 300.0) and published["2026-03-03"] == (120.0, 10.0)
 
@@ -96,27 +127,147 @@ def test_refresh_jobs(spark, tmp_path):
     assert revenue(spark, root) == published
     suite = [c for c in refresh.CHECK_SUITE if c.column != "dish_name"]
     refresh.run_fact_refresh(spark, root, broken, suite=suite, incremental=True)
-    assert_fact_is_rebuilt(spark, root)
+    assert_equals_a_rebuild(spark, root)
     assert revenue(spark, root)["2026-02-01"] == (155.0, 300.0)
 
     # start over from a source that holds less
     refresh.run_fact_refresh(spark, root, source(spark, 3), full_refresh=True)
     assert read_raw_checks(spark, root).count() == 3
-    assert run_extract(spark, source(spark, 3), root) == {"previous": 3, "current": 3}
+    assert run_extract(spark, source(spark, 3), root)["current"] == 3
     assert set(revenue(spark, root)) == {"2026-02-01", "2026-03-03"}
+    assert_equals_a_rebuild(spark, root)
+
+
+def test_random_increments_equal_a_rebuild(spark, tmp_path):
+    """Checks move between days and months, lose all lines, and come back."""
+    root, draw = str(tmp_path), random.Random(8)
+    days = ["2026-01-30", "2026-01-31", "2026-02-01", "2026-02-28", "2025-02-01", None]
+    rows = [
+        line(
+            draw.randint(1, 14),
+            f"1{draw.randint(0, 9)}:00",
+            draw.choice([0.0, 1.0, 2.0]),
+            draw.choice([10.0, 0.1, 33.33]),
+            accounting_date=draw.choice(days[:-1]),
+            dish_name=draw.choice(["Карбонара", "Соус"]),
+            order_type=draw.choice(["Заказ в ресторане", "Доставка курьером"]),
+        )
+        for _ in range(90)
+    ]
+    everything = raw_checks(spark, rows).drop("extracted_at")
+    load_plan(raw_plan(spark, PLAN), root)
+    for high in (40, 70, 90):
+        refresh.run_fact_refresh(spark, root, everything.where(F.col("source_row_id") <= high), incremental=True)
+    assert_equals_a_rebuild(spark, root)
+
+
+def test_an_increment_reads_what_it_touches_only(spark, tmp_path):
+    """Folders of other buckets are deleted before the refresh, which must not notice."""
+    root = str(tmp_path)
+    rows = [line(n, "12:00", 1.0, 10.0) for n in range(1, 41)]
+    refresh.run_fact_refresh(spark, root, raw_checks(spark, rows).drop("extracted_at"))
+    load_plan(raw_plan(spark, PLAN), root)
+    expected = {name: texts(read_mart(spark, root, name)[0]) for name in ("mart_dish_sales_daily", "mart_channel_daily")}
+    bucket = spark.range(1).select(incremental.bucket_of(F.lit(7).cast("bigint"))).first()[0]
+    state, gone = current_state(spark, root), 0
+    for table, separator in ((RAW_CHECKS_TABLE, "/"), (FACT_TABLE, "_")):
+        for part, folder in state.tables[table].items():
+            if part.split(separator)[0] != bucket:
+                shutil.rmtree(tmp_path / folder)
+                gone += 1
+    assert gone >= 4
+    rows.append(line(7, "13:00", 1.0, 25.0))
+    new = raw_checks(spark, rows).drop("extracted_at").where("source_row_id > 40")
+    # run_extract counts all stored rows, which would list the folders that are gone
+    load_without_counting(spark, root, new)
+    refresh.refresh_facts(spark, root)
+    channel = read_mart(spark, root, "mart_channel_daily")[0].collect()
+    assert [(r.checks_count, r.revenue_amount) for r in channel] == [(40, 415.0)]
+    assert texts(read_mart(spark, root, "mart_dish_sales_daily")[0]) != expected["mart_dish_sales_daily"]
+
 
+def load_without_counting(spark, root, new):
+    state = current_state(spark, root)
+    staged = incremental._stage_raw(incremental.incremental_extract(new, 40), root, 41)
+    marks = tables.stage_snapshot(
+        incremental.advanced_checkpoints(spark, root, state, incremental.CHECK_SOURCE_NAME, 41), root, incremental.CHECKPOINT_TABLE
+    )
+    tables.publish(spark, root, state, {incremental.CHECKPOINT_TABLE: marks}, {RAW_CHECKS_TABLE: staged})
 
-@pytest.mark.parametrize("broadcast_rows", [0, 100])
-def test_refreshed_months(spark, broadcast_rows):
-    def refreshed(rows, changed_from):
-        raw = raw_checks(spark, rows)
-        fact = written(with_month(fact_check_items(raw.where(F.col("source_row_id") < changed_from))), "fact")
-        changed = raw.where(F.col("source_row_id") >= changed_from).select("check_id").distinct()
-        return fact_check_items(raw), refreshed_months(raw, fact, changed, broadcast_rows=broadcast_rows)
-
-    rebuilt, months = refreshed(ROWS, 6)
-    assert {row[MONTH] for row in months.months.collect()} == {"2026-02", "2026-03"}
-    assert sorted(map(str, months.all_rows.collect())) == sorted(map(str, rebuilt.collect()))
-    # the only check of January moves to March: a partition overwrite cannot empty January
-    _, months = refreshed([*ROWS[:5], line(4, "13:00", 1.0, 20.0, **MARCH)], 6)
-    assert months is None
+
+class Stopped(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("incremental_run", [True, False])
+def test_a_run_that_stops_anywhere_leaves_the_old_state(spark, tmp_path, monkeypatch, incremental_run):
+    """Stops the run at each of its writes in turn; the last pass goes through."""
+    root = str(tmp_path)
+    load_plan(raw_plan(spark, PLAN), root)
+    refresh.run_fact_refresh(spark, root, source(spark, 5))
+    old = revenue(spark, root)
+    run_extract(spark, source(spark, 7), root)
+    real, calls, stop_at = tables.stage_snapshot, [0], [1]
+
+    def stopping(*args, **more):
+        calls[0] += 1
+        if calls[0] == stop_at[0]:
+            raise Stopped
+        return real(*args, **more)
+
+    monkeypatch.setattr(refresh, "stage_snapshot", stopping)
+    before = current_state(spark, root)
+    # the first, some middle and the last writes
+    for step in (1, 2, 4, 9, 13):
+        calls[0], stop_at[0] = 0, step
+        with pytest.raises(Stopped):
+            refresh.refresh_facts(spark, root, incremental=incremental_run)
+        assert current_state(spark, root) == before and revenue(spark, root) == old
+    monkeypatch.setattr(refresh, "stage_snapshot", real)
+    monkeypatch.setattr(refresh, "publish", lambda *args: (_ for _ in ()).throw(Stopped()))
+    with pytest.raises(Stopped):
+        refresh.refresh_facts(spark, root, incremental=incremental_run)
+    assert current_state(spark, root) == before and revenue(spark, root) == old
+    monkeypatch.setattr(refresh, "publish", tables.publish)
+    refresh.refresh_facts(spark, root, incremental=incremental_run)
+    assert_equals_a_rebuild(spark, root)
+    # nothing that a stopped run wrote is left, neither staged nor intermediate
+    states = (before, current_state(spark, root))
+    named = {f.split("/")[2] for state in states for f in state.tables[FACT_TABLE].values()}
+    assert {p.name for p in (tmp_path / FACT_TABLE).iterdir()} == named
+    assert not list((tmp_path / "published_states").glob(".draft-*"))
+
+
+def test_interleaved_jobs_both_count(spark, tmp_path, monkeypatch):
+    """A plan job publishes while a fact job is about to: the fact job builds anew on the new plan."""
+    root = str(tmp_path)
+    refresh.run_fact_refresh(spark, root, source(spark, 5))
+    run_extract(spark, source(spark, 7), root)
+    real, met = tables.publish, []
+
+    def late(spark, root, base, *tables_of_run):
+        if not met:
+            met.append(True)
+            refresh.run_plan_refresh(spark, root, raw_plan(spark, PLAN))
+        return real(spark, root, base, *tables_of_run)
+
+    monkeypatch.setattr(refresh, "publish", late)
+    refresh.refresh_facts(spark, root)
+    assert_equals_a_rebuild(spark, root)
+    assert revenue(spark, root)["2026-03-03"] == (120.0, 10.0)
+    with pytest.raises(Conflict):
+        real(spark, root, tables.State(1, {}), {})
+
+
+def test_bootstrap_and_clean_up(spark, tmp_path):
+    root = str(tmp_path)
+    lines = raw_checks(spark, [line(n, "12:00", 1.0, source_row_number=n, source_period="p") for n in range(1, 4)])
+    extract = lines.drop("source_row_id", "extracted_at", "source_loaded_at")
+    stats, total = refresh.run_bootstrap(spark, root, [extract], ["p"])
+    assert [tuple(r) for r in stats.collect()] == [("p", 3, 3)] and total == 3
+    numbered = incremental.read_source(spark, refresh.SOURCE_TABLE, "published", root)
+    assert sorted(r.source_row_id for r in numbered.collect()) == [1, 2, 3]
+    refresh.run_fact_refresh(spark, root, numbered)
+    # intermediate results of the jobs are gone
+    scratch = pathlib.Path(shared_dir(spark).removeprefix("file:")) / "checkmart"
+    assert not list(scratch.glob("run-*"))

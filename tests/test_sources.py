@@ -2,7 +2,9 @@ import pytest
 from helpers import line, raw_checks, raw_plan
 from pyspark.sql import functions as F
 
-from checkmart.schemas import CHECKPOINTS, MART_SCHEMAS, RAW_PLAN, SOURCE_CHECKS
+from checkmart.plans import refresh
+from checkmart.plans.fact import FACT_TABLE
+from checkmart.schemas import CHECKPOINTS, FACT_CHECK_ITEMS, MART_SCHEMAS, RAW_PLAN, SOURCE_CHECKS
 from checkmart.sources import extracts, incremental, tables
 from checkmart.streaming.loads import stream_incremental_load
 from checkmart.vocabulary import FACT_HEADERS, PLAN_HEADERS
@@ -41,12 +43,13 @@ def test_read_fact_extract(spark, tmp_path, kind):
             {"Количество блюд": "x", "Блюдо": "  ", "Количество гостей": None, "Время закрытия": "46054.3"},
         ],
     )
-    path = f"{tmp_path}/extract.{kind}"
+    path = f"{tmp_path}/extract-as-{kind}"
     if kind == "csv":
         cells.write.csv(path, header=True)
     else:
         cells.write.parquet(path)
-    got = extracts.read_fact_extract(spark, path, "2026-02", "факт 02 2026").orderBy("source_row_number").collect()
+    read = extracts.read_fact_extract(spark, path, "2026-02", "факт 02 2026", file_format=kind, most_unreadable=0.3)
+    got = read.orderBy("source_row_number").collect()
     assert [r.source_row_number for r in got] == [2, 5]
     assert got[0].check_id == 39558 and got[0].dish_name == "Д.S.Алла Дьявола" and got[0].qty == 1.0
     assert (got[0].source_period, got[0].source_sheet) == ("2026-02", "факт 02 2026")
@@ -54,6 +57,22 @@ def test_read_fact_extract(spark, tmp_path, kind):
     assert got[1].qty is None and got[1].dish_name is None and got[1].close_ts is None and got[1].guest_count is None
 
 
+def test_dates_in_other_formats(spark, tmp_path):
+    cells = [{"Учетный день": d, "Время открытия": t} for d, t in [
+        ("01.02.2026", "01.02.2026 09:30:00"), (" 2026-02-02 ", "2026-02-02 10:00:00"), ("46054", "46054.5"), ("Итого", None)
+    ]]
+    text_extract(spark, cells).write.csv(f"{tmp_path}/extract", header=True)
+    # dates that nobody can read are an error, not an empty load
+    with pytest.raises(ValueError, match="3 of 4 cells of accounting_date are no dates"):
+        extracts.read_fact_extract(spark, f"{tmp_path}/extract", "2026-02")
+    dates = extracts.DateText(["dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy"], serials=True)
+    got = extracts.read_fact_extract(spark, f"{tmp_path}/extract", "2026-02", dates=dates, most_unreadable=0.25)
+    rows = [(str(r.accounting_date), str(r.open_ts)) for r in got.orderBy("source_row_number").collect()]
+    assert rows == [
+        ("2026-02-01", "2026-02-01 09:30:00"), ("2026-02-02", "2026-02-02 10:00:00"), ("2026-02-01", "2026-02-01 12:00:00")
+    ]
+
+
 def test_missing_columns_are_named_in_order(spark, tmp_path):
     cells = text_extract(spark, [{}]).drop("Тип заказа", "Блюдо")
     cells.write.csv(f"{tmp_path}/extract", header=True)
@@ -121,13 +140,31 @@ def test_snapshots(spark, tmp_path):
     tables.write_snapshot(spark.range(3), root, "t")
     tables.write_snapshot(spark.range(5), root, "t")
     assert count() == 5
+    base = tables.current_state(spark, root)
     staged = {"t": tables.stage_snapshot(spark.range(9), root, "t"), "u": tables.stage_snapshot(spark.range(2), root, "u")}
     assert (count(), count("u")) == (5, 0)
-    tables.publish_snapshots(spark, root, staged)
+    tables.publish(spark, root, base, staged)
+    # a second run that was built on the same state is refused and leaves everything as it is
+    with pytest.raises(tables.Conflict):
+        tables.publish(spark, root, base, {"t": {}})
+    assert tables.current_state(spark, root).number == base.number + 1
     assert (count(), count("u")) == (9, 2)
     # a table may be replaced by something computed from itself
     tables.write_snapshot(tables.read_snapshot(spark, root, "t", schema).where("id < 2"), root, "t")
     assert (count(), count("u")) == (2, 2)
+    # old versions go, the current ones stay
+    assert len(tables.delete_old(spark, root, keep=1)) == 3
+    assert (count(), count("u")) == (2, 2) and tables.delete_old(spark, root, keep=1) == []
+
+
+def test_tables_in_parts(spark, tmp_path):
+    root, rows = str(tmp_path), spark.range(6).withColumn("part", F.pmod("id", F.lit(3)).cast("string"))
+    staged = tables.stage_snapshot(rows, root, "t", "part")
+    state = tables.publish(spark, root, tables.current_state(spark, root), {"t": staged})
+    new = tables.stage_snapshot(spark.range(100, 102).withColumn("part", F.lit("1")), root, "t", "part")
+    tables.publish(spark, root, state, {}, {"t": {**new, "2": None}})
+    got = tables.read_snapshot(spark, root, "t", spark.range(1).schema)
+    assert sorted(r.id for r in got.collect()) == [0, 3, 100, 101]
 
 
 def test_ensure_table_keeps_what_is_there(spark, tmp_path):
@@ -147,6 +184,13 @@ def test_layers_and_missing_mart(spark, tmp_path):
     tables.materialize(rows, root, "mart", "mart_channel_daily")
     mart, message = tables.read_mart(spark, root, "mart_channel_daily", ["channel_group"])
     assert message is None and [tuple(r) for r in mart.collect()] == [("pickup",)]
+    # a mart that is published but cannot be read
+    folder = tables.current_state(spark, root).tables["mart/mart_channel_daily"][""]
+    for file in (tmp_path / folder).glob("part-*"):
+        file.write_bytes(b"no parquet")
+        (file.parent / f".{file.name}.crc").unlink()
+    mart, message = tables.read_mart(spark, root, "mart_channel_daily", ["channel_group"])
+    assert mart.count() == 0 and "cannot be read" in message
     tables.materialize(rows, root, "staging", "some_view")
     assert spark.table("some_view").count() == 1
     with pytest.raises(ValueError, match="unknown layer"):
@@ -156,7 +200,7 @@ def test_layers_and_missing_mart(spark, tmp_path):
 def test_load_plan_replaces(spark, tmp_path):
     root = str(tmp_path)
     tables.load_plan(raw_plan(spark, [{"plan_date": "2026-02-01"}, {"plan_date": "2026-02-02"}]), root)
-    tables.load_plan(raw_plan(spark, [{"plan_date": "2026-03-01"}]), root)
+    assert tables.load_plan(raw_plan(spark, [{"plan_date": "2026-03-01"}]), root) == {"rows": 1}
     got = tables.read_snapshot(spark, root, "raw/stg_plan_daily", RAW_PLAN)
     assert [str(r.plan_date) for r in got.collect()] == ["2026-03-01"]
 
@@ -172,26 +216,44 @@ def loaded(spark, root):
 
 def test_incremental_batches_equal_one_load(spark, tmp_path):
     root = str(tmp_path)
-    assert incremental.run_extract(spark, source_rows(spark, range(1, 5)), root) == {"previous": 0, "current": 4}
-    assert incremental.run_extract(spark, source_rows(spark, range(1, 5)), root) == {"previous": 4, "current": 4}
+
+    def extract(ids, **more):
+        return incremental.run_extract(spark, source_rows(spark, ids), root, **more)
+
+    assert extract(range(1, 5)) == {"previous": 0, "current": 4, "rows": 4, "total": 4}
+    assert extract(range(1, 5)) == {"previous": 4, "current": 4, "rows": 0, "total": 4}
     assert loaded(spark, root) == [1, 2, 3, 4]
-    incremental.run_extract(spark, source_rows(spark, range(1, 11)), root)
+    assert extract(range(1, 11))["rows"] == 6
     assert loaded(spark, root) == list(range(1, 11))
     # a source that shrinks neither moves the mark back nor loads rows again
-    assert incremental.run_extract(spark, source_rows(spark, range(1, 3)), root) == {"previous": 10, "current": 10}
-    incremental.run_extract(spark, source_rows(spark, range(1, 12)), root)
+    assert extract(range(1, 3)) == {"previous": 10, "current": 10, "rows": 0, "total": 10}
+    extract(range(1, 12))
     assert loaded(spark, root) == list(range(1, 12))
-    assert incremental.run_extract(spark, source_rows(spark, range(1, 4)), root, full_refresh=True)["current"] == 3
+    assert extract(range(1, 4), full_refresh=True)["current"] == 3
     assert loaded(spark, root) == [1, 2, 3]
 
 
-def test_extract_repeated_after_a_crash_before_the_checkpoint(spark, tmp_path):
+def test_many_loads_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "LOADS_BEFORE_COMPACTION", 2)
+    monkeypatch.setattr(incremental, "BUCKETS", 1)
+    for high in range(1, 6):
+        incremental.run_extract(spark, source_rows(spark, range(1, high + 1)), str(tmp_path))
+        assert loaded(spark, str(tmp_path)) == list(range(1, high + 1))
+        assert len(incremental.raw_parts(tables.current_state(spark, str(tmp_path)))) <= 2
+
+
+def test_failed_full_refresh_keeps_the_rows(spark, tmp_path):
     root = str(tmp_path)
-    incremental.ensure_raw(spark, root)
-    rows = incremental.incremental_extract(source_rows(spark, range(1, 4)), 0)
-    rows.write.parquet(f"{root}/{incremental.RAW_CHECKS_TABLE}/load_id=1")
     incremental.run_extract(spark, source_rows(spark, range(1, 6)), root)
-    assert loaded(spark, root) == [1, 2, 3, 4, 5]
+    failing = source_rows(spark, range(1, 9)).withColumn(
+        "qty", F.when(F.col("source_row_id") == 7, F.raise_error(F.lit("lost connection")).cast("double")).otherwise(F.col("qty"))
+    )
+    for full_refresh in (True, False):
+        with pytest.raises(Exception, match="lost connection"):
+            incremental.run_extract(spark, failing, root, full_refresh)
+        assert loaded(spark, root) == [1, 2, 3, 4, 5]
+    assert incremental.run_extract(spark, source_rows(spark, range(1, 9)), root)["previous"] == 5
+    assert loaded(spark, root) == list(range(1, 9))
 
 
 def test_checkpoints(spark):
@@ -208,24 +270,35 @@ def test_read_source(spark, tmp_path):
     tables.write_snapshot(rows, str(tmp_path), "pos/check_items")
     rows.write.parquet(f"{tmp_path}/plain")
     rows.createOrReplaceTempView("pos_lines")
-    for location in (f"{tmp_path}/plain", "pos_lines"):
-        assert incremental.read_source(spark, location).count() == 2
-    assert incremental.read_source(spark, "pos/check_items", str(tmp_path)).count() == 2
+    assert incremental.read_source(spark, f"{tmp_path}/plain").count() == 2
+    assert incremental.read_source(spark, "pos_lines", "table").count() == 2
+    assert incremental.read_source(spark, "pos/check_items", "published", str(tmp_path)).count() == 2
+    with pytest.raises(ValueError, match="root"):
+        incremental.read_source(spark, "pos/check_items", "published")
+
 
+def test_stream_and_batch_load_every_row_once(spark, tmp_path):
+    """Stream, then batch, then stream again, each refreshing the fact."""
+    source, root, checkpoint = (f"{tmp_path}/{n}" for n in ("source", "root", "checkpoint"))
+    counts = []
 
-def test_stream_loads_every_file_once(spark, tmp_path):
-    source, raw, checkpoint = (f"{tmp_path}/{n}" for n in ("source", "raw", "checkpoint"))
-    batches = []
+    def on_batch(session, loaded_now):
+        counts.append(loaded_now["rows"])
+        refresh.refresh_facts(session, root)
 
-    def run():
-        stream_incremental_load(
-            spark, source, raw, checkpoint, on_batch=lambda rows, _: batches.append(rows.count())
-        ).awaitTermination()
-        return sorted(r.source_row_id for r in spark.read.option("recursiveFileLookup", True).parquet(raw).collect())
+    def stream():
+        stream_incremental_load(spark, source, root, checkpoint, on_batch=on_batch).awaitTermination()
+        fact = tables.read_snapshot(spark, root, FACT_TABLE, FACT_CHECK_ITEMS)
+        assert sorted(r.source_row_id for r in fact.collect()) == loaded(spark, root)
+        return loaded(spark, root)
 
     source_rows(spark, [1, 2]).coalesce(1).write.mode("append").parquet(source)
-    assert run() == [1, 2]
-    assert run() == [1, 2]
+    assert stream() == [1, 2]
+    assert stream() == [1, 2]
     source_rows(spark, [3]).coalesce(1).write.mode("append").parquet(source)
-    assert run() == [1, 2, 3]
-    assert batches == [2, 1]
+    refresh.run_fact_refresh(spark, root, spark.read.schema(SOURCE_CHECKS).parquet(source), incremental=True)
+    assert loaded(spark, root) == [1, 2, 3]
+    # the stream meets the file that the batch has loaded, and a new one
+    source_rows(spark, [4, 5]).coalesce(1).write.mode("append").parquet(source)
+    assert stream() == [1, 2, 3, 4, 5]
+    assert counts == [2, 2]
