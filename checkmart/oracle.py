@@ -48,9 +48,9 @@ ev_raw AS (
     CAST(EXTRACT(hour FROM ts) AS INTEGER) AS open_hour,
     CAST(day_start + to_hours(CAST(6 * (EXTRACT(hour FROM ts) // 6 + 1) AS INTEGER)) AS TIMESTAMP) AS close_ts,
     CAST((6 * (EXTRACT(hour FROM ts) // 6 + 1)) % 24 AS INTEGER) AS close_hour,
-    'dish-' || CAST(k % 20 AS VARCHAR) AS dish_name,
+    CASE WHEN event_id % 89 <> 5 THEN 'dish-' || CAST(k % 20 AS VARCHAR) END AS dish_name,
     CASE k % 3 WHEN 0 THEN 'Д.ПИЦЦА' WHEN 1 THEN 'ПИЦЦА' ELSE 'МОДИФИКАТОРЫ' END AS dish_category,
-    event_type AS order_type,
+    CASE WHEN event_id % 97 <> 3 THEN event_type END AS order_type,
     CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 1 + event_id % 3 END AS DOUBLE) AS qty,
     CAST(1 + user_id % 4 AS INTEGER) AS guest_count,
     CAST(CASE WHEN k % 3 = 2 AND k % 2 = 0 THEN 0 ELSE CAST(value AS DECIMAL(18,2)) END AS DECIMAL(18,2)) AS amount,
@@ -65,7 +65,7 @@ ev AS (
     dish_category = 'Д.ПИЦЦА' AS is_delivery_category,
     CASE order_type WHEN 'click' THEN 'delivery' WHEN 'purchase' THEN 'pickup' WHEN 'signup' THEN 'restaurant'
       WHEN 'view' THEN 'banquet' ELSE 'other' END AS channel_group,
-    dish_name IN ('dish-3', 'dish-11') AS is_service_item,
+    COALESCE(dish_name IN ('dish-3', 'dish-11'), FALSE) AS is_service_item,
     (dish_category = 'МОДИФИКАТОРЫ' AND amount = 0) AS is_zero_amount_modifier,
     DATE_DIFF('minute', open_ts, close_ts) AS check_duration_minutes,
     DATE_DIFF('hour', open_ts, close_ts) > 12 AS is_long_duration_check,
@@ -262,12 +262,17 @@ _LINE = (
 _LINEAGE = "source_system, source_sheet, source_period, source_row_number"
 
 
+def _key(*columns: str) -> str:
+    """A surrogate key; NULL parts count as empty text."""
+    return "MD5(" + " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in columns) + ")"
+
+
 def _fact_select(lines: str, hours: str, sheet: str, period: str) -> str:
-    item = "COALESCE(CAST(source_row_id AS VARCHAR), ''), CAST(check_id AS VARCHAR), CAST(close_ts AS VARCHAR)"
+    item = _key("source_row_id", "check_id", "close_ts", "dish_name", "dish_category", "order_type")
     return f"""
-SELECT MD5(concat_ws('|', {item}, dish_name, dish_category, order_type)) AS check_item_key,
+SELECT {item} AS check_item_key,
   source_row_id, revenue_date, check_id, open_ts, close_ts, {hours},
-  MD5(dish_name || '|' || category_clean) AS dish_key, MD5(order_type || '|' || channel_group) AS order_type_key,
+  {_key("dish_name", "category_clean")} AS dish_key, {_key("order_type", "channel_group")} AS order_type_key,
   dish_name, dish_category, category_clean, is_delivery_category, order_type, channel_group, qty, guest_count,
   CAST(amount AS DOUBLE) AS amount_discount_rub, is_service_item, is_zero_amount_modifier, is_turnover_item,
   is_dish_sales_item, check_duration_minutes, is_long_duration_check, is_suspicious_open_date,
@@ -436,10 +441,17 @@ ORACLE: dict[str, str] = {
     "is_multiday_check": f"""{ORDERS} SELECT check_id, open_ts, accounting_date,
       CAST(open_ts AS DATE) < accounting_date AS is_multiday FROM ol""",
     "is_rounding_adjustment": f"{ORDERS} SELECT {_KEY}, dish_name = 'red plate' AS is_rounding FROM ol",
-    "normalize_channel_patterns": f"""{ORDERS} SELECT check_id, order_type,
+    "normalize_channel_patterns": f"""{ORDERS}, named AS (SELECT *, ['Приложение (доставка курьером)',
+        'Сайт (доставка курьером)', 'Доставка курьером', 'Агрегатор (Курьером)', 'Яндекс.ультима',
+        'Приложение (самовывоз гостем)', 'Сайт (самовывоз гостем)', 'Самовывоз гостем', 'Агрегатор (Самовывоз)',
+        'Заказ в ресторане', 'Заказ с собой', 'Веранда', 'Банкет', 'Банкет C&B'][check_id % 15 + 1] AS named_order_type
+      FROM ol)
+      SELECT check_id, order_type, named_order_type,
       CASE order_type WHEN '1-URGENT' THEN 'fast' WHEN '2-HIGH' THEN 'fast' WHEN '3-MEDIUM' THEN 'normal'
         WHEN '4-NOT SPECIFIED' THEN 'open' ELSE 'other' END AS channel,
-      'other' AS named_channel FROM ol""",
+      ['delivery_courier', 'delivery_courier', 'delivery_courier', 'delivery_courier', 'delivery_yandex',
+        'pickup_direct', 'pickup_direct', 'pickup_direct', 'pickup_aggregator', 'dine_in', 'other', 'other',
+        'banquet', 'banquet', 'other'][check_id % 15 + 1] AS named_channel FROM named""",
     "dish_name_normalized": f"""{ORDERS} SELECT check_id,
       'Д.' || dish_name || CASE WHEN is_long_duration_check THEN ' + ' ELSE '' END AS decorated,
       dish_name AS dish FROM ol""",
@@ -514,7 +526,7 @@ ORACLE: dict[str, str] = {
       BOOL_OR(is_delivery_category) AS has_delivery_category, BOOL_OR(is_service_item) AS is_service_item
       FROM ev WHERE dish_name IS NOT NULL GROUP BY dish_name, category_clean""",
     "dim_order_type": f"""{EVENTS} SELECT DISTINCT MD5(order_type || '|' || channel_group) AS order_type_key,
-      order_type, channel_group FROM ev""",
+      order_type, channel_group FROM ev WHERE order_type IS NOT NULL""",
     "date_bounds": f"""{with_(ORDER_LINES, PLAN)} SELECT MIN(d) AS min_date, MAX(d) AS max_date
       FROM (SELECT accounting_date AS d FROM ol UNION ALL SELECT plan_date FROM pl)""",
     "date_spine": f"""{with_(ORDER_LINES, PLAN)} SELECT CAST(UNNEST(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY))
@@ -621,7 +633,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'unknown', 0""",
     "upsert_checkpoint": f"""{EVENTS}, marks AS (
         SELECT order_type, source_period = '2024-01 first half' AS is_first, MAX(source_row_id) AS watermark,
-          MAX(open_ts) AS updated_at FROM ev GROUP BY ALL),
+          MAX(open_ts) AS updated_at FROM ev WHERE order_type IS NOT NULL GROUP BY ALL),
       changes AS (
         SELECT CASE order_type WHEN 'error' THEN 'fault' ELSE order_type END AS source_name,
           CASE order_type WHEN 'view' THEN 1 ELSE watermark END AS watermark, updated_at FROM marks WHERE NOT is_first)

@@ -12,7 +12,14 @@ from checkmart.plans.staging import stage_checks
 from checkmart.session import scratch_path, written
 from checkmart.sources import adapters, extracts, incremental, tables
 from checkmart.streaming.loads import stream_incremental_load
-from checkmart.vocabulary import CHANNEL_PATTERNS, DELIVERY_PREFIX, FACT_HEADERS, MODIFIER_CATEGORY, PLAN_HEADERS
+from checkmart.vocabulary import (
+    CHANNEL_PATTERNS,
+    DELIVERY_PREFIX,
+    FACT_HEADERS,
+    MODIFIER_CATEGORY,
+    ORDER_TYPE_CHANNELS,
+    PLAN_HEADERS,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +82,12 @@ def union(*parts: DataFrame) -> DataFrame:
     return extracts.union_periods(parts)
 
 
+def named_order_type() -> Column:
+    """One of the feed's order types, or NULL, by check."""
+    names = [name for channel in ORDER_TYPE_CHANNELS.values() for name in channel]
+    return F.get(F.lit(names), (F.col("check_id") % (len(names) + 1)).cast("int"))
+
+
 # --- columns -------------------------------------------------------------------------------------------------------
 
 ORDER_KEY = ["check_id", "dish_name", "close_ts"]
@@ -136,7 +149,8 @@ ORDER_COLUMNS: dict[str, Callable[[], list[Column | str]]] = {
         "check_id",
         "order_type",
         text.normalize_channel(F.col("order_type"), PRIORITY_PATTERNS, "other").alias("channel"),
-        text.normalize_channel(F.col("order_type"), CHANNEL_PATTERNS, "other").alias("named_channel"),
+        named_order_type().alias("named_order_type"),
+        text.normalize_channel(named_order_type(), CHANNEL_PATTERNS, "other").alias("named_channel"),
     ],
 }
 QUERIES.update({name: from_orders(columns) for name, columns in ORDER_COLUMNS.items()})
@@ -623,7 +637,7 @@ def source_watermark(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_checkpoints(spark: SparkSession, sf: str, period: str | None = None) -> DataFrame:
     """A checkpoint per event type: its highest row id and latest time, in a period or in the whole log."""
-    lines = event_source(spark, sf)
+    lines = event_source(spark, sf).where(F.col("order_type").isNotNull())
     if period:
         lines = lines.where(F.col("source_period") == period)
     return lines.groupBy(F.col("order_type").alias("source_name")).agg(

@@ -116,9 +116,9 @@ def event_columns(events: DataFrame) -> DataFrame:
             "hour(ts) AS open_hour",
             "slot_end AS close_ts",
             "hour(slot_end) AS close_hour",
-            "concat('dish-', CAST(k % 20 AS STRING)) AS dish_name",
+            "CASE WHEN event_id % 89 <> 5 THEN concat('dish-', CAST(k % 20 AS STRING)) END AS dish_name",
             f"element_at(array({categories}), k % 3 + 1) AS dish_category",
-            "event_type AS order_type",
+            "CASE WHEN event_id % 97 <> 3 THEN event_type END AS order_type",
             "CASE WHEN event_type = 'error' THEN 0 ELSE 1 + event_id % 3 END AS qty",
             "1 + user_id % 4 AS guest_count",
             "CASE WHEN k % 3 = 2 AND k % 2 = 0 THEN 0D ELSE rint(value * 100) / 100 END AS amount_discount_rub",

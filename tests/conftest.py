@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("checkmart-tests")
         .config("spark.sql.shuffle.partitions", "4")
-        # many tiny queries: interpreting them is faster than compiling them
+        # many tiny queries: interpreting them is faster than compiling them; see `compiled`
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -27,3 +27,15 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module")
+def compiled(spark):
+    """Code generation as in production, for a module of tests."""
+    names = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)

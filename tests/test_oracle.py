@@ -10,6 +10,8 @@ from checkmart.registry import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
+pytestmark = pytest.mark.usefixtures("compiled")
+
 
 @pytest.fixture(scope="module")
 def con():

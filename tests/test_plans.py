@@ -17,6 +17,8 @@ from checkmart.sources.incremental import incremental_extract
 
 SF_DIR = "/root/testdata/sf0.001"
 
+pytestmark = pytest.mark.usefixtures("compiled")
+
 
 def plan_of(df):
     out = io.StringIO()
@@ -32,18 +34,6 @@ def raw(spark, tmp_path_factory):
     return spark.read.schema(RAW_CHECKS).parquet(path)
 
 
-@pytest.fixture(autouse=True)
-def compiled(spark):
-    """Plans are those of production, with code generation."""
-    names = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
-    before = {name: spark.conf.get(name) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    yield
-    for name, value in before.items():
-        spark.conf.set(name, value)
-
-
 def jobs_of(spark, build):
     """Spark jobs that run while a frame is built."""
     spark.sparkContext.setJobGroup("build", "build")

@@ -16,6 +16,8 @@ from checkmart.sources import incremental, tables
 from checkmart.sources.incremental import RAW_CHECKS_TABLE, read_raw_checks, run_extract
 from checkmart.sources.tables import Conflict, current_state, load_plan, read_mart, read_snapshot
 
+pytestmark = pytest.mark.usefixtures("compiled")
+
 MARCH = {"accounting_date": "2026-03-03"}
 
 ROWS = [
