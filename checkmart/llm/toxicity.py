@@ -107,7 +107,7 @@ def learn_toxicity(
     """
     chosen = F.broadcast(sample_of(labels, id_col, label_col, most))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-    found = rows.coalesce(1).mapInArrow(_learn(bits), "at int, weight double").toArrow()
+    found = rows.repartition(1).mapInArrow(_learn(bits), "at int, weight double").toArrow()
     weights, bias = np.zeros(1 << bits, np.float32), 0.0
     at, values = found["at"].to_numpy(), found["weight"].to_numpy()
     weights[at[at >= 0]] = values[at >= 0]
