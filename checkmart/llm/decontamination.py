@@ -89,12 +89,11 @@ def anchors(wanted: DataFrame, counts: DataFrame, width: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, terms: DataFrame, end_marks: bool = True) -> DataFrame:
-    """(id, key, position, term) of the terms, and of the end mark of every row."""
+    """(id, key, position, term) of the terms; with `end_marks` every text ends with `END`."""
     marked = words(F.col("text"))
     if end_marks:
         marked = F.concat(marked, F.array(F.lit(END)))
-        terms = terms.union(terms.sparkSession.createDataFrame([(END,)], "term string"))
-    return docs.select(*_ROW, F.posexplode(marked).alias("position", "term")).join(F.broadcast(terms), "term")
+    return docs.select(*_ROW, F.posexplode(marked).alias("position", "term")).join(terms, "term")
 
 
 def _aligned(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -115,8 +114,9 @@ def occurrences(docs: DataFrame, items: DataFrame, width: int = WIDTH, proximity
     vocabulary = small(written(items.select("term").distinct(), "vocabulary"))
     counts = term_counts(docs, vocabulary)
     pairs = anchors(items, counts, width)
-    sought = written(pairs.select(F.col("term1").alias("term")).union(pairs.select("term2")).distinct(), "sought")
-    index = written(postings(docs, sought).distinct(), "index")
+    end_mark = pairs.sparkSession.createDataFrame([(END,)], "term string")
+    sought = pairs.select(F.col("term1").alias("term")).union(pairs.select("term2")).union(end_mark).distinct()
+    index = written(postings(docs, small(written(sought, "sought"))).distinct(), "index")
     lengths = index.filter(F.col("term") == END).select(*_ROW, F.col("position").alias("n_words"))
     first = index.join(small(pairs), F.col("term") == F.col("term1")).select(
         *_ROW, "item", (F.col("position") - F.col("p1")).alias("shift"), "p1", "p2", F.col("term2").alias("term")
