@@ -1,30 +1,64 @@
 """Token ids of many texts with a public tokenizer file, inside Spark tasks.
 
 A tokenizer's own split cuts a text into pieces whose ids do not depend on their surroundings. Distinct pieces are encoded
-once per worker by the tokenizers library and kept; texts outside plain Latin script, or with special tokens, are encoded
-whole by the library, so that its normalisation and Unicode tables alone decide there.
+once per worker by the tokenizers library and kept; texts outside plain Latin script, with special tokens or, where white
+space counts, with odd spacing are encoded whole by the library, so that its normalisation and tables alone decide there.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
+from itertools import chain, repeat
 
 import numpy as np
 import regex
 
-#: Distinct pieces kept per worker; beyond that the memory starts anew. Results do not depend on it.
-KEPT_PIECES = 300_000
+#: Distinct chunks, and distinct pieces, kept per worker: the first ones met, which hold the frequent ones. Others are
+#: worked out where they occur. Results do not depend on it.
+KEPT = 400_000
 #: Pieces encoded in one call.
 _CALL = 2_000
-_PLAIN = regex.compile(r"[\t\n\r\x20-\x7E\xA0-įı-ɏ‐-‧]*+")
+# characters on which the library and this module are known to agree: ASCII and Latin letters
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7EÀ-ÖØ-öø-įı-ɏ]*")
+# a space next to other white space or at an end
+_ODD_SPACE = re.compile(r"\s | \s|\A | \Z")
 # The splits of the tokenizer files.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class _Ids:
+    """Ids of distinct strings, one after the other in one array."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(1 << 16, np.int32)
+        self.ends = np.zeros(1 << 12, np.int64)
+
+    def add(self, strings: Sequence[str], found: Sequence[Sequence[int]]) -> None:
+        n, last = len(self.known), int(self.ends[len(self.known)])
+        ends = last + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while n + len(found) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[last : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]) - last)
+        self.ends[n + 1 : n + 1 + len(found)] = ends
+        self.known.update(zip(strings, range(n, n + len(found)), strict=True))
+
+    def of(self, string: str) -> list[int]:
+        k = self.known[string]
+        return self.ids[self.ends[k] : self.ends[k + 1]].tolist()
+
+
 class Encoder:
-    """Encodes texts with a tokenizer file; `end_id` closes every text."""
+    """Encodes texts with a tokenizer file; `end_id` closes every text.
+
+    A chunk is what lies between two spaces, with the space before it if the tokenizer keeps white space. Its ids are those
+    of its pieces, and only pieces that are new to the worker are encoded.
+    """
 
     def __init__(self, path: str, split: str, lower_case: bool, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,53 +66,81 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.find = regex.compile(split).findall
+        # white space is dropped exactly by the tokenizer that lower-cases
         self.lower_case, self.end_id = lower_case, end_id
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.int32)
-        self.ends = np.zeros(1, np.int64)
-
-    def _learn(self, pieces: set[str]) -> None:
-        fresh = sorted(pieces)
+        self.chunks, self.pieces = _Ids(), _Ids()
+
+    def _cut(self, text: str) -> list[str]:
+        """The chunks of a plain text."""
+        if self.lower_case:
+            return text.lower().split()
+        first, *rest = text.split(" ")
+        return ["\0" + first, *rest]  # without a space before it
+
+    def _ids_of(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of distinct chunks, by their pieces."""
+        if self.lower_case:
+            cut = list(map(self.find, chunks))
+        else:
+            cut = [self.find(c[1:] if c[:1] == "\0" else " " + c) for c in chunks]
+        known = self.pieces.known
+        fresh = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in known))
+        rare: dict[str, list[int]] = {}
         for a in range(0, len(fresh), _CALL):
             part = fresh[a : a + _CALL]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ends = self.ends[-1] + np.cumsum(lengths)
-            while ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[self.ends[-1] : ends[-1]] = [i for ids in found for i in ids]
-            self.known.update(zip(part, range(len(self.known), len(self.known) + len(part)), strict=True))
-            self.ends = np.concatenate([self.ends, ends])
+            if len(known) < KEPT:
+                self.pieces.add(part, found)
+            else:
+                rare.update(zip(part, found, strict=True))
+
+        def of(piece: str) -> list[int]:
+            return rare[piece] if piece in rare else self.pieces.of(piece)
+
+        return [of(p[0]) if len(p) == 1 else list(chain.from_iterable(map(of, p))) for p in cut]
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each closed by the end id, and where each text ends."""
-        pieces: list[str] = []
+        chunks: list[str] = []
         counts, whole = [], {}
         for k, text in enumerate(texts):
-            if "<|" not in text and _PLAIN.fullmatch(text):
-                own = self.find(text.lower() if self.lower_case else text)
-                pieces += own
+            plain = "<|" not in text and _PLAIN.fullmatch(text) and (self.lower_case or not _ODD_SPACE.search(text))
+            if plain and text:
+                own = self._cut(text)
+                chunks += own
                 counts.append(len(own))
             else:
                 whole[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
                 counts.append(0)
-        if len(self.known) > KEPT_PIECES:
-            self._forget()
-        if missing := set(pieces).difference(self.known):
-            self._learn(missing)
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        begins, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
+        at = np.fromiter(map(self.chunks.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(at < 0)
+        store, rare = self.chunks, None
+        if len(missing):
+            new = [chunks[i] for i in missing.tolist()]
+            distinct = list(dict.fromkeys(new))
+            if len(store.known) >= KEPT:
+                store = rare = _Ids()
+            store.add(distinct, self._ids_of(distinct))
+            at[missing] = np.fromiter(map(store.known.__getitem__, new), np.int64, len(new))
+        kept = self.chunks
+        shift, source = int(kept.ends[len(kept.known)]), kept.ids
+        if rare is None:
+            begins, stops = kept.ends[at], kept.ends[at + 1]
+        else:
+            of_rare = at[missing]
+            at[missing] = 0
+            begins, stops = kept.ends[at], kept.ends[at + 1]
+            begins[missing], stops[missing] = rare.ends[of_rare] + shift, rare.ends[of_rare + 1] + shift
+            source = np.concatenate([kept.ids[:shift], rare.ids])
+        lengths = stops - begins
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.arange(total) + np.repeat(begins - (ends - lengths), lengths)]
+        flat = source[np.arange(total) + np.repeat(begins - (ends - lengths), lengths)]
         cuts = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        closing = np.array([self.end_id], np.int32)
         out = []
         for k in range(len(texts)):
-            out.append(whole[k] if k in whole else flat[cuts[k] : cuts[k + 1]])
-            out.append(np.array([self.end_id], np.int32))
+            out += [whole[k] if k in whole else flat[cuts[k] : cuts[k + 1]], closing]
         sizes = np.fromiter((len(a) + 1 for a in out[0::2]), np.int64, len(texts))
         return (np.concatenate(out) if out else np.empty(0, np.int32)), np.cumsum(sizes)
 
