@@ -66,4 +66,57 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_ngram_jaccard_join": OP3, "op8_benchmark_decontamination": OP8}
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM words, unnest([1, 2, 3, 4]) AS s(k), unnest(range(1, len(ws) - k + 2)) AS t(i)),
+f AS (SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS ws FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, k, phrase, a, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[j + 1:k], ' ') AS rp
+  FROM f, unnest(range(1, k)) AS t(j)),
+best AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.j) = 1),
+around AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS b
+  FROM f, unnest(range(2, k)) AS s(m), unnest(range(1, k - m + 2)) AS t(i) GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM best LEFT JOIN around USING (lang, phrase) WHERE b IS NULL OR 100 * b < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": OP1,
+    "op3_ngram_jaccard_join": OP3,
+    "op8_benchmark_decontamination": OP8,
+    "op11_phrase_collocations": OP11,
+    "op12_hard_negatives": OP12,
+}

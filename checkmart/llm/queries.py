@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.llm import (
+    collocations,
     decontamination,
     fingerprints,
+    hard_negatives,
     ngram_join,
     packing,
     personal_data,
     quality,
     secrets,
+    simhash_trie,
     substring_dedup,
     token_files,
     toxicity,
@@ -131,6 +134,22 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language, from all texts."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor; each seventh row counts with the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(documents(spark, sf_dir, "embeddings"), label)
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and the component of every document."""
+    return simhash_trie.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -142,4 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
