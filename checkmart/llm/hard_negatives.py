@@ -20,6 +20,7 @@ An empty table gives no rows; further columns are not read.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -35,10 +36,10 @@ GRAIN = 256
 POSITIVES = 5
 NEGATIVES = 10
 LOWEST, HIGHEST = 30, 90
-TREE_ROWS = 4096
+TREE_ROWS = 8192
 TREES_PER_SITE = 16
 #: Nodes of at most this many points are not divided further.
-LEAF = 48
+LEAF = 512
 #: A child's radius is its parent's divided by this.
 SHRINK = 1.3
 
@@ -108,14 +109,12 @@ def cover_tree(vectors: np.ndarray, ids: np.ndarray, labels: np.ndarray, leaf: i
     )
 
 
-def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products: floats hold them up to 2**53, whole numbers up to 2**63, and larger ones are refused."""
-    most = float(np.abs(vectors).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(len(query), 1)
-    if most < 2**53:
-        return (vectors @ query).astype(np.int64)
-    if most < 2**63:
-        return vectors.astype(np.int64) @ query.astype(np.int64)
-    raise OverflowError("scores of these vectors may pass 64 bits")
+def exact(vectors: np.ndarray, query: np.ndarray) -> type:
+    """The type whose products are exact: floats up to 2**53, whole numbers up to 2**63. Larger scores are refused."""
+    most = float(np.abs(vectors).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(vectors.shape[1], 1)
+    if most >= 2**63:
+        raise OverflowError("scores of these vectors may pass 64 bits")
+    return np.float64 if most < 2**53 else np.int64
 
 
 class Best:
@@ -140,38 +139,41 @@ class Best:
             self.low = max(self.low, int(self.scores[-1]))
 
 
-def search(tree: Tree, query: np.ndarray, label: int, same: bool, skip: int, windows: list[Best]) -> None:
-    """Fills the windows with the tree's rows of the same label, or of others, without the row of the id `skip`."""
+def search(tree: Tree, query: np.ndarray, label: int, same: bool, skip: int, windows: list[Best], middles: np.ndarray | None = None) -> int:
+    """Fills the windows with the tree's rows of the same label, or of others, without the row of the id `skip`.
+
+    `tree.vectors` and the query are of a type whose products are exact; `middles` are the scores of the nodes' centres.
+    Returns the number of verified rows.
+    """
     if not len(tree.radii):
-        return
+        return 0
     length = math.sqrt(float(np.dot(query.astype(np.float64), query.astype(np.float64))))
-    longest = float(np.linalg.norm(tree.vectors[tree.centers[0]])) + tree.radii[0]
+    longest = float(np.linalg.norm(tree.vectors[tree.centers[0]].astype(np.float64))) + tree.radii[0]
     # a little more than the radius, for the rounding of floats
-    reach = length * (tree.radii + 1e-9 * longest) + 1e-6
-    wanted = (tree.labels == label) if same else (tree.labels != label)
-    wanted = wanted & (tree.ids != skip)
-
-    def bound(nodes: np.ndarray) -> np.ndarray:
-        return (tree.vectors[tree.centers[nodes]] @ query).astype(np.float64)
-
-    heap = [(-(bound(np.array([0]))[0] + reach[0]), 0)]
+    reach = (length * (tree.radii + 1e-9 * longest) + 1e-6).tolist()
+    middle = (tree.vectors[tree.centers] @ query if middles is None else middles).tolist()
+    heap = [(-(middle[0] + reach[0]), 0)]
+    verified = 0
     while heap:
         upper, node = heapq.heappop(heap)
-        if all(-upper < w.low for w in windows):
-            return
+        low, high = min(w.low for w in windows), max(w.high for w in windows)
+        if -upper < low:
+            break
         first, last = tree.points[node]
         if last > first:
-            usable = np.flatnonzero(wanted[first:last]) + first
-            scores, ids = products(tree.vectors[usable], query), tree.ids[usable]
-            for window in windows:
-                window.add(scores, ids)
-        first, last = tree.children[node]
-        if last > first:
-            nodes = np.arange(first, last)
-            middle = bound(nodes)
-            for n, m in zip(nodes.tolist(), middle.tolist(), strict=True):
-                if any(w.wants(m - reach[n], m + reach[n]) for w in windows):
-                    heapq.heappush(heap, (-(m + reach[n]), n))
+            verified += int(last - first)
+            scores = tree.vectors[first:last] @ query
+            inside = (scores >= low) & (scores <= high) & ((tree.labels[first:last] == label) == same)
+            usable = np.flatnonzero(inside & (tree.ids[first:last] != skip))
+            if len(usable):
+                scores, ids = scores[usable].astype(np.int64), tree.ids[first:last][usable]
+                for window in windows:
+                    window.add(scores, ids)
+        for child in range(*tree.children[node]):
+            below, above = middle[child] - reach[child], middle[child] + reach[child]
+            if any(w.wants(below, above) for w in windows):
+                heapq.heappush(heap, (-above, child))
+    return verified
 
 
 def window_of(positive: int, lowest: int = LOWEST, highest: int = HIGHEST) -> tuple[int, int]:
@@ -223,37 +225,54 @@ def _tree(parts: list[bytes], width: int) -> Tree:
 _FOUND = "anchor_id long, positive_id long, positive_score long, found_id long, found_score long"
 
 
+def _runs(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows with equal keys."""
+    changes = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1 if len(keys[0]) else []
+    edges = [0, *changes, len(keys[0])] if len(keys[0]) else [0]
+    return list(itertools.pairwise(edges))
+
+
+def _answers(trees: list[Tree], asked: pa.RecordBatch, vectors: np.ndarray, size: int) -> list[tuple]:
+    """The best rows of every tree for every anchor of a batch."""
+    rows: list[tuple] = []
+    anchors = list(zip(*(asked[n].to_pylist() for n in ("vec_id", "label", "positives", "scores")), strict=True))
+    for tree in trees:
+        kind = exact(tree.vectors, vectors)
+        tree, queries = tree._replace(vectors=tree.vectors.astype(kind, copy=False)), vectors.astype(kind, copy=False)
+        middles = queries @ tree.vectors[tree.centers].T
+        for (anchor, label, ids, scores), query, middle in zip(anchors, queries, middles, strict=True):
+            limits = [_ANY] if ids is None else [window_of(s) for s in scores]
+            # positives with equal scores share a window
+            windows = {limit: Best(*limit, size) for limit in limits if limit[0] <= limit[1]}
+            if windows:
+                search(tree, query, label, ids is None, anchor, list(windows.values()), middle)
+            for n, limit in enumerate(limits):
+                own = (None, None) if ids is None else (ids[n], scores[n])
+                best = windows.get(limit)
+                if best:
+                    rows.extend((anchor, *own, f, s) for f, s in zip(best.ids.tolist(), best.scores.tolist(), strict=True))
+    return rows
+
+
 def _searched(width: int, size: int) -> Callable:
     """Searches positives for anchors that come without them, and negatives for those that bring theirs along."""
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor_id", "positive_id", "positive_score", "found_id", "found_score"]
         trees: list[Tree] = []
         site = None
         for batch in batches:
-            rows: list[tuple] = []
-            vectors = _matrix(batch["vector"], width)
-            for i, (at, turn) in enumerate(zip(batch["site"].to_pylist(), batch["turn"].to_pylist(), strict=True)):
-                if at != site:
-                    site, trees = at, []
-                if turn == 0:
-                    trees.append(_tree(batch["parts"][i].as_py(), width))
+            at, turns = batch["site"].to_numpy(), batch["turn"].to_numpy()
+            for begin, end in _runs(at, turns):
+                if at[begin] != site:
+                    site, trees = at[begin], []
+                part = batch.slice(begin, end - begin)
+                if turns[begin] == 0:
+                    trees.extend(_tree(parts.as_py(), width) for parts in part["parts"])
                     continue
-                anchor, label = batch["vec_id"][i].as_py(), batch["label"][i].as_py()
-                ids, scores = batch["positives"][i].as_py(), batch["scores"][i].as_py()
-                limits = [_ANY] if ids is None else [window_of(s) for s in scores]
-                for tree in trees:
-                    # positives with equal scores share a window
-                    windows = {limit: Best(*limit, size) for limit in limits if limit[0] <= limit[1]}
-                    if windows:
-                        search(tree, vectors[i], label, ids is None, anchor, list(windows.values()))
-                    for n, limit in enumerate(limits):
-                        best = windows.get(limit)
-                        if best:
-                            own = (None, None) if ids is None else (ids[n], scores[n])
-                            rows.extend((anchor, *own, int(f), int(s)) for f, s in zip(best.ids, best.scores, strict=True))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            names = ["anchor_id", "positive_id", "positive_score", "found_id", "found_score"]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=names)
+                rows = _answers(trees, part, _matrix(part["vector"], width), size)
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=names)
 
     return searched
 
@@ -283,7 +302,8 @@ def _meet(trees: DataFrame, anchors: DataFrame, sites: int, width: int, size: in
         "positives",
         "scores",
     )
-    meeting = placed.union(asked).repartition(sites, "site").sortWithinPartitions("site", "turn")
+    # a site is a task: hashing would put several into one
+    meeting = placed.union(asked).repartitionById(sites, F.col("site").cast("int")).sortWithinPartitions("site", "turn")
     return meeting.mapInArrow(_searched(width, size), _FOUND)
 
 
