@@ -37,7 +37,7 @@ COVERED = 80
 PER_LANG = 2000
 SCALE = 2_000_000
 #: Bytes of text whose n-grams are counted together in a task; a longer text is cut at a piece's end, or stands alone.
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 21
 #: Bytes of text a hash partition of the first pass stands for.
 PART_BYTES = 1 << 25
 #: Capacity of a summary, in multiples of mass / threshold. More than one makes the survivors fewer.
