@@ -52,6 +52,7 @@ def condensed(fact: DataFrame) -> DataFrame:
         F.max("guest_count").alias("guest_count"),
         money_sum(turnover(F.col("amount_discount_rub"))).alias("amount_discount_rub"),
         F.lit(True).alias("is_turnover_item"),
+        F.max("close_ts").alias("close_ts"),
     )
 
 
@@ -90,6 +91,11 @@ def plan_fact_join(actual: DataFrame, plan: DataFrame) -> DataFrame:
 
 def mart_plan_fact_daily(fact: DataFrame, plan: DataFrame) -> DataFrame:
     """Actual and planned revenue by day; differences and rates come from the unrounded amounts."""
+    return plan_fact_of_days(actual_daily(check_level_daily(fact)), plan)
+
+
+def plan_fact_of_days(actual: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan-versus-fact mart from the day level."""
 
     def money(c: Column) -> Column:
         return round_half_away(c, 2)
@@ -97,7 +103,7 @@ def mart_plan_fact_daily(fact: DataFrame, plan: DataFrame) -> DataFrame:
     total, planned = F.col("fact_total_amount"), F.col("plan_total_amount")
     delivery_plan = F.col("plan_delivery_amount") + F.col("plan_aggregator_amount")
     banquet_plan = F.col("plan_banquet_own_amount") + F.col("plan_banquet_cb_amount")
-    return plan_fact_join(actual_daily(check_level_daily(fact)), plan).select(
+    return plan_fact_join(actual, plan).select(
         "revenue_date",
         "checks_count",
         "guests_count",
@@ -149,13 +155,12 @@ def mart_avg_check_by_order_type(fact: DataFrame) -> DataFrame:
     return _sales_by(fact, ["revenue_date", "order_type", "channel_group"])
 
 
-def dish_parts(fact: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Dish sales by day, cleaned category and dish, unrounded; without service lines and free modifiers.
+def mart_dish_sales_daily(fact: DataFrame) -> DataFrame:
+    """Dish sales by day, cleaned category and dish, without service lines and free modifiers.
 
-    `within` adds columns to the groups. Lines collapse to one row per check within the group first, which makes the distinct check count a plain count. A
-    check lies in one bucket, so the parts of several buckets add up.
+    Lines collapse to one row per check within the group first, which makes the distinct check count a plain count.
     """
-    by = [*within, "revenue_date", "category_clean", "dish_name"]
+    by = ["revenue_date", "category_clean", "dish_name"]
     per_check = (
         fact.where(F.col("is_dish_sales_item"))
         .groupBy(*by, "check_id")
@@ -163,29 +168,8 @@ def dish_parts(fact: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     )
     return per_check.groupBy(*by).agg(
         money_sum(F.col("qty")).alias("qty_sold"),
-        money_sum(F.col("amount")).alias("amount"),
-        F.count("check_id").alias("checks_count"),
-    )
-
-
-def dish_sales_of_parts(parts: DataFrame) -> DataFrame:
-    """The dish mart from parts that may hold a day and dish several times, once per bucket of checks."""
-    return parts.groupBy("revenue_date", "category_clean", "dish_name").agg(
-        money_sum(F.col("qty_sold")).alias("qty_sold"),
         round_half_away(money_sum(F.col("amount")), 2).alias("dish_revenue_amount"),
-        F.sum("checks_count").alias("checks_count"),
-    )
-
-
-def mart_dish_sales_daily(fact: DataFrame) -> DataFrame:
-    """Dish sales by day, cleaned category and dish, without service lines and free modifiers."""
-    return dish_parts(fact).select(
-        "revenue_date",
-        "category_clean",
-        "dish_name",
-        "qty_sold",
-        round_half_away(F.col("amount"), 2).alias("dish_revenue_amount"),
-        "checks_count",
+        F.count("check_id").alias("checks_count"),
     )
 
 

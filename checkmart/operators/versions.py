@@ -1,6 +1,7 @@
 """Check versions. The POS re-sends a whole check whenever it changes; only its final version counts."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,21 @@ def check_versions(stg: DataFrame) -> DataFrame:
     )
 
 
+def added_versions(*parts: DataFrame) -> DataFrame:
+    """One entry per check from those of several sets of rows; equals `check_versions` of all rows together."""
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("check_id")
+        .agg(
+            F.sum("raw_rows_count").alias("raw_rows_count"),
+            F.sum("positive_qty_rows_count").alias("positive_qty_rows_count"),
+            F.max("last_close_ts").alias("last_close_ts"),
+            F.min("first_accounting_date").alias("first_accounting_date"),
+            F.max("last_accounting_date").alias("last_accounting_date"),
+        )
+    )
+
+
 def cancelled_checks(stg: DataFrame) -> DataFrame:
     """Checks without a single positive row in any version."""
     return (

@@ -1,24 +1,28 @@
 """The line-level fact and its incremental refresh."""
 
-from collections.abc import Collection
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checkmart.functions.flags import is_dish_sales_item, is_turnover_item
 from checkmart.functions.keys import hash_key
-from checkmart.operators.versions import final_versions, replace_checks
+from checkmart.operators.versions import added_versions, check_versions, final_versions, positive_qty, replace_checks
 from checkmart.plans.staging import stage_checks
-from checkmart.schemas import FACT_CHECK_ITEMS
+from checkmart.schemas import CANCELLED_CHECKS, CHECK_IDS, CONDENSED_CHECKS, FACT_CHECK_ITEMS, OPEN_CHECKS
 from checkmart.session import written
-from checkmart.sources.incremental import BUCKET, bucket_of, read_raw_checks
-from checkmart.sources.tables import Parts, State, read_parts
+from checkmart.sources.incremental import read_raw_checks
+from checkmart.sources.runs import RunTable, covering_ranges, read_runs, within
+from checkmart.sources.tables import State, current_state
 from checkmart.vocabulary import RESTAURANT, CheckRules
 
 FACT_TABLE = "dwh/fact_check_items"
-UNIT = "unit"
+# sorted by day, which is how marts read them; ids of checks mostly grow with the days
+FACT = RunTable(FACT_TABLE, FACT_CHECK_ITEMS, "check_id", ["revenue_date", "check_id"], CHECK_IDS)
+# one row per check, day and order type; the daily marts are built from it, and it knows every check's final close
+CONDENSED = RunTable("dwh/condensed_checks", CONDENSED_CHECKS, "check_id", ["revenue_date", "check_id"], CHECK_IDS)
+OPEN = RunTable("dwh/open_checks", OPEN_CHECKS, "check_id", ["check_id"], CHECK_IDS)
 
 
 def fact_columns(final: DataFrame) -> DataFrame:
@@ -83,55 +87,111 @@ def incremental_fact_refresh(
     return replace_checks(fact, fact_check_items(touched, rules), changed)
 
 
-def with_unit(df: DataFrame, day: str = "revenue_date") -> DataFrame:
-    """Adds the unit in which the fact is stored and rewritten: bucket of the check and month of the day.
+class Changes(NamedTuple):
+    """What new raw rows do to the fact: its new lines, the checks whose older lines go, and the days of both.
 
-    A busy unit is split over several tasks, a quiet one fills one file.
+    `open_checks` are the changed checks that have no line in the fact afterwards; their older entries go like the
+    entries of `closed`.
     """
-    month = F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
-    return df.withColumn(UNIT, F.concat_ws("_", bucket_of(F.col("check_id")), month)).hint("rebalance", UNIT)
 
-
-def units_of(parts: Parts, buckets: Collection[str] | None = None, months: Collection[str] | None = None) -> Parts:
-    """The parts of a table stored by unit that belong to some buckets or months."""
-    chosen = {}
-    for unit, folder in parts.items():
-        bucket, _, month = unit.partition("_")
-        if (buckets is None or bucket in buckets) and (months is None or month in months):
-            chosen[unit] = folder
-    return chosen
-
-
-class UnitRefresh(NamedTuple):
-    """New content of the units that changed checks touch."""
-
-    units: set[str]
-    content: DataFrame
+    lines: DataFrame
+    replaced: DataFrame
     days: list[date | None]
-    touched_raw: DataFrame
+    open_checks: DataFrame
+    closed: DataFrame
 
 
-def _distinct(df: DataFrame, column: str) -> set:
-    # units and days: bounded by the buckets and the calendar
-    return {row[0] for row in df.select(column).distinct().collect()}
-
-
-def refreshed_units(
-    spark: SparkSession, root: str, state: State, changed: DataFrame, rules: CheckRules = RESTAURANT
-) -> UnitRefresh:
-    """The incremental refresh limited to the units where changed checks have rows, before or after the change.
+def changes_of(
+    spark: SparkSession,
+    root: str,
+    state: State,
+    new_rows: DataFrame,
+    withdrawn: DataFrame | None = None,
+    rules: CheckRules = RESTAURANT,
+) -> Changes:
+    """The effect of new raw rows, from these rows and the stored final closes of their checks alone.
 
-    Reads the buckets of the changed checks only, of the raw table and of the fact.
+    A check's final version is its latest close with a positive quantity. New rows with a later close than the stored one
+    replace it, with the same close they join it, with an earlier one they change nothing: neither raw rows nor old lines
+    of the fact are read. Only checks of which raw rows were withdrawn are built again from all their raw rows. What is
+    read of stored tables is limited to ranges of the changed checks' ids. `new_rows` is a stored table.
     """
-    buckets = _distinct(changed.select(bucket_of(F.col("check_id")).alias(BUCKET)), BUCKET)
-    raw = read_raw_checks(spark, root, state, buckets)
-    touched = raw.join(changed, "check_id", "left_semi").select(*raw.columns)
-    rebuilt = written(with_unit(fact_check_items(touched, rules)), "rebuilt-checks")
-    stored = units_of(state.tables.get(FACT_TABLE, {}), buckets)
-    old_rows = with_unit(read_parts(spark, root, stored, FACT_CHECK_ITEMS).join(changed, "check_id", "left_semi"))
-    replaced = written(old_rows.select(UNIT, "revenue_date").distinct(), "replaced-rows")
-    units = _distinct(rebuilt, UNIT) | _distinct(replaced, UNIT)
-    days = _distinct(rebuilt, "revenue_date") | _distinct(replaced, "revenue_date")
-    current = read_parts(spark, root, {u: f for u, f in stored.items() if u in units}, FACT_CHECK_ITEMS)
-    content = with_unit(replace_checks(current, rebuilt.drop(UNIT), changed))
-    return UnitRefresh(units, content, sorted(days, key=str), touched)
+    ids = new_rows.select("check_id")
+    if withdrawn is not None:
+        withdrawn = written(withdrawn.select("check_id").distinct(), "withdrawn-checks")
+        ids = ids.union(withdrawn)
+    changed = written(ids.distinct(), "changed-checks")
+    there = within("check_id", covering_ranges(changed, "check_id"))
+    stored = read_runs(spark, root, CONDENSED, state.tables.get(CONDENSED.name, {}), there)
+    known = stored.join(changed, "check_id", "left_semi").select("check_id", "close_ts", "revenue_date").distinct()
+    known = written(known, "known-closes")
+    fresh = new_rows
+    again = None
+    if withdrawn is not None:
+        of_withdrawn = within("check_id", covering_ranges(withdrawn, "check_id")) | F.col("check_id").isNull()
+        again = _semi(read_raw_checks(spark, root, state, of_withdrawn), withdrawn)
+        again = written(again, "rows-of-withdrawn-checks")
+        fresh = _anti(new_rows, withdrawn)
+    last = positive_qty(fresh).groupBy("check_id").agg(F.max("close_ts").alias("close_ts"))
+    closes = known.groupBy("check_id").agg(F.max("close_ts").alias("old_close_ts"))
+    winning = last.join(closes, "check_id", "left").where(
+        F.col("old_close_ts").isNull() | (F.col("close_ts") >= F.col("old_close_ts"))
+    )
+    winning = written(winning, "winning-closes")
+    final = positive_qty(fresh).join(winning.select("check_id", "close_ts"), ["check_id", "close_ts"], "left_semi")
+    replaced = winning.where(F.col("close_ts") > F.col("old_close_ts")).select("check_id")
+    if again is not None:
+        final = final.select(*again.columns).unionByName(final_versions(again).select(*again.columns))
+        replaced = replaced.union(known.select("check_id").distinct().join(withdrawn, "check_id", "left_semi"))
+    lines = written(fact_columns(stage_checks(final, rules)), "new-lines")
+    replaced = written(replaced, "replaced-checks")
+    touched = lines.select("revenue_date").union(known.join(replaced, "check_id", "left_semi").select("revenue_date"))
+    days = sorted({row[0] for row in touched.distinct().collect()}, key=str)  # bounded by the calendar
+    # checks without a line in the fact
+    of_open = there | F.col("check_id").isNull()
+    entries = read_runs(spark, root, OPEN, state.tables.get(OPEN.name, {}), of_open)
+    entries = written(_semi(entries, changed), "old-open-checks")
+    counted = check_versions(fresh)
+    older = entries
+    in_fact = known.select("check_id")
+    if again is not None:
+        counted = counted.unionByName(check_versions(again))
+        older = _anti(entries, withdrawn)
+        in_fact = in_fact.join(withdrawn, "check_id", "left_anti")
+    in_fact = in_fact.union(lines.select("check_id")).distinct()
+    open_checks = _anti(added_versions(older, counted), in_fact)
+    return Changes(lines, replaced, days, open_checks, entries.select("check_id"))
+
+
+def _semi(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    # a NULL check is a check like any other here
+    ids = ids.select(F.col("check_id").alias("_id"))
+    return rows.join(ids, rows["check_id"].eqNullSafe(F.col("_id")), "left_semi")
+
+
+def _anti(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    ids = ids.select(F.col("check_id").alias("_id"))
+    return rows.join(ids, rows["check_id"].eqNullSafe(F.col("_id")), "left_anti")
+
+
+def all_open_checks(raw: DataFrame, fact: DataFrame) -> DataFrame:
+    """The checks of all raw rows that have no line in the fact."""
+    return _anti(check_versions(raw), fact.select("check_id").distinct())
+
+
+def cancelled_of_open(open_checks: DataFrame) -> DataFrame:
+    """The cancelled checks: those without a positive row in any version."""
+    cancelled = open_checks.where(F.col("positive_qty_rows_count") == 0).withColumn("is_cancelled", F.lit(True))
+    return cancelled.select(*CANCELLED_CHECKS.names)
+
+
+def read_fact(spark: SparkSession, root: str, state: State | None = None, where: Column | None = None) -> DataFrame:
+    """The published fact, or what a filter on its days or checks leaves of it."""
+    state = state or current_state(spark, root)
+    return read_runs(spark, root, FACT, state.tables.get(FACT_TABLE, {}), where)
+
+
+def read_cancelled(spark: SparkSession, root: str, state: State | None = None) -> DataFrame:
+    """The published cancelled checks."""
+    state = state or current_state(spark, root)
+    return cancelled_of_open(read_runs(spark, root, OPEN, state.tables.get(OPEN.name, {})))

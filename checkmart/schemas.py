@@ -39,6 +39,10 @@ RAW_PLAN = schema_of(
 
 CHECKPOINTS = schema_of("source_name string, watermark bigint, updated_at timestamp_ntz")
 
+UNSEEN_RANGES = schema_of("source_name string, first_id bigint, last_id bigint")
+
+WITHDRAWN = schema_of("source_row_id bigint, check_id bigint")
+
 FACT_CHECK_ITEMS = schema_of(
     "check_item_key string, source_row_id bigint, revenue_date date, check_id bigint, open_ts timestamp_ntz,"
     " close_ts timestamp_ntz, open_hour int, close_hour int, dish_key string, order_type_key string,"
@@ -51,11 +55,21 @@ FACT_CHECK_ITEMS = schema_of(
 
 CONDENSED_CHECKS = schema_of(
     "revenue_date date, order_type string, channel_group string, check_id bigint, guest_count int,"
-    " amount_discount_rub double, is_turnover_item boolean"
+    " amount_discount_rub double, is_turnover_item boolean, close_ts timestamp_ntz"
 )
 
-DISH_PARTS = schema_of(
-    "revenue_date date, category_clean string, dish_name string, qty_sold double, amount double, checks_count bigint"
+# Checks without a line in the fact, with what their versions add up to.
+OPEN_CHECKS = schema_of(
+    "check_id bigint, raw_rows_count bigint, positive_qty_rows_count bigint, last_close_ts timestamp_ntz,"
+    " first_accounting_date date, last_accounting_date date"
+)
+
+CHECK_IDS = schema_of("check_id bigint")
+
+ACTUAL_DAILY = schema_of(
+    "revenue_date date, checks_count bigint, guests_count bigint, fact_total_amount double,"
+    " fact_restaurant_amount double, fact_delivery_amount double, fact_pickup_amount double,"
+    " fact_banquet_amount double, fact_other_amount double, avg_check_per_order double, avg_check_per_guest double"
 )
 
 DATE_BOUNDS = schema_of("min_date date, max_date date")

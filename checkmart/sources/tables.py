@@ -8,6 +8,7 @@ already, so of two runs that build on the same state one gets a `Conflict` and h
 
 import json
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import NamedTuple
@@ -23,6 +24,8 @@ PLAN_TABLE = "raw/stg_plan_daily"
 LAYERS = ("staging", "dwh", "mart")
 # States whose folders are kept for readers that started on them.
 KEEP_STATES = 10
+# Seconds after which a folder that no state names belongs to a dead run.
+SWEEP_AGE = 7 * 24 * 3600.0
 # Attempts of a whole-table replacement that meets other writers.
 TRIES = 20
 
@@ -125,12 +128,17 @@ def publish(
     return state
 
 
+def version_folder(table: str) -> str:
+    """A new folder of a table, relative to the root."""
+    return f"{table}/version-{uuid.uuid4().hex}"
+
+
 def stage_snapshot(df: DataFrame, root: str, table: str, by: str | None = None) -> Parts:
     """Write `df` to a new, unpublished folder of the table; with `by` one part per value of that column.
 
     The column itself is not stored: it names the parts.
     """
-    folder = f"{table}/version-{uuid.uuid4().hex}"
+    folder = version_folder(table)
     if not by:
         df.write.parquet(f"{root}/{folder}")
         return {"": folder}
@@ -166,6 +174,39 @@ def delete_old(spark: SparkSession, root: str, keep: int = KEEP_STATES) -> list[
     return unused
 
 
+def sweep(spark: SparkSession, root: str, older_than: float = SWEEP_AGE) -> list[str]:
+    """Delete version folders that no kept state names and nobody has touched for `older_than` seconds; returns them.
+
+    A driver that is killed cannot delete what it wrote. The age protects runs in progress: a run may not last longer.
+    """
+    known = {f for n in _state_numbers(spark, root) for parts in _read_state(spark, root, n).tables.values() for f in parts.values()}
+    known = {re.sub("(/version-[^/]*).*", r"\1", folder) for folder in known}
+    gone = []
+    tables = [f"{layer}/{name}" for layer in _names(spark, root) if layer != STATES for name in _names(spark, f"{root}/{layer}")]
+    for table in tables:
+        files, location = _file_system(spark, f"{root}/{table}")
+        if not files.getFileStatus(location).isDirectory():
+            continue
+        for version in _names(spark, f"{root}/{table}"):
+            folder = f"{table}/{version}"
+            if version.startswith("version-") and folder not in known and _age(spark, f"{root}/{folder}") > older_than:
+                gone.append(folder)
+    _delete(spark, root, gone)
+    return gone
+
+
+def _age(spark: SparkSession, folder: str) -> float:
+    """Seconds since the newest file or folder below was written."""
+    files, location = _file_system(spark, folder)
+    newest, waiting = 0, [files.getFileStatus(location)]
+    while waiting:
+        status = waiting.pop()
+        newest = max(newest, status.getModificationTime())
+        if status.isDirectory():
+            waiting.extend(files.listStatus(status.getPath()))
+    return time.time() - newest / 1000
+
+
 def retried(spark: SparkSession, root: str, build: Callable[[State], State], tries: int = TRIES) -> State:
     """Build and publish on the current state, anew after each conflict."""
     for _ in range(tries - 1):

@@ -3,9 +3,9 @@ from helpers import line, raw_checks, raw_plan
 from pyspark.sql import functions as F
 
 from checkmart.plans import refresh
-from checkmart.plans.fact import FACT_TABLE
-from checkmart.schemas import CHECKPOINTS, FACT_CHECK_ITEMS, MART_SCHEMAS, RAW_PLAN, SOURCE_CHECKS
-from checkmart.sources import extracts, incremental, tables
+from checkmart.plans.fact import read_fact
+from checkmart.schemas import CHECKPOINTS, MART_SCHEMAS, RAW_PLAN, SOURCE_CHECKS
+from checkmart.sources import extracts, incremental, runs, tables
 from checkmart.streaming.loads import stream_incremental_load
 from checkmart.vocabulary import FACT_HEADERS, PLAN_HEADERS
 
@@ -73,6 +73,41 @@ def test_dates_in_other_formats(spark, tmp_path):
     ]
 
 
+def test_unreadable_times_are_no_silent_loss(spark, tmp_path):
+    text_extract(spark, [{"Время закрытия": "01.02.2026 12:00:00"}] * 20).write.csv(f"{tmp_path}/extract", header=True)
+    with pytest.raises(ValueError, match="20 of 20 cells of close_ts are no dates"):
+        extracts.read_fact_extract(spark, f"{tmp_path}/extract", "2026-02")
+    dates = extracts.DateText(["dd.MM.yyyy HH:mm:ss"])
+    got = extracts.read_fact_extract(spark, f"{tmp_path}/extract", "2026-02", dates=dates)
+    assert {str(r.close_ts) for r in got.collect()} == {"2026-02-01 12:00:00"}
+    mixed = [{"Время закрытия": "soon"}, *[{}] * 19]
+    text_extract(spark, mixed).write.csv(f"{tmp_path}/mixed", header=True)
+    with pytest.warns(UserWarning, match="close_ts': 1"):
+        assert extracts.read_fact_extract(spark, f"{tmp_path}/mixed", "2026-02").count() == 20
+
+
+def test_refused_lines_are_kept_with_their_reasons(spark, tmp_path):
+    rows = [
+        {},
+        {"Учетный день": "Итого", "Номер чека": None},
+        {"Учетный день": " "},
+        {"Номер чека": "x"},
+        {"Количество гостей": "1.5", "Время закрытия": "soon"},
+        {"Время открытия": None, "Количество гостей": "2.0", "Количество блюд": "x"},
+    ]
+    text_extract(spark, rows).write.csv(f"{tmp_path}/extract", header=True)
+    lines, refused = extracts.split_fact_extract(spark, f"{tmp_path}/extract", "2026-02")
+    assert sorted(r.source_row_number for r in lines.collect()) == [2, 7]
+    assert {r.source_row_number: r.reasons for r in refused.collect()} == {
+        3: "accounting_date is no date, check_id is missing",
+        4: "accounting_date is missing",
+        5: "check_id is missing",
+        6: "close_ts is no date, guest_count is no whole number",
+    }
+    assert lines.count() + refused.count() == len(rows)
+    assert refused.where("source_row_number = 6").first().close_ts == "soon"
+
+
 def test_missing_columns_are_named_in_order(spark, tmp_path):
     cells = text_extract(spark, [{}]).drop("Тип заказа", "Блюдо")
     cells.write.csv(f"{tmp_path}/extract", header=True)
@@ -233,13 +268,69 @@ def test_incremental_batches_equal_one_load(spark, tmp_path):
     assert loaded(spark, root) == [1, 2, 3]
 
 
-def test_many_loads_are_compacted(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(incremental, "LOADS_BEFORE_COMPACTION", 2)
-    monkeypatch.setattr(incremental, "BUCKETS", 1)
-    for high in range(1, 6):
-        incremental.run_extract(spark, source_rows(spark, range(1, high + 1)), str(tmp_path))
-        assert loaded(spark, str(tmp_path)) == list(range(1, high + 1))
-        assert len(incremental.raw_parts(tables.current_state(spark, str(tmp_path)))) <= 2
+def test_many_loads_are_merged_by_size(spark, tmp_path, monkeypatch):
+    """Every row is written log-many times, and there are log-many runs."""
+    written_rows = []
+    real = incremental.merged
+
+    def counting(*args):
+        merge = real(*args)
+        written_rows.append(merge[0].rows if merge else 0)
+        return merge
+
+    monkeypatch.setattr(incremental, "merged", counting)
+    root = str(tmp_path)
+    for high in range(3, 50, 3):
+        incremental.run_extract(spark, source_rows(spark, range(1, high + 1)), root)
+        assert len(incremental.raw_parts(tables.current_state(spark, root))) <= 5
+    assert loaded(spark, root) == list(range(1, 49))
+    assert sum(written_rows) <= 48 * 4  # 16 loads
+    # sizes alone decide: 200 loads, of one size and of several
+    for sizes in ([7] * 200, [1 + n * n % 23 for n in range(200)], [500, *[1] * 199]):
+        held, rewritten = [], 0
+        for n, size in enumerate(sizes, 1):
+            held.append(runs.Run(n, n, size, 0, 0, str(n)))
+            old = runs.due(held)
+            if old:
+                rewritten += sum(r.rows for r in old)
+                held = [*held[: -len(old)], runs.Run(old[0].first, n, sum(r.rows for r in old), 0, 0, "")]
+            assert len(held) <= 12
+        assert rewritten <= sum(sizes) * 8
+
+
+def test_ids_in_any_order_are_loaded_once(spark, tmp_path):
+    root = str(tmp_path)
+
+    def extract(ids):
+        return incremental.run_extract(spark, source_rows(spark, ids), root)["rows"]
+
+    assert extract([101, 102, 103]) == 3
+    assert extract([1, 2, 3]) == 3
+    assert extract([1, 2, 3, 101]) == 0
+    assert extract([50, 2, 103, 104]) == 2
+    assert extract(range(1, 105)) == 104 - 8
+    assert incremental.stored_unseen(spark, root, incremental.CHECK_SOURCE_NAME, tables.current_state(spark, root)) == []
+    assert loaded(spark, root) == list(range(1, 105))
+    # many holes: the ranges that are kept stay few, and no id is lost
+    odd = [n for n in range(105, 900) if n % 3 == 0]
+    assert extract(odd) == len(odd)
+    kept = incremental.stored_unseen(spark, root, incremental.CHECK_SOURCE_NAME, tables.current_state(spark, root))
+    assert 1 < len(kept) <= runs.MOST_RANGES
+    assert extract(range(1, 900)) == 899 - 104 - len(odd)
+    assert loaded(spark, root) == list(range(1, 900))
+
+
+def test_unseen_ranges(spark):
+    ids = spark.createDataFrame([(n,) for n in [2, 3, 3, 5, 9, 10, 10]], "source_row_id bigint")
+    for cells in (1, 3, 100):
+        found = incremental.unseen_ranges(ids, [(1, 6), (8, 12)], cells=cells)
+        covered = {n for low, high in found for n in range(low, high + 1)}
+        assert covered >= {1, 4, 6, 8, 11, 12} and covered <= set(range(1, 7)) | set(range(8, 13))
+        assert cells < 100 or covered == {1, 4, 6, 8, 11, 12}
+    assert runs.merged_ranges([(5, 6), (1, 2), (3, 3), (9, 9), (30, 31)], 2) == [(1, 9), (30, 31)]
+    scattered = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,), (None,)], "check_id bigint")
+    assert len(runs.covering_ranges(scattered, "check_id")) == 3
+    assert runs.covering_ranges(scattered.where("check_id is null"), "check_id") == []
 
 
 def test_failed_full_refresh_keeps_the_rows(spark, tmp_path):
@@ -288,7 +379,7 @@ def test_stream_and_batch_load_every_row_once(spark, tmp_path):
 
     def stream():
         stream_incremental_load(spark, source, root, checkpoint, on_batch=on_batch).awaitTermination()
-        fact = tables.read_snapshot(spark, root, FACT_TABLE, FACT_CHECK_ITEMS)
+        fact = read_fact(spark, root)
         assert sorted(r.source_row_id for r in fact.collect()) == loaded(spark, root)
         return loaded(spark, root)
 
