@@ -234,7 +234,8 @@ def _survivors(threshold: int, slack: int) -> Callable:
 def frequent_keys(texts: DataFrame, part_bits: int, threshold: int, longest: int, slack: int = SLACK, size: int = CHUNK_BYTES) -> DataFrame:
     """First pass: for every hash partition the 32-bit keys of n-grams that may occur `threshold` times, none left out."""
     blocks = texts.mapInArrow(_blocks(part_bits, threshold, longest, size), _BLOCK)
-    by_part = blocks.repartition("part").sortWithinPartitions("part", F.col("keys").isNotNull())
+    # one summary a task: as many tasks as the volume asks for, of bounded size
+    by_part = blocks.repartitionById(1 << part_bits, "part").sortWithinPartitions("part", F.col("keys").isNotNull())
     return by_part.mapInArrow(_survivors(threshold, slack), "part int, n_keys long, keys binary")
 
 

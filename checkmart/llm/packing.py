@@ -27,7 +27,7 @@ from checkmart.llm.words import chunks
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 20
 #: Ids in a step group, about.
 STEP_TOKENS = 1 << 18
 
@@ -162,13 +162,13 @@ def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataT
                 )
                 done += n
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield from pa.Table.from_arrays(arrays, names=_NAMES).to_batches(max_chunksize=10_000)
+                yield from pa.Table.from_arrays(arrays, names=_NAMES).to_batches(max_chunksize=500)
             held_docs.clear()
             held_ids.clear()
             held_ends.clear()
             total = 0
 
-        for batch in batches:
+        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
             texts = [t or "" for t in batch["text"].to_pylist()]
             docs = batch["doc_id"].to_pylist()
             for part in chunks(texts, 1 << 19):
