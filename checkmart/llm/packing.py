@@ -27,7 +27,9 @@ from checkmart.llm.words import chunks
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 22
+#: With `frugal`: ids of a block, rows of a batch out and in, and distinct chunks remembered by a task.
+FRUGAL_BLOCK, FRUGAL_ROWS, FRUGAL_KEPT = 1 << 20, 256, 1 << 15
 #: Ids in a step group, about.
 STEP_TOKENS = 1 << 18
 
@@ -143,11 +145,14 @@ def _packed_block(doc_ids: list, ids: np.ndarray, ends: np.ndarray, tiers: tuple
     return columns, len(sequences)
 
 
-def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataType, with_ids: bool):
+def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataType, with_ids: bool, frugal: bool):
     kinds = [id_type, *[pa.int64()] * 6, pa.int32(), pa.int64(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path, tokens.WORD_SPLIT, True, end_id).encode
+        key = (path, tokens.WORD_SPLIT, True, end_id)
+        # a frugal task has its own encoder, which goes with it
+        encode = (tokens.Encoder(*key, FRUGAL_KEPT) if frugal else tokens.encoder(*key)).encode
+        block, rows_out = (FRUGAL_BLOCK, FRUGAL_ROWS) if frugal else (BLOCK_TOKENS, 10_000)
         done = TaskContext.get().partitionId() << 36
         held_docs: list = []
         held_ids: list[np.ndarray] = []
@@ -162,13 +167,14 @@ def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataT
                 )
                 done += n
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield from pa.Table.from_arrays(arrays, names=_NAMES).to_batches(max_chunksize=500)
+                yield from pa.Table.from_arrays(arrays, names=_NAMES).to_batches(max_chunksize=rows_out)
             held_docs.clear()
             held_ids.clear()
             held_ends.clear()
             total = 0
 
-        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+        step = FRUGAL_ROWS if frugal else 10_000
+        for batch in (whole.slice(i, step) for whole in batches for i in range(0, whole.num_rows, step)):
             texts = [t or "" for t in batch["text"].to_pylist()]
             docs = batch["doc_id"].to_pylist()
             for part in chunks(texts, 1 << 19):
@@ -177,7 +183,7 @@ def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataT
                 held_ids.append(ids.astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.int32))
                 held_ends.append(ends + total)
                 total += int(ends[-1])
-                if total >= BLOCK_TOKENS:
+                if total >= block:
                     yield from flush()
         yield from flush()
 
@@ -192,13 +198,15 @@ def packed(
     end_id: int = END_ID,
     tiers: tuple[int, ...] = TIERS,
     with_ids: bool = True,
+    frugal: bool = False,
 ) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, ids).
 
     `tokenizer` is a lower-casing word file that every executor can open. Null texts count as empty and consist of the end
     id. Rows without id and repeated rows are documents of their own. Without `with_ids` the ids are null.
+    `frugal` takes smaller blocks and remembers less, for jobs whose workers hold other things too; sequences then differ.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(
-        _pack_rows(tokenizer, end_id, tuple(sorted(tiers)), pa.int64(), with_ids), f"doc_id long, {_FIELDS}"
+        _pack_rows(tokenizer, end_id, tuple(sorted(tiers)), pa.int64(), with_ids, frugal), f"doc_id long, {_FIELDS}"
     )

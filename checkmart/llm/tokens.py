@@ -15,9 +15,9 @@ from itertools import chain, repeat
 import numpy as np
 import regex
 
-#: Distinct chunks, and distinct pieces, kept per worker. Beyond it the less used half is forgotten and worked out again
-#: where it occurs; results do not depend on it.
-KEPT = 1 << 17
+#: Distinct chunks, and distinct pieces, kept per worker: the first ones met, which hold the frequent ones. Others are
+#: worked out where they occur. Results do not depend on it.
+KEPT = 400_000
 #: Pieces encoded in one call.
 _CALL = 2_000
 # characters on which the library and this module are known to agree: ASCII and Latin letters
@@ -29,59 +29,28 @@ BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _runs(source: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Runs of an array, one after the other."""
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return source[np.arange(total) + np.repeat(begins - (ends - lengths), lengths)]
-
-
 class _Ids:
-    """Ids of distinct strings, one after the other in one array, and how often each string was asked for."""
+    """Ids of distinct strings, one after the other in one array."""
 
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.int32)
         self.ends = np.zeros(1 << 12, np.int64)
-        self.hits = np.zeros(1 << 12, np.int64)
 
-    def add(self, strings: Sequence[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+    def add(self, strings: Sequence[str], found: Sequence[Sequence[int]]) -> None:
         n, last = len(self.known), int(self.ends[len(self.known)])
-        ends = last + np.cumsum(lengths)
-        while last + len(ids) > len(self.ids):
+        ends = last + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while n + len(strings) + 1 > len(self.ends):
+        while n + len(found) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
-        self.ids[last : last + len(ids)] = ids
-        self.ends[n + 1 : n + 1 + len(strings)] = ends
-        self.hits[n : n + len(strings)] = 0
-        self.known.update(zip(strings, range(n, n + len(strings)), strict=True))
-
-    def places(self, strings: Sequence[str]) -> np.ndarray:
-        """Where strings stand, -1 for new ones."""
-        return np.fromiter(map(self.known.get, strings, repeat(-1)), np.int64, len(strings))
-
-    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the strings at some places in a row, and their numbers. Counts the places as used."""
-        self.hits[: len(self.known)] += np.bincount(at, minlength=len(self.known))
-        begins = self.ends[at]
-        lengths = self.ends[at + 1] - begins
-        return _runs(self.ids, begins, lengths), lengths
-
-    def trim(self, most: int) -> None:
-        """With more than `most` strings, keeps the more used ones, half as many."""
-        n = len(self.known)
-        if n <= most:
-            return
-        kept = np.sort(np.argpartition(self.hits[:n], n - most // 2)[n - most // 2 :])
-        strings = list(self.known)
-        hits = self.hits[kept] // 2
-        begins, lengths = self.ends[kept], self.ends[kept + 1] - self.ends[kept]
-        ids = _runs(self.ids, begins, lengths)
-        self.__init__()
-        self.add([strings[i] for i in kept.tolist()], ids, lengths)
-        self.hits[: len(hits)] = hits
+        self.ids[last : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]) - last)
+        self.ends[n + 1 : n + 1 + len(found)] = ends
+        self.known.update(zip(strings, range(n, n + len(found)), strict=True))
+
+    def of(self, string: str) -> list[int]:
+        k = self.known[string]
+        return self.ids[self.ends[k] : self.ends[k + 1]].tolist()
 
 
 class Encoder:
@@ -91,14 +60,14 @@ class Encoder:
     of its pieces, and only pieces that are new to the worker are encoded.
     """
 
-    def __init__(self, path: str, split: str, lower_case: bool, end_id: int):
+    def __init__(self, path: str, split: str, lower_case: bool, end_id: int, kept: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.find = regex.compile(split).findall
         # white space is dropped exactly by the tokenizer that lower-cases
-        self.lower_case, self.end_id = lower_case, end_id
+        self.lower_case, self.end_id, self.kept = lower_case, end_id, kept
         self.chunks, self.pieces = _Ids(), _Ids()
 
     def _cut(self, text: str) -> list[str]:
@@ -108,24 +77,27 @@ class Encoder:
         first, *rest = text.split(" ")
         return ["\0" + first, *rest]  # without a space before it
 
-    def _ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of distinct chunks in a row and their numbers, by their pieces."""
+    def _ids_of(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of distinct chunks, by their pieces."""
         if self.lower_case:
             cut = list(map(self.find, chunks))
         else:
             cut = [self.find(c[1:] if c[:1] == "\0" else " " + c) for c in chunks]
-        pieces = list(chain.from_iterable(cut))
         known = self.pieces.known
-        fresh = list(dict.fromkeys(p for p in pieces if p not in known))
+        fresh = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in known))
+        rare: dict[str, list[int]] = {}
         for a in range(0, len(fresh), _CALL):
             part = fresh[a : a + _CALL]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.pieces.add(part, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths)
-        ids, lengths = self.pieces.of(self.pieces.places(pieces))
-        owner = np.repeat(np.arange(len(cut)), np.fromiter(map(len, cut), np.int64, len(cut)))
-        self.pieces.trim(KEPT)
-        return ids, np.bincount(owner, lengths, len(cut)).astype(np.int64)
+            if len(known) < self.kept:
+                self.pieces.add(part, found)
+            else:
+                rare.update(zip(part, found, strict=True))
+
+        def of(piece: str) -> list[int]:
+            return rare[piece] if piece in rare else self.pieces.of(piece)
+
+        return [of(p[0]) if len(p) == 1 else list(chain.from_iterable(map(of, p))) for p in cut]
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each closed by the end id, and where each text ends."""
@@ -140,16 +112,30 @@ class Encoder:
             else:
                 whole[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
                 counts.append(0)
-        at = self.chunks.places(chunks)
+        at = np.fromiter(map(self.chunks.known.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(at < 0)
+        store, rare = self.chunks, None
         if len(missing):
             new = [chunks[i] for i in missing.tolist()]
             distinct = list(dict.fromkeys(new))
-            self.chunks.add(distinct, *self._ids_of(distinct))
-            at[missing] = self.chunks.places(new)
-        flat, lengths = self.chunks.of(at)
+            if len(store.known) >= self.kept:
+                store = rare = _Ids()
+            store.add(distinct, self._ids_of(distinct))
+            at[missing] = np.fromiter(map(store.known.__getitem__, new), np.int64, len(new))
+        kept = self.chunks
+        shift, source = int(kept.ends[len(kept.known)]), kept.ids
+        if rare is None:
+            begins, stops = kept.ends[at], kept.ends[at + 1]
+        else:
+            of_rare = at[missing]
+            at[missing] = 0
+            begins, stops = kept.ends[at], kept.ends[at + 1]
+            begins[missing], stops[missing] = rare.ends[of_rare] + shift, rare.ends[of_rare + 1] + shift
+            source = np.concatenate([kept.ids[:shift], rare.ids])
+        lengths = stops - begins
         ends = np.cumsum(lengths)
-        self.chunks.trim(KEPT)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = source[np.arange(total) + np.repeat(begins - (ends - lengths), lengths)]
         cuts = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
         closing = np.array([self.end_id], np.int32)
         out = []
