@@ -62,7 +62,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of all documents, one row per piece."""
     ship_package(spark)
-    return packing.packed(_documents_only(docs), tokenizer_path("word_bpe_49k.json"))
+    return packing.packed(_documents_only(docs), tokenizer_path("word_bpe_49k.json"), frugal=True)
 
 
 STAGES = [
