@@ -642,6 +642,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT * FROM changes) GROUP BY source_name""",
     "stream_incremental_load": f"{EVENTS} SELECT source_row_id, {_LINE}, {_LINEAGE} FROM ev",
     "incremental_fact_refresh": _EVENTS_FACT_SELECT,
+    "refresh_job_fact": _EVENTS_FACT_SELECT,
     # quality
     "dq_not_null": with_(EVENT_LINES, _BROKEN)
     + " UNION ALL ".join(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from checkmart.functions import flags, keys, numbers, text, times
 from checkmart.operators import daily, dims, quality, reports, versions
-from checkmart.plans.fact import fact_check_items, fact_columns, incremental_fact_refresh
+from checkmart.plans import refresh
+from checkmart.plans.fact import fact_check_items, fact_columns, incremental_fact_refresh, read_fact
 from checkmart.plans.staging import stage_checks
 from checkmart.session import scratch_path, written
 from checkmart.sources import adapters, extracts, incremental, tables
@@ -696,6 +697,22 @@ def incremental_fact_refresh_query(spark: SparkSession, sf: str) -> DataFrame:
     return incremental_fact_refresh(raw, fact, changed, adapters.EVENT_RULES)
 
 
+@query
+def refresh_job_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The published fact after two runs of the refresh job, the later lines first; must equal a full rebuild.
+
+    The first run stops short of some ids too, which the second one finds below the mark.
+    """
+    root = scratch_path(spark, "refresh-job")
+    source = event_source(spark, sf)
+    late = (F.col("source_row_id") > incremental.source_watermark(source).first()["watermark"] // 2) | (
+        F.col("source_row_id") % 977 == 5
+    )
+    for part in (source.where(late), source):
+        refresh.run_fact_refresh(spark, root, part, rules=adapters.EVENT_RULES, suite=[], incremental=True)
+    return read_fact(spark, root).withColumn("extracted_at", F.lit(None).cast("timestamp_ntz"))
+
+
 # --- quality ---------------------------------------------------------------------------------------------------------
 
 
