@@ -1,6 +1,6 @@
 """The same results as plain DuckDB SQL over the given tables, written independently of the DataFrame code.
 
-Final versions use the aggregate-and-join form here (the operators use a window), date differences use DATE_DIFF, and
+Final versions use a window here (the operators an aggregate and a join), date differences use DATE_DIFF, and
 money is summed as DECIMAL.
 """
 
@@ -80,9 +80,8 @@ def final_of(lines: str) -> str:
   SELECT s.*, s.accounting_date AS revenue_date, NOT s.is_zero_amount_modifier AS is_turnover_item,
     NOT s.is_service_item AND NOT s.is_zero_amount_modifier AS is_dish_sales_item
   FROM {lines} s
-  JOIN (SELECT check_id, MAX(close_ts) AS last_close FROM {lines} WHERE COALESCE(qty, 0) > 0 GROUP BY check_id) m
-    ON s.check_id = m.check_id AND s.close_ts = m.last_close
-  WHERE COALESCE(s.qty, 0) > 0
+  WHERE COALESCE(s.qty, 0) > 0 AND s.check_id IS NOT NULL AND s.close_ts IS NOT NULL
+  QUALIFY s.close_ts = MAX(s.close_ts) OVER (PARTITION BY s.check_id)
 )"""
 
 
