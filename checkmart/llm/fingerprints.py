@@ -1,12 +1,13 @@
 """Operator 2, document fingerprints: a homomorphic multiset hash over paragraphs.
 
-Every paragraph (text up to a line break or a sentence end) is hashed to a wide vector of `LANES` signs. A fingerprint is
-the sum of its paragraphs' vectors modulo 2**`LANE_BITS`: it does not depend on order, equal multisets have equal
-fingerprints, and paragraphs are inserted and deleted by adding and subtracting their vectors. The cosine of two
-fingerprints estimates the likeness of the multisets. DataFrame expressions only; lanes lie four to a 64-bit number.
+Every paragraph (text up to a line break or a sentence end) is hashed to a wide vector: `WIDE` numbers modulo
+2**`WIDE_BITS`, `LANES` signs, and the number 1. A fingerprint is the sum of its paragraphs' vectors: it does not depend on
+order, equal multisets have equal fingerprints, and paragraphs are inserted and deleted by adding and subtracting their
+vectors. The wide sums tell multisets apart, the cosine of the signed sums estimates their likeness. DataFrame
+expressions only; signs lie two to a 64-bit number.
 
 A vector counts, per lane, the paragraphs whose hash has that bit; with the number of paragraphs n, the signed sum of a
-lane is 2 * count - n.
+lane is 2 * count - n. No text has so many paragraphs that a count reaches 2**`LANE_BITS`.
 """
 
 from __future__ import annotations
@@ -17,10 +18,14 @@ from pyspark.sql import functions as F
 from checkmart.llm.tables import partitions
 
 LANES = 128
-LANE_BITS = 14
+LANE_BITS = 30
+WIDE = 4
+WIDE_BITS = 62
 PARAGRAPH_END = r"\n+|(?<=[.!?])\s+"
-_ONES = 0x0001000100010001
-_KEEP = 0x3FFF3FFF3FFF3FFF
+_ONES = 0x0000000100000001
+_KEEP = 0x3FFFFFFF3FFFFFFF
+_BORROW = 0x4000000040000000
+_WIDE_KEEP = (1 << WIDE_BITS) - 1
 _MODULUS = 1 << LANE_BITS
 
 
@@ -34,7 +39,7 @@ def _hashes(items: Column, seed: int) -> Column:
 
 
 def _lane_counts(hashes: Column, bit: int) -> Column:
-    """Four lanes: how many hashes have bits `bit`, `bit` + 16, + 32, + 48."""
+    """Two lanes: how many hashes have the bits `bit` and `bit` + 32."""
     return F.aggregate(
         hashes,
         F.lit(0).cast("long"),
@@ -42,29 +47,50 @@ def _lane_counts(hashes: Column, bit: int) -> Column:
     )
 
 
+def _wide_sum(hashes: Column) -> Column:
+    """The sum of the hashes' upper `WIDE_BITS` bits, modulo 2**`WIDE_BITS`."""
+    return F.aggregate(
+        hashes,
+        F.lit(0).cast("long"),
+        lambda total, h: (total + F.shiftrightunsigned(h, 64 - WIDE_BITS)).bitwiseAND(F.lit(_WIDE_KEEP)),
+    )
+
+
 def with_vector(df: DataFrame, text_col: str, name: str) -> DataFrame:
-    """Adds the packed lane sums of a text: the last number is the count of its paragraphs, modulo 2**`LANE_BITS` as well.
+    """Adds the packed sums of a text: the lanes, two to a number, the count of its paragraphs, and the wide sums.
 
     Paragraphs and hashes are columns of their own, so that each is computed once.
     """
-    seeds = range(LANES // 64)
+    seeds, wide = range(LANES // 64), range(LANES // 64, LANES // 64 + WIDE)
     df = df.withColumn("__paragraphs", paragraphs(F.col(text_col)))
     df = df.withColumns({f"__hashes{seed}": _hashes(F.col("__paragraphs"), seed) for seed in seeds})
-    packed = [_lane_counts(F.col(f"__hashes{seed}"), bit) for seed in seeds for bit in range(16)]
-    count = F.pmod(F.size("__paragraphs").cast("long"), F.lit(_MODULUS))
-    df = df.withColumn(name, F.array(*packed, count))
+    packed = [_lane_counts(F.col(f"__hashes{seed}"), bit) for seed in seeds for bit in range(32)]
+    sums = [_wide_sum(_hashes(F.col("__paragraphs"), seed)) for seed in wide]
+    df = df.withColumn(name, F.array(*packed, F.size("__paragraphs").cast("long"), *sums))
     return df.drop("__paragraphs", *(f"__hashes{seed}" for seed in seeds))
 
 
+def _parts(packed: Column) -> tuple[Column, Column]:
+    """The lanes with the count, and the wide sums."""
+    return F.slice(packed, 1, LANES // 2 + 1), F.slice(packed, LANES // 2 + 2, WIDE)
+
+
 def inserted(one: Column, other: Column) -> Column:
     """The fingerprint of the union of two multisets."""
-    return F.zip_with(one, other, lambda a, b: (a + b).bitwiseAND(F.lit(_KEEP)))
+    (lanes, wide), (more, widen) = _parts(one), _parts(other)
+    return F.concat(
+        F.zip_with(lanes, more, lambda a, b: (a + b).bitwiseAND(F.lit(_KEEP))),
+        F.zip_with(wide, widen, lambda a, b: (a + b).bitwiseAND(F.lit(_WIDE_KEEP))),
+    )
 
 
 def deleted(one: Column, other: Column) -> Column:
     """The fingerprint of `one` without the paragraphs of `other`."""
-    spare = 0x4000400040004000
-    return F.zip_with(one, other, lambda a, b: ((a + F.lit(spare)) - b).bitwiseAND(F.lit(_KEEP)))
+    (lanes, wide), (less, narrow) = _parts(one), _parts(other)
+    return F.concat(
+        F.zip_with(lanes, less, lambda a, b: ((a + F.lit(_BORROW)) - b).bitwiseAND(F.lit(_KEEP))),
+        F.zip_with(wide, narrow, lambda a, b: ((a + F.lit(1 << WIDE_BITS)) - b).bitwiseAND(F.lit(_WIDE_KEEP))),
+    )
 
 
 def text_of(packed: Column) -> Column:
@@ -72,21 +98,20 @@ def text_of(packed: Column) -> Column:
 
 
 def signed_lanes(packed: Column) -> Column:
-    """The signed sums of all lanes, as the residues nearest to 0."""
-    n = F.element_at(packed, -1)
+    """The signed sums of all lanes."""
+    n = F.element_at(packed, LANES // 2 + 1)
     counts = F.flatten(
         F.transform(
-            F.slice(packed, 1, LANES // 4),
-            lambda x: F.array(*(F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(_MODULUS - 1)) for k in range(4))),
+            F.slice(packed, 1, LANES // 2),
+            lambda x: F.array(x.bitwiseAND(F.lit(_MODULUS - 1)), F.shiftrightunsigned(x, 32)),
         )
     )
-    half = _MODULUS // 2
-    return F.transform(counts, lambda c: F.pmod(2 * c - n + half, F.lit(_MODULUS)) - half)
+    return F.transform(counts, lambda c: 2 * c - n)
 
 
 def _dot(one: Column, other: Column) -> Column:
-    products = F.zip_with(one, other, lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0).cast("long"), lambda total, x: total + x).cast("double")
+    products = F.zip_with(one, other, lambda a, b: a.cast("double") * b)
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
 def likeness(one: Column, other: Column, equal: Column) -> Column:

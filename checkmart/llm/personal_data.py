@@ -25,8 +25,6 @@ ROUNDS = 3
 MIN_SUPPORT = 3.0
 MIN_PATTERN = 0.6
 MIN_VALUE = 0.8
-#: Code points before a token in which its pattern's words are sought.
-CONTEXT_CHARS = 120
 #: Up to so many spans are sent to all tasks for redaction; more are joined by a shuffle.
 BROADCAST_SPANS = 200_000
 
@@ -82,8 +80,13 @@ def _accepted(kind: Column, value: Column) -> Column:
     )
 
 
+def _last_words(text: Column) -> Column:
+    """The last two words of a text, whole, and the white space around them, read backwards."""
+    return F.regexp_extract(F.reverse(text), r"^\s*+(?:\S++\s*+){0,2}+", 0)
+
+
 def _located(rows: DataFrame, expressions: dict[str, str]) -> DataFrame:
-    """(id, key, kind, start, end, value, before): every match of every expression, and the text before it."""
+    """(id, key, kind, start, end, value, before): every match of every expression, and the words before it, backwards."""
     marked = F.array(*(F.struct(F.lit(k).alias("kind"), _pieces(F.col("text"), p).alias("pieces")) for k, p in expressions.items()))
     cut = rows.select(*_ROW, F.explode(marked).alias("cut")).filter(F.size("cut.pieces") > 1)
     pieces = cut.select(*_ROW, F.col("cut.kind").alias("kind"), F.posexplode("cut.pieces").alias("i", "piece"))
@@ -93,7 +96,7 @@ def _located(rows: DataFrame, expressions: dict[str, str]) -> DataFrame:
         "kind",
         "i",
         F.length("piece").alias("n"),
-        F.when(odd, F.col("piece")).otherwise(F.substring("piece", -CONTEXT_CHARS, CONTEXT_CHARS)).alias("piece"),
+        F.when(odd, F.col("piece")).otherwise(_last_words(F.col("piece"))).alias("piece"),
     )
     by_text = Window.partitionBy(*_ROW, "kind").orderBy("i")
     placed = slim.withColumn("end", F.sum("n").over(by_text).cast("int")).withColumn(
@@ -113,10 +116,10 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _patterns(before: Column) -> Column:
-    """The last word and the last two words before a token, in lower case and with digits as 0."""
+    """The last word and the last two words before a token, in lower case and with digits as 0, from `_last_words`."""
     plain = F.regexp_replace(F.lower(before), "[0-9]", "0")
-    found = F.array(F.regexp_extract(plain, r"(\S+)\s*$", 1), F.regexp_extract(plain, r"(\S+\s+\S+)\s*$", 1))
-    return F.array_distinct(F.array_remove(found, ""))
+    found = [F.regexp_extract(plain, r"^\s*+(\S++)", 1), F.regexp_extract(plain, r"^\s*+(\S++\s++\S++)", 1)]
+    return F.array_distinct(F.array_remove(F.array(*(F.reverse(f) for f in found)), ""))
 
 
 def _overlapping(tokens: DataFrame, base: DataFrame) -> DataFrame:

@@ -215,8 +215,9 @@ def quality_scores(
 ) -> DataFrame:
     """(doc_id, score) for every row; `labels` holds the rows to learn from.
 
-    Null and empty texts are pooled as zeros and scored like any other. Rows without id or label teach nothing; without
-    any labelled row every score is 0.5.
+    Null and empty texts are pooled as zeros and scored like any other. Rows without id or label teach nothing, nor do ids
+    with different labels; of rows that share an id the smallest features are learned, once. Without any labelled row
+    every score is 0.5.
     """
     context = docs.sparkSession.sparkContext
     vectors = context.broadcast(word_vectors(docs, text_col))
@@ -224,7 +225,8 @@ def quality_scores(
     id_type = rows.schema["doc_id"].dataType.simpleString()
     pooled_rows = written(rows.mapInArrow(_pool(vectors), f"doc_id {id_type}, features binary"), "pooled")
     chosen = F.broadcast(sample_of(labels, id_col, label_col, most))
-    sample = pooled_rows.join(chosen, pooled_rows["doc_id"] == chosen["id"]).select("id", "label", "features").toArrow()
+    joined = pooled_rows.join(chosen, pooled_rows["doc_id"] == chosen["id"])
+    sample = joined.groupBy("id").agg(F.min("label").alias("label"), F.min("features").alias("features")).toArrow()
     model = None
     if sample.num_rows:
         sample = sample.sort_by([("id", "ascending"), ("features", "ascending")])

@@ -87,9 +87,13 @@ def _learn(bits: int):
 
 
 def sample_of(labels: DataFrame, id_col: str, label_col: str, most: int) -> DataFrame:
-    """At most `most` labelled ids, as (id, label): those of the smallest hash, so the choice does not depend on order."""
-    rows = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
-    return rows.dropna().dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(most)
+    """At most `most` labelled ids, as (id, label): those of the smallest hash, so the choice does not depend on order.
+
+    An id with different labels teaches nothing.
+    """
+    rows = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
+    agreed = rows.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other")
+    return agreed.select("id", "label").orderBy(F.xxhash64("id"), "id").limit(most)
 
 
 def learn_toxicity(
@@ -103,10 +107,12 @@ def learn_toxicity(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias from at most `most` labelled documents. Rows without id or label are left out.
 
-    Without any labelled row all weights are 0 and every score is 0.5.
+    Of rows that share an id the smallest text is learned, once; an id with different labels is left out. Without any
+    labelled row all weights are 0 and every score is 0.5.
     """
     chosen = F.broadcast(sample_of(labels, id_col, label_col, most))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    rows = rows.groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("label").alias("label"))
     found = rows.repartition(1).mapInArrow(_learn(bits), "at int, weight double").toArrow()
     weights, bias = np.zeros(1 << bits, np.float32), 0.0
     at, values = found["at"].to_numpy(), found["weight"].to_numpy()

@@ -1,19 +1,22 @@
 """Words and word hashes of many texts at once, with numpy inside Spark tasks.
 
-Texts are joined to byte chunks of bounded size. A word is a run of word bytes; its hash is a polynomial over a random
-value per byte, modulo 2**64, taken from prefix sums, so no word becomes a Python object.
+Texts are joined to byte chunks of bounded size. A word is a run of word bytes; its hash mixes its blocks of eight bytes
+one after the other, for all words of a chunk at once. Words of more than `LONG_WORD` bytes are hashed one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 
 CHUNK_BYTES = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes up to which words are hashed side by side.
+LONG_WORD = 256
+# A window's polynomial is modulo 2**64 over word hashes that are mixed already. Modulo a power of two, polynomials are weak
+# against regular patterns of some thousand places; windows and shingles have at most some dozen.
 _WORD_BASE = 0xD6E8FEB86659FD93 | 1
 _WORD_BASE_INVERSE = pow(_WORD_BASE, -1, 1 << 64)
 
@@ -36,14 +39,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_codes(fold_case: bool) -> np.ndarray:
-    codes = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    if fold_case:
-        codes[0x41:0x5B] = codes[0x61:0x7B]
-    return codes
-
-
-_CODES = {False: _byte_codes(False), True: _byte_codes(True)}
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -72,19 +69,35 @@ class Words(NamedTuple):
         return np.diff(self.firsts)
 
 
+def _word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per byte range."""
+    lengths = (ends - starts).astype(np.int64)
+    hashes = mixed(lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    blocks = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))  # the eight bytes from each place on
+    alive = np.flatnonzero(lengths <= LONG_WORD)
+    for at in range(0, LONG_WORD, 8):
+        alive = alive[lengths[alive] > at]
+        if not len(alive):
+            break
+        spare = np.uint64(8) * (8 - np.minimum(lengths[alive] - at, 8)).astype(np.uint64)
+        block = blocks[starts[alive] + at] << spare >> spare
+        hashes[alive] = mixed(hashes[alive] * np.uint64(0xD1342543DE82EF95) + block)
+    for k in np.flatnonzero(lengths > LONG_WORD):
+        digest = blake2b(memoryview(data)[starts[k] : ends[k]], digest_size=8).digest()
+        hashes[k] = int.from_bytes(digest, "little")
+    return hashes
+
+
 def words_of(texts: Sequence[bytes], word_bytes: np.ndarray = SPACED, fold_case: bool = False) -> Words:
     """The words of some texts. A space between texts keeps them apart; it is a word byte in no table."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    joined = b" ".join(texts) + b" "
+    data = np.frombuffer(joined, np.uint8)
     inside = np.empty(len(data) + 1, np.int8)
     inside[0] = 0
     inside[1:] = word_bytes[data]
     edges = np.flatnonzero(np.diff(inside))
     starts, ends = edges[0::2], edges[1::2]
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_CODES[fold_case][data] * powers(_BASE, len(data)), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * powers(_BASE_INVERSE, len(data))[starts]
-    hashes = mixed(hashes + (ends - starts).astype(np.uint64))
+    hashes = _word_hashes(_LOWER[data].tobytes() if fold_case else joined, starts, ends)
     begins = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=begins[1:])
     return Words(hashes, starts, ends, np.searchsorted(starts, begins), data)

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from checkmart.llm import automaton, fingerprints, packing, personal_data, secrets, substring_dedup, token_files
 from checkmart.llm.queries import tokenizer_path
+from checkmart.llm.words import words_of
 from pyspark.sql import functions as F
 
 from llm.conftest import EDGE_TEXTS, rows_of, SCHEMA
@@ -50,6 +51,31 @@ def test_substring_dedup_random(spark):
     assert all(a > b for r in starts for a, b in zip(r["starts"][1:], r["ends"][:-1], strict=True))
 
 
+def opposite_words():
+    """Two words of 2,048 letters that polynomials modulo a power of two take for equal."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_word_hashes_tell_words_apart():
+    one, other = opposite_words()
+    words = ["a", "A", "", "b\0", "b", "abcdefgh", "abcdefghi", "abcdefg", one, other, one[:256], one[:257], one[1:257], "é", "日本語"]
+    held = [w for w in words if w]
+    for fold_case in (False, True):
+        texts = [" ".join(held).encode(), *(w.encode() for w in words)]
+        found = words_of(texts, fold_case=fold_case)
+        by_word = dict(zip(held, found.hashes[: len(held)], strict=True))
+        assert [h for h in found.hashes[len(held) :]] == [by_word[w] for w in held]  # wherever a word stands
+        assert len(set(by_word.values())) == len({w.lower() if fold_case else w for w in held})
+
+
+def test_windows_of_regular_words_are_not_repeats(spark):
+    one, other = opposite_words()
+    texts = [(1, " ".join([one] * 50)), (2, " ".join([other] * 50)), (3, " ".join([one] * 51))]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    assert Counter(tuple(r) for r in got) == kept_by_brute_force(texts, 50)
+
+
 def test_fingerprints_edge_cases(edge_docs, no_docs):
     rows = fingerprints.fingerprints(edge_docs).collect()
     ordered = sorted(EDGE_TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
@@ -74,7 +100,6 @@ def test_fingerprints_are_homomorphic(spark):
     near = fingerprints.likeness(
         fingerprints.signed_lanes(F.col("v_t")), fingerprints.signed_lanes(F.col("v_one")), F.col("v_t") == F.col("v_one")
     )
-    # the last number counts paragraphs; its lanes never overflow here
     row = df.select(
         "*",
         fingerprints.inserted(F.col("v_one"), F.col("v_rest")).alias("sum"),
@@ -86,6 +111,16 @@ def test_fingerprints_are_homomorphic(spark):
     assert row["v_t"] != row["v_alien"] and 0.5 < row["near"] < 1
 
 
+def test_repeats_do_not_wrap_to_another_fingerprint(spark):
+    texts = [(1, "b\n" * 16384), (2, ""), (3, "b\n" * 16384 + "q"), (4, "q"), (5, "b\n" * 32768)]
+    df = fingerprints.with_vector(spark.createDataFrame(texts, "id long, t string"), "t", "v")
+    rows = {r["id"]: (r["v"], r["s"]) for r in df.select("id", "v", fingerprints.signed_lanes(F.col("v")).alias("s")).collect()}
+    assert len({tuple(v) for v, _ in rows.values()}) == len(texts)
+    assert {abs(x) for x in rows[1][1]} == {16384} and {abs(x) for x in rows[5][1]} == {32768}
+    signs = np.array(rows[4][1])
+    assert (np.array(rows[3][1]) == np.array(rows[1][1]) + signs).all()
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -144,6 +179,23 @@ def test_personal_data_learns_contexts(spark):
     assert redacted[7] == "contact mail: [email] today" and redacted[203] == "version 3 of it"
 
 
+def test_contexts_are_whole_words(spark):
+    long = "key" * 100  # a pattern word of 300 code points
+    texts = [(i, f"the {long}: ann{i}@example.org") for i in range(20)]
+    texts += [(100 + i, f"the {long}: bob{i}(at)example") for i in range(3)]
+    texts += [(200 + i, f"the {long[6:]}: bob{i}(at)example") for i in range(3)]  # ends alike
+    texts += [(300, "x" * 200_000 + "@ 5"), (301, "y " * 100_000 + "5")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in personal_data.personal_data(docs).collect()}
+    assert all(found[100 + i] == ["email_like"] for i in range(3))
+    seen = spark.range(1).select(
+        personal_data._patterns(personal_data._last_words(F.lit(f"Go to  {long}\t9x \n"))).alias("p"),
+        personal_data._patterns(personal_data._last_words(F.lit(" One "))).alias("one"),
+        personal_data._patterns(personal_data._last_words(F.lit(""))).alias("none"),
+    ).first()
+    assert seen["p"] == ["0x", f"{long}\t0x"] and seen["one"] == ["one"] and seen["none"] == []
+
+
 SECRET_PARTS = (
     "password|TOKEN|=|:| |\"|'|AKIA|ABCD0123|deadbeef|0123456789abcdef|\n|é|ſecret|api_key|apikey|x|==|eyJabcdefghij|.|"
     "-----BEGIN |PRIVATE KEY-----|ghp_|xoxb-|a1b2c3d4e5"
