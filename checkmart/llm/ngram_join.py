@@ -6,7 +6,8 @@ connected components of these links are the candidate groups. Every pair of clas
 on its full shingle sets, so a link is missed only where two classes share no band and no chain of bands.
 
 Plan. Band hashes and class keys alone are shuffled, one row per class and band. Shingle sets travel once, to the task of
-their group. A group above `CHUNK_SHINGLES` is cut into chunks of classes and every pair of chunks is a task of its own.
+their group. A group above `CHUNK_SHINGLES` is cut into chunks of classes and every pair of chunks is verified alone; smaller
+groups are verified in bundles of about as many shingles, so the number of bundles grows with the data, not their size.
 No pair becomes a row: tasks return link counts per class and a spanning tree of the links.
 """
 
@@ -194,7 +195,7 @@ _LINKS = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int
 
 def _verify(threshold: float):
     def run(table: pa.Table) -> pa.Table:
-        """All cells of a bundle, one after the other."""
+        """All cells of a group, one after the other."""
         table = table.combine_chunks().sort_by([("component", "ascending"), ("row", "ascending"), ("col", "ascending"), ("node", "ascending")])
         cell = np.stack([table[c].to_numpy() for c in ("component", "row", "col")], axis=1)
         nodes, chunk = table["node"].to_numpy(), table["chunk"].to_numpy()
@@ -276,14 +277,18 @@ def jaccard_classes(
     cells = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "node",
         "component",
+        "chunks",
         "chunk",
         "set",
         F.least("chunk", "other").alias("row"),
         F.greatest("chunk", "other").alias("col"),
     )
-    bundle = F.pmod(F.xxhash64("component", "row", "col"), F.lit(4 * n))
+    shingles_of_all = classes.agg(F.sum("size")).first()[0] or 0
+    bundles = max(4 * n, math.ceil(shingles_of_all / CHUNK_SHINGLES))
+    small = F.pmod(F.xxhash64("component"), F.lit(bundles))
+    group = F.when(F.col("chunks") > 1, F.col("component")).otherwise(small)
     linked = written(
-        cells.groupBy(bundle.alias("bundle")).applyInArrow(
+        cells.groupBy(group.alias("bundle"), "row", "col").applyInArrow(
             _deduplicated(_verify(threshold)), "node long, links long, root long"
         ),
         "links",
