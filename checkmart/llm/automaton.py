@@ -1,7 +1,8 @@
 """Regular expressions compiled together into one minimal deterministic automaton over bytes.
 
-Supported: literals, escapes (`\\x20`, `\\.`), classes, groups, `|`, `?`, `*`, `+`, `{n}` and `{n,}`. The automaton searches:
-after each byte its state tells which rules end there.
+Supported: literals, escapes (`\\x20`, `\\.`), classes, groups, `|`, `?`, `*`, `+`, `{n}` and `{n,}`. `compile_rules` searches:
+after each byte the state tells which rules end there. `compile_backward` reads the rules from their ends towards their
+starts, so that `starts_of` finds where a match that ends at a known byte may begin.
 """
 
 from __future__ import annotations
@@ -149,26 +150,67 @@ class Automaton(NamedTuple):
     resets: np.ndarray
 
 
-def compile_rules(rules: list[tuple[str, bool]]) -> Automaton:
-    """One searching automaton for (pattern, fold case) rules; rule k has bit k."""
+class Backward(NamedTuple):
+    """Rule k begins in state `firsts[k]`; state `dead` has no way on. `steps` and `accepts` as in `Automaton`."""
+
+    steps: np.ndarray
+    classes: np.ndarray
+    n_classes: int
+    accepts: np.ndarray
+    firsts: np.ndarray
+    dead: int
+
+
+def _read(rules: list[tuple[str, bool]]) -> tuple[_Nfa, list[int], list[int]]:
+    """All rules in one NFA, with the first and the last state of each."""
     nfa = _Nfa()
-    start = nfa.state()
-    ends = []
+    entries, ends = [], []
     for pattern, fold_case in rules:
-        entry = nfa.state()
-        nfa.epsilon[start].append(entry)
+        entries.append(nfa.state())
         reader = _Rule(nfa, pattern, fold_case)
-        ends.append(reader.choice(entry))
+        ends.append(reader.choice(entries[-1]))
         if reader.at != len(pattern):
             raise ValueError(f"unbalanced rule {pattern!r}")
+    return nfa, entries, ends
+
+
+def compile_rules(rules: list[tuple[str, bool]]) -> Automaton:
+    """One searching automaton for (pattern, fold case) rules; rule k has bit k."""
+    nfa, entries, ends = _read(rules)
     classes, examples = _byte_classes(nfa)
-    steps, accepts = _subsets(nfa, start, ends, examples)
-    steps, accepts = _minimal(steps, accepts)
+    start = nfa.closure(set(entries))
+    subsets, steps, accepts = _subsets(nfa, [start], start, ends, examples)
+    block, steps, accepts = _minimal(steps, accepts)
     resets = np.array([bool((steps[:, c] == 0).all()) for c in range(len(examples))])[classes]
     resets &= accepts[0] == 0
     return Automaton(steps.ravel().astype(np.int32), classes, len(examples), accepts, resets)
 
 
+def compile_backward(rules: list[tuple[str, bool]]) -> Backward:
+    """One automaton that reads every rule from its end to its start; rule k has bit k."""
+    ahead, entries, ends = _read(rules)
+    nfa = _Nfa()
+    for _ in ahead.moves:
+        nfa.state()
+    for state, (epsilon, moves) in enumerate(zip(ahead.epsilon, ahead.moves, strict=True)):
+        for target in epsilon:
+            nfa.epsilon[target].append(state)
+        for accepted, target in moves:
+            nfa.moves[target].append((accepted, state))
+    classes, examples = _byte_classes(nfa)
+    firsts = [nfa.closure({end}) for end in ends]
+    subsets, steps, accepts = _subsets(nfa, [frozenset(), *firsts], frozenset(), entries, examples)
+    block, steps, accepts = _minimal(steps, accepts)
+    return Backward(
+        steps.ravel().astype(np.int32),
+        classes,
+        len(examples),
+        accepts,
+        block[[subsets[first] for first in firsts]].astype(np.int32),
+        int(block[subsets[frozenset()]]),
+    )
+
+
 def _byte_classes(nfa: _Nfa) -> tuple[np.ndarray, list[int]]:
     """Bytes that no rule tells apart share a class; an example byte of each class."""
     sets = sorted({accepted for moves in nfa.moves for accepted, _ in moves}, key=sorted)
@@ -183,26 +225,33 @@ def _byte_classes(nfa: _Nfa) -> tuple[np.ndarray, list[int]]:
     return classes, examples
 
 
-def _subsets(nfa: _Nfa, start: int, ends: list[int], examples: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    first = nfa.closure({start})
-    numbers, todo, rows, accepts = {first: 0}, [first], [], []
-    while todo:
-        states = todo.pop(0)
+def _subsets(
+    nfa: _Nfa, firsts: list[frozenset[int]], again: frozenset[int], ends: list[int], examples: list[int]
+) -> tuple[dict[frozenset[int], int], np.ndarray, np.ndarray]:
+    """The sets of states reachable from `firsts`, numbered; `again` is entered after every byte."""
+    numbers: dict[frozenset[int], int] = {}
+    for first in firsts:
+        numbers.setdefault(first, len(numbers))
+    todo, rows, accepts = list(numbers), [], []
+    at = 0
+    while at < len(todo):
+        states = todo[at]
+        at += 1
         accepts.append(sum(1 << k for k, end in enumerate(ends) if end in states))
         row = []
         for byte in examples:
             reached = {target for s in states for accepted, target in nfa.moves[s] if byte in accepted}
-            nxt = nfa.closure(reached | {start})
+            nxt = nfa.closure(reached) | again
             if nxt not in numbers:
                 numbers[nxt] = len(numbers)
                 todo.append(nxt)
             row.append(numbers[nxt])
         rows.append(row)
-    return np.array(rows), np.array(accepts, np.int64)
+    return numbers, np.array(rows), np.array(accepts, np.int64)
 
 
-def _minimal(steps: np.ndarray, accepts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Merges states by splitting blocks until every block steps alike; the start stays state 0."""
+def _minimal(steps: np.ndarray, accepts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merges states by splitting blocks until every block steps alike; state 0 stays so. The first result numbers them."""
     block = np.unique(accepts, return_inverse=True)[1].ravel()
     while True:
         _, finer = np.unique(np.column_stack([block, block[steps]]), axis=0, return_inverse=True)
@@ -216,27 +265,31 @@ def _minimal(steps: np.ndarray, accepts: np.ndarray) -> tuple[np.ndarray, np.nda
     order[rest] = np.arange(1, len(rest) + 1)
     block = order[block]
     _, chosen = np.unique(block, return_index=True)
-    return block[steps[chosen]], accepts[chosen]
+    return block, block[steps[chosen]], accepts[chosen]
 
 
 LANE_BYTES = 1024
+#: Lanes longer than this have no reset byte where one is needed; they are cut anyway, by composed maps of all states.
+LONG_LANE_BYTES = 8 * LANE_BYTES
 
 
 def scan(automaton: Automaton, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions, rule masks) of all bytes at which a rule ends, in one pass.
 
-    The data is cut after reset bytes into lanes of about `LANE_BYTES`, which step side by side.
+    The data is cut after reset bytes into lanes of about `LANE_BYTES`, which step side by side. Where no reset byte comes
+    for long, each piece of `LANE_BYTES` is first stepped from every state, and the maps of the pieces are composed in
+    order: that gives the state in which each piece begins.
     """
     n = len(data)
     marks = np.flatnonzero(automaton.resets[data]) + 1
     wanted = np.searchsorted(marks, np.arange(LANE_BYTES, n, LANE_BYTES))
     cuts = np.unique(np.concatenate([[0], marks[wanted[wanted < len(marks)]], [n]]))
-    begins, lengths = cuts[:-1], np.diff(cuts)
-    order = np.argsort(-lengths, kind="stable")
-    begins, lengths = begins[order], lengths[order]
     classes = automaton.classes[data]
+    begins, entering = _cut_long(automaton, classes, cuts)
+    lengths = np.diff(np.append(begins, n))
+    order = np.argsort(-lengths, kind="stable")
+    begins, lengths, state = begins[order], lengths[order], entering[order]
     alive = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
-    state = np.zeros(len(begins), np.int32)
     accepting = automaton.accepts != 0
     positions, masks = [], []
     for step, k in enumerate(alive):
@@ -250,3 +303,63 @@ def scan(automaton: Automaton, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if not positions:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate(positions), np.concatenate(masks)
+
+
+def _cut_long(automaton: Automaton, classes: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where lanes begin, and in which state."""
+    begins = cuts[:-1]
+    long = np.flatnonzero(np.diff(cuts) > LONG_LANE_BYTES)
+    if not len(long):
+        return begins, np.zeros(len(begins), np.int32)
+    pieces = [np.arange(cuts[lane], cuts[lane + 1], LANE_BYTES) for lane in long]
+    maps = _state_maps(automaton, classes, np.concatenate([p[:-1] for p in pieces]))
+    entering = []
+    at = 0
+    for p in pieces:
+        states = np.zeros(len(p), np.int32)
+        for k in range(1, len(p)):
+            states[k] = maps[at, states[k - 1]]
+            at += 1
+        entering.append(states)
+    short = np.delete(begins, long)
+    begins = np.concatenate([short, *pieces])
+    states = np.concatenate([np.zeros(len(short), np.int32), *entering])
+    order = np.argsort(begins, kind="stable")
+    return begins[order], states[order]
+
+
+def _state_maps(automaton: Automaton, classes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each piece of `LANE_BYTES` and each state before it, the state after it. Equal states go on as one."""
+    n_states = len(automaton.accepts)
+    piece = np.repeat(np.arange(len(begins)), n_states)
+    state = np.tile(np.arange(n_states), len(begins))
+    where = np.arange(len(piece))
+    for step in range(LANE_BYTES):
+        state = automaton.steps[state * automaton.n_classes + classes[begins[piece] + step]].astype(np.int64)
+        if step & (step + 1) == 0:  # after 1, 2, 4, 8, ... bytes
+            keys, merged = np.unique(piece * n_states + state, return_inverse=True)
+            where, piece, state = merged.ravel()[where], keys // n_states, keys % n_states
+    return state[where].reshape(len(begins), n_states)
+
+
+def starts_of(
+    automaton: Backward, data: np.ndarray, ends: np.ndarray, rules: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(number, start) pairs: where a match of rule `rules[number]` that ends before byte `ends[number]` may begin.
+
+    All ends step back side by side until none has a way on.
+    """
+    number, at, state = np.arange(len(ends)), ends.astype(np.int64), automaton.firsts[rules]
+    wanted = np.int64(1) << rules.astype(np.int64)
+    numbers, starts = [], []
+    while len(number):
+        hit = automaton.accepts[state] & wanted[number] != 0
+        if hit.any():
+            numbers.append(number[hit])
+            starts.append(at[hit])
+        on = (state != automaton.dead) & (at > 0)
+        number, at, state = number[on], at[on] - 1, state[on]
+        state = automaton.steps[state * automaton.n_classes + automaton.classes[data[at]]]
+    if not numbers:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(numbers), np.concatenate(starts)

@@ -123,6 +123,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per kind and a digest of the base spans, and all spans, of every whole text."""
     found = secrets.secret_spans(documents(spark, sf_dir))
     kinds = [rule.kind for rule in secrets.BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
