@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checkmart.llm.tables import components, partitions, text_key, written
-from checkmart.llm.words import chunks, mixed, shingles, words_of
+from checkmart.llm.words import chunks, give_back, giving_back, mixed, shingles, words_of
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -81,6 +81,7 @@ def _sign(width: int, bands: int, rows: int, schema: pa.Schema):
             out[some, band] = joined
         return out.view(np.int64)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch["text"].cast(pa.binary()).to_pylist()]
@@ -101,6 +102,7 @@ def _sign(width: int, bands: int, rows: int, schema: pa.Schema):
 
 
 def _shingle_sets(width: int, names: list[str]):
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch["text"].cast(pa.binary()).to_pylist()]
@@ -320,6 +322,8 @@ def _deduplicated(verify):
         if not len(keys):
             return verify(table)
         _, first = np.unique(keys, axis=0, return_index=True)
-        return verify(table if len(first) == len(keys) else table.take(pa.array(np.sort(first))))
+        found = verify(table if len(first) == len(keys) else table.take(pa.array(np.sort(first))))
+        give_back()
+        return found
 
     return run

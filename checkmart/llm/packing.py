@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checkmart.llm import tokens
-from checkmart.llm.words import chunks
+from checkmart.llm.words import chunks, giving_back
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -148,6 +148,7 @@ def _packed_block(doc_ids: list, ids: np.ndarray, ends: np.ndarray, tiers: tuple
 def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataType, with_ids: bool, frugal: bool):
     kinds = [id_type, *[pa.int64()] * 6, pa.int32(), pa.int64(), pa.list_(pa.int32())]
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (path, tokens.WORD_SPLIT, True, end_id)
         # a frugal task has its own encoder, which goes with it

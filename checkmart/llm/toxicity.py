@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from checkmart.llm.words import ALPHANUMERIC, beginnings, chunks, mixed, words_of
+from checkmart.llm.words import ALPHANUMERIC, beginnings, chunks, giving_back, mixed, words_of
 
 BITS = 20
 #: Bytes of a word's beginning that count as features of their own.
@@ -65,6 +65,7 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _learn(bits: int):
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
@@ -121,6 +122,7 @@ def learn_toxicity(
 
 
 def _score(bits: int, model):
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, values, bias = model.value
         weights = np.zeros(1 << bits, np.float32)

@@ -6,11 +6,13 @@ one after the other, for all words of a chunk at once. Words of more than `LONG_
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
 #: Bytes up to which words are hashed side by side.
@@ -127,6 +129,25 @@ def chunks(texts: Sequence[bytes], size: int = CHUNK_BYTES) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed: workers live on beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task that gives its memory back at its end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def windows(hashes: np.ndarray, firsts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rabin-Karp hashes of every `width` consecutive words of one text, and the first word of each window."""
     n = len(hashes)
