@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checkmart.llm.tables import components, partitions, text_key, written
-from checkmart.llm.words import chunks, give_back, giving_back, mixed, shingles, words_of
+from checkmart.llm.words import chunks, giving_back, mixed, shingles, words_of
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -322,8 +322,6 @@ def _deduplicated(verify):
         if not len(keys):
             return verify(table)
         _, first = np.unique(keys, axis=0, return_index=True)
-        found = verify(table if len(first) == len(keys) else table.take(pa.array(np.sort(first))))
-        give_back()
-        return found
+        return verify(table if len(first) == len(keys) else table.take(pa.array(np.sort(first))))
 
     return run
