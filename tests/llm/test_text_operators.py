@@ -242,14 +242,14 @@ def test_secret_scan(spark, edge_docs, no_docs):
     assert secrets.secret_spans(no_docs).collect() == []
 
 
-PATTERNS = ["ab*c", "(a|bc){2,}d", "[^a-c]x?y+", "a{3}", r"\x41\.[b-d]"]
+AUTOMATON_PATTERNS = ["ab*c", "(a|bc){2,}d", "[^a-c]x?y+", "a{3}", r"\x41\.[b-d]"]
 
 
 def ends_like_re(pattern, text):
     return {k for k in range(len(text)) for a in range(max(0, k - 60), k + 1) if re.fullmatch(pattern, text[a : k + 1])}
 
 
-@pytest.mark.parametrize("pattern", PATTERNS)
+@pytest.mark.parametrize("pattern", AUTOMATON_PATTERNS)
 def test_automaton_finds_ends_and_starts_like_re(pattern):
     rng = random.Random(2)
     text = "".join(rng.choice("abcdxyA.\n") for _ in range(4000))
