@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checkmart.llm import tokens
-from checkmart.llm.words import chunks, giving_back
+from checkmart.llm.words import giving_back
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -150,9 +150,9 @@ def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataT
 
     @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (path, tokens.WORD_SPLIT, True, end_id)
+        key = (path, True, end_id)
         # a frugal task has its own encoder, which goes with it
-        encode = (tokens.Encoder(*key, FRUGAL_KEPT) if frugal else tokens.encoder(*key)).encode
+        steps = (tokens.Encoder(*key, FRUGAL_KEPT) if frugal else tokens.encoder(*key)).steps
         block, rows_out = (FRUGAL_BLOCK, FRUGAL_ROWS) if frugal else (BLOCK_TOKENS, 10_000)
         done = TaskContext.get().partitionId() << 36
         held_docs: list = []
@@ -176,10 +176,8 @@ def _pack_rows(path: str, end_id: int, tiers: tuple[int, ...], id_type: pa.DataT
 
         step = FRUGAL_ROWS if frugal else 10_000
         for batch in (whole.slice(i, step) for whole in batches for i in range(0, whole.num_rows, step)):
-            texts = [t or "" for t in batch["text"].to_pylist()]
             docs = batch["doc_id"].to_pylist()
-            for part in chunks(texts, 1 << 19):
-                ids, ends = encode(texts[part])
+            for part, ids, ends in steps(batch["text"].fill_null("")):
                 held_docs += docs[part]
                 held_ids.append(ids.astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.int32))
                 held_ends.append(ends + total)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from checkmart.llm import tokens
 from checkmart.llm.tables import partitions
-from checkmart.llm.words import chunks
 
 END_ID = 2
 STRIPE_BYTES = 16 << 20
@@ -29,12 +28,10 @@ _SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path, tokens.BYTE_SPLIT, False, end_id).encode
+        steps = tokens.encoder(path, False, end_id).steps
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for piece in chunks(texts, 1 << 19):
-                ids, ends = encode(texts[piece])
+            for piece, ids, ends in steps(batch["text"]):
                 sizes = np.diff(ends, prepend=0)
                 lists = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(

@@ -6,8 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from checkmart.llm import automaton, fingerprints, packing, personal_data, secrets, substring_dedup, token_files
+from checkmart.llm import automaton, fingerprints, packing, personal_data, secrets, substring_dedup, token_files, tokens
 from checkmart.llm.queries import tokenizer_path
 from checkmart.llm.words import words_of
 from pyspark.sql import functions as F
@@ -284,6 +285,63 @@ def library_ids(name, end_id, texts):
     return [[*e.ids, end_id] for e in found]
 
 
+ENCODERS = [("byte_bpe_50k.json", False, 2), ("word_bpe_49k.json", True, 1)]
+
+
+@pytest.mark.parametrize(("name", "words", "end_id"), ENCODERS)
+@pytest.mark.parametrize("kept", [tokens.KEPT, 20, 0])
+def test_encoder_gives_the_library_ids(name, words, end_id, kept, monkeypatch):
+    monkeypatch.setattr(tokens, "STEP_CHARS", 300)
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 1_000)
+    rng = random.Random(7)
+    atoms = ["'s", "'LL", "don't", " ", " ", "  ", "\n", "\r\n", "\t", "a", "Öl", "Ɓ", "Ⱥx", "ı", "İ", "ſ", "²", "中", "é", "_"]
+    atoms += ["<|endoftext|>", "<|", "<", "|", "..", "%%%", "12", "3.4", "\x0c", "\0", "\x0b", "\xa0", "\x7f", "the", "Theonon", "''"]
+    plain = [a for a in atoms if a.isascii() and a.isprintable() and a not in ("<|", "<|endoftext|>", "  ")] + ["é", "Ɓ", "\n"]
+    texts = ["", " ", "\n", "a\n\n", "\n\na", *(f"{chr(c)}{chr(c)} a{chr(c)}b" for c in range(0x250))]
+    texts += ["".join(rng.choices(some, k=rng.randint(0, 25))) for some in (atoms, plain) for _ in range(1_000)]
+    found = []
+    for part, ids, ends in tokens.Encoder(tokenizer_path(name), words, end_id, kept).steps(pa.array(texts, pa.large_string())):
+        assert len(ends) == part.stop - part.start and (not len(found) or part.start == len(found))
+        found += [run.tolist() for run in np.split(ids, ends[:-1])]
+    assert found == library_ids(name, end_id, texts)
+
+
+@pytest.mark.parametrize(("name", "words", "end_id"), ENCODERS)
+def test_plain_texts_cost_one_call_of_the_model_a_piece(name, words, end_id):
+    encoder = tokens.Encoder(tokenizer_path(name), words, end_id)
+    model, whole, calls = encoder.model, encoder._library, []
+
+    class Counting:
+        def tokenize(self, piece):
+            calls.append(piece)
+            return model.tokenize(piece)
+
+    def no_text(texts):
+        assert not texts  # nothing is left to be encoded whole
+        return whole(texts)
+
+    encoder.model, encoder._library = Counting(), no_text
+    texts = [f"zq{a} invented{chr(97 + k % 26)}{chr(97 + k // 26)}, twice" for a in "xyz" for k in range(300)]
+    ids, _ = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [i for run in library_ids(name, end_id, texts) for i in run]
+    assert len(calls) == len(set(calls)) == 300 + 4  # invented words, zqx, zqy, zqz, twice; the comma is known already
+
+
+def test_another_kind_of_tokenizer_file_encodes_whole_texts(tmp_path):
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    other.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.Split(Regex("[a-m]"), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    other.save(str(tmp_path / "other.json"))
+    texts = ["the first one", "", "and another one"]
+    ids, ends = tokens.Encoder(str(tmp_path / "other.json"), False, 2).encode(pa.array(texts))
+    assert [run.tolist() for run in np.split(ids, ends[:-1])] == [
+        [*e.ids, 2] for e in other.encode_batch(texts, add_special_tokens=False)
+    ]
+
+
 def test_token_files_round_trip(spark, edge_docs, no_docs, tmp_path):
     tokenizer = tokenizer_path("byte_bpe_50k.json")
     token_files.write_tokens(edge_docs, str(tmp_path / "edge"), tokenizer)
